@@ -8,6 +8,7 @@ more than a slice of the distinct values, whatever the skew.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import shuffle_width
 
+ACCURACY = 10000
+MOST_VALUES = 100_000
+
 
 def value_buckets(df: DataFrame, value: str, into: str = "_bucket") -> DataFrame:
     """Add a bucket number that grows with ``value``; equal values share a bucket.
@@ -99,46 +103,92 @@ def top_n(df: DataFrame, per: str | Sequence[str], order: Sequence[Column], n: i
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles as rows ``(column, share, quantile)``.
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], only_gappy: bool = False
+) -> dict[tuple[str, float], float]:
+    """Exact interpolated quantiles of each column, as a small dict.
 
-    All columns go through one long table of distinct values with counts, so the
-    exact answer needs no task that holds a whole column.
+    A first pass brackets every quantile with approximate ones; a second counts the
+    rows between the brackets and, per distinct value, inside them. A bracket that
+    still holds too many distinct values is narrowed again, so that neither a task
+    nor the driver ever holds a column. ``only_gappy`` skips columns without NULLs.
     """
-    long = df.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
-                for c in columns
-            ])
-        ).alias("cell")
-    ).select("cell.*").where(F.col("x").isNotNull())
-    counts = long.groupBy("column", "x").agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, "x", {"upto": "n"}, within=["column"])
-    sizes = counts.groupBy("column").agg(F.sum("n").alias("size"))
-    wanted = sizes.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    wanted = wanted.withColumn("position", F.col("share") * (F.col("size") - 1))
-    placed = ranked.join(wanted, "column")
-    first = F.col("upto") - F.col("n")
-    low, high = F.floor("position"), F.ceil("position")
-    # weight of this value in the interpolation between the two neighbouring rows
-    holds = lambda p: (p >= first) & (p < F.col("upto"))
-    frac = F.col("position") - low
-    weight = F.when(holds(low), 1 - frac).otherwise(0.0) + F.when(holds(high), frac).otherwise(0.0)
-    # both neighbours the same row: frac is 0, so the weights still add up to 1
-    return (
-        placed.withColumn("_w", weight)
-        .where(holds(low) | holds(high))
-        .groupBy("column", "share")
-        .agg(F.sum(F.col("x") * F.col("_w")).alias("quantile"))
-    )
+    margin = 2 / ACCURACY
+    wanted = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-margin, margin)]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    facts = numbers.agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, wanted, ACCURACY).alias(f"q_{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes = {c: facts[f"n_{i}"] for i, c in enumerate(columns)}
+    brackets = {
+        (c, share): (facts[f"q_{i}"][2 * k], facts[f"q_{i}"][2 * k + 1])
+        for i, c in enumerate(columns)
+        for k, share in enumerate(shares)
+        if sizes[c] and not (only_gappy and sizes[c] == facts["rows"])
+    }
+    return narrow(numbers, brackets, sizes)
+
+
+def narrow(numbers: DataFrame, brackets: dict, sizes: dict[str, int]) -> dict[tuple[str, float], float]:
+    """Quantiles known to lie near ``(low, high)``, all brackets in one pass at a time."""
+    done: dict[tuple[str, float], float] = {}
+    while brackets:
+        keys = list(brackets)
+        cells = [placed(F.col(c), i, *brackets[c, share]) for i, (c, share) in enumerate(keys)]
+        counted = (
+            numbers.select(F.explode(F.array(*cells)).alias("cell"))
+            .where(F.col("cell.side").isNotNull())
+            .groupBy("cell")
+            .agg(F.count("*").alias("n"))
+        )
+        found = counted.limit(MOST_VALUES + 1).collect()
+        if len(found) > MOST_VALUES:
+            brackets = {key: closer(numbers, key, sizes[key[0]], *brackets[key]) for key in keys}
+            continue
+        for i, key in enumerate(keys):
+            position = key[1] * (sizes[key[0]] - 1)
+            mine = [r for r in found if r["cell"]["i"] == i]
+            below = sum(r["n"] for r in mine if r["cell"]["side"] < 0)
+            pairs = sorted((r["cell"]["x"], r["n"]) for r in mine if r["cell"]["side"] == 0)
+            upto = below + sum(n for _, n in pairs)
+            low, high = brackets.pop(key)
+            if below <= int(position) and ceil(position) < upto:
+                done[key] = interpolate(pairs, position - below)
+            else:  # the approximation was off: open the side that is short
+                low = low if below <= int(position) else float("-inf")
+                high = high if ceil(position) < upto else float("inf")
+                brackets[key] = (low, high)
+    return done
+
+
+def placed(x: Column, i: int, low: float, high: float) -> Column:
+    """Where a value lies: side -1 below, 0 inside (with the value itself), 1 above."""
+    side = F.when(x < low, -1).when(x <= high, 0).when(x > high, 1)
+    return F.struct(F.lit(i).alias("i"), side.alias("side"), F.when(side == 0, x).alias("x"))
+
+
+def closer(numbers: DataFrame, key: tuple[str, float], size: int, low: float, high: float) -> tuple[float, float]:
+    """A tighter bracket, from approximate quantiles of the rows inside the old one."""
+    x = F.col(key[0])
+    inside = (x >= low) & (x <= high)
+    facts = numbers.agg(F.count_if(x < low).alias("below"), F.count_if(inside).alias("inside")).first()
+    local = (key[1] * (size - 1) - facts["below"]) / max(facts["inside"] - 1, 1)
+    edges = [min(max(local + d, 0.0), 1.0) for d in (-2 / ACCURACY, 2 / ACCURACY)]
+    return tuple(numbers.where(inside).agg(F.percentile_approx(x, edges, ACCURACY)).first()[0])
+
+
+def interpolate(pairs: list[tuple[float, int]], position: float) -> float:
+    """Value at a fractional position of a sorted list of (value, count)."""
+    lower, upper = int(position), ceil(position)
+    picked, seen = [], 0
+    for x, n in pairs:
+        picked += [x for p in (lower, upper) if seen <= p < seen + n]
+        seen += n
+    return picked[0] + (picked[-1] - picked[0]) * (position - lower)
 
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median of each column that has missing values (a few numbers)."""
-    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    gaps = [c for c in columns if missing[c]]
-    if not gaps:
-        return {}
-    found = exact_quantiles(df, gaps, [0.5]).collect()
-    return {r["column"]: r["quantile"] for r in found}
+    return {c: v for (c, _), v in exact_quantiles(df, columns, [0.5], only_gappy=True).items()}

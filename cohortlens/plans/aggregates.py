@@ -152,9 +152,9 @@ def _(c):
 
 def head_tail_sql(table, value, into, span=None):
     ends, need = (str(span), 2 * span) if span else ("FLOOR(n / 2)", 4)
-    return f"""SELECT student_id, CASE WHEN MAX(n) >= {need} THEN AVG(CASE WHEN at > n - {ends} THEN x END)
- - AVG(CASE WHEN at <= {ends} THEN x END) ELSE 0 END AS {into} FROM (SELECT student_id, {value} AS x,
- ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY week) AS at, COUNT(*) OVER (PARTITION BY student_id) AS n FROM {table}) GROUP BY student_id"""
+    return f"""SELECT student_id, CASE WHEN MAX(n) >= {need} THEN AVG(CASE WHEN pos > n - {ends} THEN x END)
+ - AVG(CASE WHEN pos <= {ends} THEN x END) ELSE 0 END AS {into} FROM (SELECT student_id, {value} AS x,
+ ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY week) AS pos, COUNT(*) OVER (PARTITION BY student_id) AS n FROM {table}) GROUP BY student_id"""
 
 
 @query("e13_halves_trend", head_tail_sql("vle_engagement", "total_actions", "vle_trend"), ["vle_trend"])
@@ -276,9 +276,10 @@ def _(c):
     ["share", "quantile"],
 )
 def _(c):
-    a = exact_quantiles(c.assessments, ["mark"], [0.05, 0.5, 0.96])
-    b = exact_quantiles(c.qualifications, ["ucas_tariff_points"], [0.05, 0.5, 0.96])
-    return a.unionByName(b)
+    found = exact_quantiles(c.assessments, ["mark"], [0.05, 0.5, 0.96])
+    found |= exact_quantiles(c.qualifications, ["ucas_tariff_points"], [0.05, 0.5, 0.96])
+    rows = [(column, share, q) for (column, share), q in found.items()]
+    return c.spark.createDataFrame(rows, "column string, share double, quantile double")
 
 
 @query(
