@@ -104,20 +104,19 @@ def top_n(df: DataFrame, per: str | Sequence[str], order: Sequence[Column], n: i
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], only_gappy: bool = False
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float]
 ) -> dict[tuple[str, float], float]:
     """Exact interpolated quantiles of each column, as a small dict.
 
     A first pass brackets every quantile with approximate ones; a second counts the
     rows between the brackets and, per distinct value, inside them. A bracket that
     still holds too many distinct values is narrowed again, so that neither a task
-    nor the driver ever holds a column. ``only_gappy`` skips columns without NULLs.
+    nor the driver ever holds a column.
     """
     margin = 2 / ACCURACY
     wanted = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-margin, margin)]
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     facts = numbers.agg(
-        F.count("*").alias("rows"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[F.percentile_approx(c, wanted, ACCURACY).alias(f"q_{i}") for i, c in enumerate(columns)],
     ).first()
@@ -126,7 +125,7 @@ def exact_quantiles(
         (c, share): (facts[f"q_{i}"][2 * k], facts[f"q_{i}"][2 * k + 1])
         for i, c in enumerate(columns)
         for k, share in enumerate(shares)
-        if sizes[c] and not (only_gappy and sizes[c] == facts["rows"])
+        if sizes[c]
     }
     return narrow(numbers, brackets, sizes)
 
@@ -191,4 +190,6 @@ def interpolate(pairs: list[tuple[float, int]], position: float) -> float:
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median of each column that has missing values (a few numbers)."""
-    return {c: v for (c, _), v in exact_quantiles(df, columns, [0.5], only_gappy=True).items()}
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
+    gaps = [c for i, c in enumerate(columns) if missing[i]]
+    return {c: v for (c, _), v in exact_quantiles(df, gaps, [0.5]).items()} if gaps else {}

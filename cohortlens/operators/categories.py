@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,15 +13,24 @@ MAX_LEVELS = 1000
 
 
 def levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a category column.
+    """Sorted distinct values of a category column."""
+    return levels_of(df, {column: F.col(column)})[column]
 
-    The list becomes columns of a plan, so a column with more than ``MAX_LEVELS``
-    values is refused rather than read to the end.
+
+def levels_of(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[str]]:
+    """Sorted distinct values of several category columns, from one pass.
+
+    The lists become columns of a plan, so more than ``MAX_LEVELS`` values per column
+    are refused rather than read to the end.
     """
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; it is no category")
-    return sorted(r[0] for r in found)
+    cells = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    most = MAX_LEVELS * len(values)
+    found = long.where(F.col("value").isNotNull()).distinct().limit(most + 1).collect()
+    out = {c: sorted(r["value"] for r in found if r["column"] == c) for c in values}
+    if len(found) > most or any(len(v) > MAX_LEVELS for v in out.values()):
+        raise ValueError(f"more than {MAX_LEVELS} levels: not all of {list(values)} are categories")
+    return out
 
 
 def top_levels(df: DataFrame, column: str, n: int = 5) -> list[str]:
@@ -37,12 +46,9 @@ def dummies(df: DataFrame, column: str, prefix: str) -> list[Column]:
 
 def dummies_drop_first(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """0/1 columns for all but the first level; a missing value is level 'Unknown'."""
-    out: list[Column] = []
-    for c in columns:
-        value = F.coalesce(F.col(c).cast("string"), F.lit("Unknown"))
-        known = levels(df.select(value.alias(c)), c)
-        out += [flag(value == level).alias(column_name(c, level)) for level in known[1:]]
-    return out
+    values = {c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in columns}
+    known = levels_of(df, values)
+    return [flag(v == level).alias(column_name(c, level)) for c, v in values.items() for level in known[c][1:]]
 
 
 def dense_codes(df: DataFrame, column: str, into: str) -> DataFrame:
@@ -60,7 +66,7 @@ class LabelCodes:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> LabelCodes:
-        return cls({c: levels(df.select(F.col(c).cast("string").alias(c)), c) for c in columns})
+        return cls(levels_of(df, {c: F.col(c).cast("string") for c in columns}))
 
     def transform(self, df: DataFrame) -> DataFrame:
         added = {}

@@ -15,6 +15,7 @@ from cohortlens.operators.engagement import attendance_percent, engagement_rate,
 from cohortlens.operators.marks import credit_weighted_mean, unique_modules
 from cohortlens.operators.recommend import first_per_key
 from cohortlens.operators.targets import DEGREE_CODES
+from cohortlens.session import reliable_checkpoint
 
 # What each degree class stands for.
 EMPLOYMENT_PROBABILITY = {"First": 0.95, "2:1": 0.85, "2:2": 0.70, "Third": 0.55, "Fail": 0.35}
@@ -70,7 +71,7 @@ def degree_outcomes(assessments: DataFrame, modules: DataFrame, enrollments: Dat
 def spread_classes(degrees: DataFrame) -> DataFrame:
     """Push GPAs away from 2.6, then lift the top 4 % into First and drop the last 5 % into Fail."""
     gpa = F.col("weighted_gpa")
-    pushed = degrees.withColumn("gpa", clip(gpa + 0.30 * (gpa - 2.6), 0.0, 4.0))
+    pushed = reliable_checkpoint(degrees.withColumn("gpa", clip(gpa + 0.30 * (gpa - 2.6), 0.0, 4.0)))
     cuts = {share: q for (_, share), q in exact_quantiles(pushed, ["gpa"], [0.05, 0.96]).items()}
     g = F.col("gpa")
     top, bottom = (g >= cuts[0.96]) & (g < 3.7), (g <= cuts[0.05]) & (g >= 1.0)
@@ -209,13 +210,15 @@ def activity_and_marks(students: DataFrame, vle: DataFrame, assessments: DataFra
         F.count("mark").alias("n_assessments"),
     )
     zero = ["total_logins", "total_resources", "total_actions", "avg_logins", "avg_actions"]
-    joined = students.join(totals, "student_id", "left").join(grades, "student_id", "left").fillna(0, subset=zero)
-    medians = fit_medians(joined, ["avg_mark"])
-    return (
-        joined.withColumn("engagement_rate", engagement_rate(totals))
-        .fillna(medians)
-        .fillna(0, subset=["mark_std"])
+    # read marks and activity once: the medians and every later use come from the result
+    joined = reliable_checkpoint(
+        students.join(totals, "student_id", "left")
+        .join(grades, "student_id", "left")
+        .fillna(0, subset=zero)
+        .withColumn("engagement_rate", engagement_rate(totals))
     )
+    medians = fit_medians(joined, ["avg_mark"])
+    return joined.fillna(medians).fillna(0, subset=["mark_std"])
 
 
 def retention_outcomes(students: DataFrame, vle: DataFrame, assessments: DataFrame) -> DataFrame:
