@@ -34,3 +34,43 @@ def group_stats(people: DataFrame, group: str, value: str) -> DataFrame:
     return people.groupBy(group).agg(
         F.avg(value).alias("mean"), F.stddev(value).alias("std"), F.count("*").alias("n")
     )
+
+
+def kpis(tiered: DataFrame) -> DataFrame:
+    """Students in total, in the upper three tiers, critical and medium."""
+    t = F.col("tier")
+    return tiered.agg(
+        F.count("*").alias("total"),
+        count_where(t.isin("HIGH", "VERY_HIGH", "CRITICAL")).alias("at_risk"),
+        count_where(t == "CRITICAL").alias("critical"),
+        count_where(t == "MEDIUM").alias("medium"),
+    )
+
+
+def filtered(people: DataFrame, tiers: list[str] | None = None, course: int | None = None) -> DataFrame:
+    out = people.where(F.col("tier").isin(tiers)) if tiers else people
+    return out if course is None else out.where(F.col("course_id") == course)
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(column).agg(F.count("*").alias("n"))
+
+
+def intervention_kpis(log: DataFrame) -> DataFrame:
+    return log.agg(
+        F.count("*").alias("total"),
+        count_where(F.col("outcome") == "Improved").alias("improved"),
+        count_where(F.col("outcome") == "No response").alias("no_response"),
+        F.avg("outcome_score").alias("mean_score"),
+    )
+
+
+def outcomes_by_intervention(log: DataFrame, today: str, days: int = 7) -> DataFrame:
+    """Outcome counts, frequency and follow-ups due per intervention, in one pass."""
+    due = F.col("follow_up") <= F.date_add(F.lit(today).cast("date"), days)
+    outcomes = ["Improved", "No response", "Pending"]
+    return log.groupBy("intervention").agg(
+        *[count_where(F.col("outcome") == o).alias(o) for o in outcomes],
+        F.count("*").alias("n"),
+        count_where(due).alias("due"),
+    )

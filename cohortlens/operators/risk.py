@@ -77,11 +77,11 @@ def explanation(score: Column, name: Column, factors: Column) -> Column:
 
     ``factors`` is an array of ``struct<factor, value>`` in order of weight.
     """
-    head = F.concat(F.lit("This student has a "), F.format_number(score, "0.0"), F.lit("/100 risk score ("), name, F.lit(")."))
+    head = F.concat(F.lit("This student has a "), F.format_string("%.1f", score), F.lit("/100 risk score ("), name, F.lit(")."))
     raising = F.slice(F.filter(factors, lambda f: f["value"] > 0), 1, 3)
     lowering = F.slice(F.filter(factors, lambda f: f["value"] <= 0), 1, 3)
-    up = F.transform(raising, lambda f: F.concat(f["factor"], F.lit(" (+"), F.format_number(f["value"], "0.000"), F.lit(")")))
-    down = F.transform(lowering, lambda f: F.concat(f["factor"], F.lit(" ("), F.format_number(f["value"], "0.000"), F.lit(")")))
+    up = F.transform(raising, lambda f: F.concat(f["factor"], F.lit(" (+"), F.format_string("%.3f", f["value"]), F.lit(")")))
+    down = F.transform(lowering, lambda f: F.concat(f["factor"], F.lit(" ("), F.format_string("%.3f", f["value"]), F.lit(")")))
     return F.concat_ws(
         " ",
         head,

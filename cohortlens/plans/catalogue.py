@@ -1,6 +1,6 @@
 """All registered queries, by section."""
 
-from cohortlens.plans import aggregates, features, outcomes, relational, scalars  # noqa: F401
+from cohortlens.plans import aggregates, alerts, fairness, features, metrics, outcomes, quality, ranking, relational, scalars, splits  # noqa: F401
 from cohortlens.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
