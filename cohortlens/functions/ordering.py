@@ -39,6 +39,15 @@ def value_buckets(df: DataFrame, value: str, into: str = "_bucket") -> DataFrame
     return bucketed.withColumn(into, F.col(into).cast("int")).drop("_cut_key")
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_same_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -77,7 +86,7 @@ def running_totals(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    joined = bucketed.join(offsets, [*keys, "_bucket"])
+    joined = join_same(bucketed, offsets, [*keys, "_bucket"])
     return joined.select(
         *df.columns,
         *[

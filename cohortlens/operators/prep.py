@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import count_where
-from cohortlens.functions.ordering import average_ranks, running_totals
+from cohortlens.functions.ordering import average_ranks, join_same, running_totals
 
 
 def percentile_ranks(df: DataFrame, value: str, into: str = "percentile") -> DataFrame:
@@ -62,23 +62,30 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
     limit = F.bround(F.col("_size") * test_size, 0)
     return (
-        placed.join(sizes, F.col(f"{label}").eqNullSafe(sizes[label]))
-        .drop(sizes[label])
+        join_same(placed, sizes, [label])
         .withColumn("part", F.when(F.col("_place") <= limit, "test").otherwise("train"))
         .drop("_draw", "_place", "_size")
     )
 
 
-def place_in_group(df: DataFrame, group: str, order: str, key: str) -> DataFrame:
-    """Add ``_place``: 1, 2, … per group in ``order``, without a task per group."""
+def place_in_group(df: DataFrame, group: str, order: str, key: str, many_ties: bool = False) -> DataFrame:
+    """Add ``_place``: 1, 2, … per group by ``order``, then ``key``, without a task per group.
+
+    Rows that agree in group and order are few by default, as with a hash. With
+    ``many_ties`` they may be most of the table; ``key`` must then be a unique number,
+    and the rows of a tie are placed by running counts over it as well.
+    """
     ties = df.groupBy(group, order).agg(F.count("*").alias("_n"))
-    upto = running_totals(ties, order, {"_upto": "_n"}, within=[group]).drop("_n")
-    w = Window.partitionBy(group, order).orderBy(F.desc(key))
-    return (
-        df.join(upto, [group, order])
-        .withColumn("_place", F.col("_upto") - F.row_number().over(w) + 1)
-        .drop("_upto")
+    before = running_totals(ties, order, {"_upto": "_n"}, within=[group]).select(
+        group, order, (F.col("_upto") - F.col("_n")).alias("_before")
     )
+    if many_ties:
+        counted = df.withColumn("_one", F.lit(1).cast("bigint"))
+        inside = running_totals(counted, key, {"_inside": "_one"}, within=[group, order]).drop("_one")
+    else:
+        inside = df.withColumn("_inside", F.row_number().over(Window.partitionBy(group, order).orderBy(key)))
+    whole = join_same(inside, before, [group, order])
+    return whole.withColumn("_place", F.col("_before") + F.col("_inside")).drop("_before", "_inside")
 
 
 def time_split(df: DataFrame, time: str, key: str, test_size: float = 0.2) -> DataFrame:
@@ -93,21 +100,23 @@ def time_split(df: DataFrame, time: str, key: str, test_size: float = 0.2) -> Da
 def place_by_time(df: DataFrame, time: str, key: str) -> DataFrame:
     """Add ``_place``: 1, 2, … by time, then key."""
     ticks = df.withColumn("_tick", F.unix_micros(F.col(time).cast("timestamp")))
-    whole = place_in_group(ticks.withColumn("_all", F.lit(0)), "_all", "_tick", key)
+    whole = place_in_group(ticks.withColumn("_all", F.lit(0)), "_all", "_tick", key, many_ties=True)
     return whole.drop("_all", "_tick")
 
 
 def group_folds(df: DataFrame, group: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold``: all rows of a group share one; groups are dealt out by size."""
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    order = F.struct(F.col("_n"), F.xxhash64(F.col(group), F.lit(seed)).alias("_h"))
-    # groups of one size are dealt round by round; larger ones come first
-    dealt = place_in_group(
-        sizes.withColumn("_all", F.lit(0)).withColumn("_order", -F.col("_n")), "_all", "_order", group
+    # larger groups come first; groups of one size in hash order
+    sizes = df.groupBy(group).agg(F.count("*").alias("_n")).select(
+        group,
+        F.lit(0).alias("_all"),
+        (-F.col("_n")).alias("_order"),
+        F.xxhash64(F.col(group), F.lit(seed)).alias("_hash"),
     )
+    dealt = place_in_group(sizes, "_all", "_order", "_hash", many_ties=True)
     snake = (F.col("_place") - 1) % (2 * k)
     fold = F.when(snake < k, snake).otherwise(2 * k - 1 - snake).cast("int")
-    return df.join(dealt.select(group, fold.alias("fold")), group)
+    return join_same(df, dealt.select(group, fold.alias("fold")), [group])
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:

@@ -211,7 +211,7 @@ def recall_of_top(df: DataFrame, truth: str, score: str, key: str, top_share: fl
     from cohortlens.operators.prep import place_in_group
 
     ordered = df.withColumn("_all", F.lit(0)).withColumn("_order", -F.col(score))
-    placed = place_in_group(ordered, "_all", "_order", key)
+    placed = place_in_group(ordered, "_all", "_order", key, many_ties=True)
     n = df.agg(F.ceil(F.count("*") * top_share)).scalar()
     top = F.col("_place") <= n
     positive = F.col(truth) == 1

@@ -76,7 +76,7 @@ def weekly_factors(c):
     )
 
 
-FACTOR_SQL = """SELECT student_id, ROUND(LEAST(100, GREATEST(0, 100 * (1 - ar) * 4)), 3) AS risk_score, ROUND(-at2, 3) AS absence, ROUND(-vt, 3) AS activity FROM
+FACTOR_SQL = """SELECT student_id, ROUND(LEAST(100, GREATEST(0, 100 * (1 - ar) * 4)), 3) AS risk_score, CASE WHEN ROUND(at2, 3) = 0 THEN 0 ELSE ROUND(-at2, 3) END AS absence, CASE WHEN ROUND(vt, 3) = 0 THEN 0 ELSE ROUND(-vt, 3) END AS activity FROM
  (SELECT student_id, AVG(attended) AS ar, COALESCE(AVG(CASE WHEN week > 15 THEN attended END) - AVG(CASE WHEN week <= 15 THEN attended END), 0) AS at2 FROM attendance GROUP BY 1)
  JOIN (SELECT student_id, COALESCE(AVG(CASE WHEN week > 15 THEN total_actions END) - AVG(CASE WHEN week <= 15 THEN total_actions END), 0) AS vt FROM vle_engagement GROUP BY 1) USING (student_id)"""
 
@@ -131,7 +131,7 @@ def _(c):
 
 @query(
     "r10_alert_record",
-    f"""SELECT student_id, tier || '|' || PRINTF('%.1f', risk_score) || '|' || {ACTION_SQL} || '|retention' AS record FROM
+    f"""SELECT student_id, tier || '|' || PRINTF('%.1f', ROUND(risk_score, 1)) || '|' || {ACTION_SQL} || '|retention' AS record FROM
         (SELECT student_id, risk_score, {TIER_SQL.format(s='risk_score')} AS tier FROM ({RETENTION_SQL})) WHERE tier <> 'LOW'""",
 )
 def _(c):
