@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import partial
 
 import numpy as np
@@ -40,37 +39,67 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def most_similar(
-    queries: DataFrame, items: DataFrame, k: int, same: bool = True, lower: float | None = None
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    same: bool = True,
+    lower: float | None = None,
+    dims: int | None = None,
 ) -> DataFrame:
     """The ``k`` items of highest cosine for every query: (query_id, item_id, score, rank).
 
-    Both inputs are ``(id, vector)`` with unique ids. Rows are spread over fixed-size
-    blocks by a hash of the id; each pair of blocks is one matrix product that keeps
-    only ``k`` items per query. No task holds more than one block of either side, and
-    at most ``k`` rows per query and item block are shuffled. Scores carry six
-    decimals, ties go to the smaller item id. With ``same=False`` an item is no
-    neighbour of the query of equal id.
+    Both inputs are ``(id, vector)`` with unique ids; with ``same=False`` an item is no
+    neighbour of the query of equal id. See ``best_products`` for how it runs.
     """
-    n_query = blocks_of(queries, QUERY_BLOCK)
-    n_item = blocks_of(items, ITEM_BLOCK)
+    left = queries.select("id", unit_or_sparse(F.col("vector"), dims).alias("vector"))
+    right = items.select("id", unit_or_sparse(F.col("vector"), dims).alias("vector"))
+    best = best_products(left, right, k, same, lower, dims)
+    return top_n(best, "query_id", [F.desc("score"), F.asc("item_id")], k)
+
+
+def unit_or_sparse(vector: Column, dims: int | None) -> Column:
+    """Arrays are brought to length one; sparse vectors are expected to be so already."""
+    return unit(vector) if dims is None else vector
+
+
+def best_products(
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    same: bool = True,
+    lower: float | None = None,
+    dims: int | None = None,
+) -> DataFrame:
+    """Highest dot products per query and item block: (query_id, item_id, score).
+
+    Rows are spread over fixed-size blocks by a hash of the id; each pair of blocks is
+    one matrix product that keeps only the best items of each query. No task holds
+    more than one block of either side, and per query and item block at most ``k``
+    rows are shuffled. A column ``more`` of the queries raises ``k`` per query. With
+    ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
+    Scores carry six decimals; the caller picks the final first ones.
+    """
+    item_block = ITEM_BLOCK if dims is None else max(256, min(ITEM_BLOCK, 2**24 // dims))
+    n_query, n_item = blocks_of(queries, QUERY_BLOCK), blocks_of(items, item_block)
+    more = F.col("more") if "more" in queries.columns else F.lit(0)
     left = queries.select(
         F.pmod(F.xxhash64("id"), F.lit(n_query)).alias("qb"),
         F.explode(block_numbers(n_item)).alias("ib"),
         F.col("id").cast("long").alias("id"),
-        unit(F.col("vector")).alias("vector"),
+        "vector",
+        (F.lit(k) + more).cast("int").alias("k"),
     )
     right = items.select(
         F.explode(block_numbers(n_query)).alias("qb"),
         F.pmod(F.xxhash64("id"), F.lit(n_item)).alias("ib"),
         F.col("id").cast("long").alias("id"),
-        unit(F.col("vector")).alias("vector"),
+        "vector",
     )
-    best = (
+    return (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
-        .applyInPandas(partial(block_best, k=k, same=same, lower=lower), PAIR_SCHEMA)
+        .applyInPandas(partial(block_best, same=same, lower=lower, dims=dims), PAIR_SCHEMA)
     )
-    return top_n(best, "query_id", [F.desc("score"), F.asc("item_id")], k)
 
 
 def blocks_of(df: DataFrame, size: int) -> int:
@@ -83,28 +112,56 @@ def block_numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def block_best(q: pd.DataFrame, i: pd.DataFrame, k: int, same: bool, lower: float | None) -> pd.DataFrame:
+def dense(vectors: pd.Series, dims: int | None) -> np.ndarray:
+    if dims is None:
+        return np.stack(vectors.to_numpy())
+    out = np.zeros((len(vectors), dims))
+    for row, v in enumerate(vectors):
+        out[row, np.asarray(v["i"], dtype=int)] = v["v"]
+    return out
+
+
+def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None) -> pd.DataFrame:
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-    right = np.stack(i["vector"].to_numpy())
-    item_ids = i["id"].to_numpy()
-    parts = list(chunk_best(q, right, item_ids, k, same, lower))
+    right, item_ids = dense(i["vector"], dims), i["id"].to_numpy()
+    chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
+    parts = [chunk_best(part, right, item_ids, same, lower, dims) for part in chunks]
     return pd.concat(parts, ignore_index=True)
 
 
-def chunk_best(q, right, item_ids, k, same, lower) -> Iterable[pd.DataFrame]:
-    for start in range(0, len(q), CHUNK):
-        part = q.iloc[start : start + CHUNK]
-        ids = part["id"].to_numpy()
-        scores = np.stack(part["vector"].to_numpy()) @ right.T
-        if lower is not None:
-            scores = np.clip(scores, lower, 1.0)
-        scores = np.round(scores, 6) + 0.0
-        if not same:
-            scores[ids[:, None] == item_ids[None, :]] = -np.inf
-        keep = min(k, scores.shape[1])
-        floor = np.partition(scores, -keep, axis=1)[:, -keep]
-        r, c = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-        found = pd.DataFrame({"query_id": ids[r], "item_id": item_ids[c], "score": scores[r, c]})
-        found = found.sort_values(["query_id", "score", "item_id"], ascending=[True, False, True])
-        yield found.groupby("query_id", sort=False).head(k)
+def chunk_best(part, right, item_ids, same, lower, dims) -> pd.DataFrame:
+    ids, wanted = part["id"].to_numpy(), part["k"].to_numpy()
+    scores = dense(part["vector"], dims) @ right.T
+    if lower is not None:
+        scores = np.clip(scores, lower, 1.0)
+    scores = np.round(scores, 6) + 0.0
+    if not same:
+        scores[ids[:, None] == item_ids[None, :]] = -np.inf
+    # everything at or above the k-th score of its row, then the first k by (score, id)
+    ordered = -np.sort(-scores, axis=1)
+    floor = ordered[np.arange(len(ids)), np.minimum(wanted, scores.shape[1]) - 1]
+    r, c = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
+    order = np.lexsort((item_ids[c], -scores[r, c], r))
+    r, c = r[order], c[order]
+    place = np.arange(len(r)) - np.searchsorted(r, r)
+    keep = place < wanted[r]
+    r, c = r[keep], c[keep]
+    return pd.DataFrame({"query_id": ids[r], "item_id": item_ids[c], "score": scores[r, c]})
+
+
+def shared_lists(people: DataFrame, vector: str = "vector") -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors with one representative id, and who is represented by it.
+
+    Students of equal profile share one query, however many they are.
+    """
+    profiles = people.groupBy(vector).agg(F.min("id").alias("profile_id"))
+    members = people.join(profiles, vector).select(F.col("id"), "profile_id")
+    return profiles.select(F.col("profile_id").alias("id"), vector), members
+
+
+def most_similar_by_profile(people: DataFrame, items: DataFrame, k: int, **options) -> DataFrame:
+    """``most_similar`` for many queries with few distinct vectors."""
+    profiles, members = shared_lists(people)
+    found = most_similar(profiles, items, k, **options).withColumnRenamed("query_id", "profile_id")
+    return members.join(found, "profile_id").select(F.col("id").alias("query_id"), "item_id", "score", "rank")

@@ -1,6 +1,20 @@
 """All registered queries, by section."""
 
-from cohortlens.plans import aggregates, alerts, fairness, features, metrics, outcomes, quality, ranking, relational, scalars, splits  # noqa: F401
+from cohortlens.plans import (  # noqa: F401
+    aggregates,
+    alerts,
+    fairness,
+    features,
+    metrics,
+    modelling,
+    outcomes,
+    quality,
+    ranking,
+    recommend,
+    relational,
+    scalars,
+    splits,
+)
 from cohortlens.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
