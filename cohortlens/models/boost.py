@@ -15,6 +15,7 @@ from cohortlens.functions.expr import clip
 from cohortlens.models.base import assembled, at_threshold, class_probability
 from cohortlens.operators.prep import stratified_split, with_class_weight
 from cohortlens.operators.scores import evaluate_enrolment
+from cohortlens.session import reliable_checkpoint
 
 
 @dataclass
@@ -70,7 +71,7 @@ def fit_booster(
     """
     fitting, holding = train, None
     if calibrate:
-        parts = stratified_split(train, key, label, 0.2, seed)
+        parts = reliable_checkpoint(stratified_split(train, key, label, 0.2, seed))
         fitting, holding = parts.where(F.col("part") == "train"), parts.where(F.col("part") == "test")
     weighted = with_class_weight(fitting, label)
     booster = GBTClassifier(
@@ -107,7 +108,8 @@ def train_and_evaluate(
     df: DataFrame, label: str, features: Sequence[str], key: str = "student_id", test_size: float = 0.2, **options
 ) -> tuple[Booster, DataFrame]:
     """Fit on a stratified split; metrics of the held-out rows as (metric, value)."""
-    parts = stratified_split(df, key, label, test_size)
+    parts = reliable_checkpoint(stratified_split(df, key, label, test_size))
     fitted = fit_booster(parts.where(F.col("part") == "train").drop("part"), label, features, key=key, **options)
     scored = fitted.predict(parts.where(F.col("part") == "test"))
-    return fitted, evaluate_enrolment(scored.select(F.col(label).alias("y_true"), "y_pred", "score"))
+    kept = reliable_checkpoint(scored.select(F.col(label).alias("y_true"), "y_pred", "score"))
+    return fitted, evaluate_enrolment(kept)

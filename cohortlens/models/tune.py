@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators import prep, scores
+from cohortlens.session import reliable_checkpoint
 
 # A trainer takes (train rows, parameters) and returns a function adding score and y_pred.
 Trainer = Callable[[DataFrame, Mapping[str, object]], Callable[[DataFrame], DataFrame]]
@@ -43,8 +44,9 @@ def fold_results(
     for i in range(k):
         mine = folds.where(F.col("fold") == i)
         train, test = (mine.where(F.col("part") == part).drop("fold", "part") for part in ("train", "test"))
-        apply = trainer(train, params or {})
-        yield i, train.count(), test.count(), float(scored_by(scoring, apply(test), label))
+        # the metric reads the scored rows several times, so they are kept, not scored anew
+        scored = reliable_checkpoint(trainer(train, params or {})(test).select(label, "score", "y_pred"))
+        yield i, train.count(), test.count(), float(scored_by(scoring, scored, label))
 
 
 def cross_validate(
@@ -58,7 +60,7 @@ def cross_validate(
     **columns,
 ) -> DataFrame:
     """(fold, n_train, n_val, score) of every fold; their mean and deviation are one ``agg`` away."""
-    folds = folds_of(df, strategy, key, label, k, **columns)
+    folds = reliable_checkpoint(folds_of(df, strategy, key, label, k, **columns))
     rows = list(fold_results(folds, k, label, trainer, scoring))
     return df.sparkSession.createDataFrame(rows, "fold int, n_train long, n_val long, score double")
 
@@ -98,12 +100,13 @@ def search(
     parallelism: int = 2,
 ) -> tuple[dict[str, object], DataFrame]:
     """Best parameters on a stratified validation share, and all trials by score."""
-    parts = prep.stratified_split(df, key, label, 0.25, seed)
+    parts = reliable_checkpoint(prep.stratified_split(df, key, label, 0.25, seed))
     train, test = (parts.where(F.col("part") == p).drop("part") for p in ("train", "test"))
 
     def trial(numbered: tuple[int, dict[str, object]]) -> tuple[int, str, float]:
         i, params = numbered
-        value = scored_by(scoring, trainer(train, params)(test), label)
+        scored = reliable_checkpoint(trainer(train, params)(test).select(label, "score", "y_pred"))
+        value = scored_by(scoring, scored, label)
         return i, ", ".join(f"{n}={v}" for n, v in params.items()), float(value)
 
     tried = list(enumerate(draws(space, trials, seed)))

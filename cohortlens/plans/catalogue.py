@@ -14,6 +14,7 @@ from cohortlens.plans import (  # noqa: F401
     relational,
     scalars,
     splits,
+    tables,
 )
 from cohortlens.plans.registry import ORACLE, QUERIES
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,19 +13,30 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables, seen by all executors.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local session that names none gets a throw-away folder of its own.
+    It is the one the session names in ``spark.checkpoint.dir``. Only a local session
+    that names none gets a throw-away folder of its own.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir")
+        configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if configured:
             sc.setCheckpointDir(configured)
         elif sc.master.startswith("local"):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
         else:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Compute a table once and cut its lineage, in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def new_table_path(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
