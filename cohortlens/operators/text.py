@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.categories import rows_numbered
+from cohortlens.operators.vectors import most_similar, shared_profiles, to_members
+from cohortlens.session import reliable_checkpoint
 
 WORD = r"(?U)\b\w\w+\b"
 
@@ -25,17 +27,26 @@ def terms(text: Column, stop_words: Sequence[str]) -> Column:
     return F.concat(kept, pairs)
 
 
-def term_counts(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    """(id, term, n) of documents (id, text)."""
-    rows = docs.select("id", F.explode(terms(F.col("text"), stop_words)).alias("term"))
-    return rows.groupBy("id", "term").agg(F.count("*").alias("n"))
+def term_statistics(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """(term, df, total) of documents (id, text), with one shuffle of partial counts.
+
+    Each text's terms are sorted inside its row, so that the first of equal terms
+    counts for the document frequency.
+    """
+    listed = docs.select(F.array_sort(terms(F.col("text"), stop_words)).alias("t"))
+    rows = listed.select("t", F.posexplode("t").alias("at", "term"))
+    first = (F.col("at") == 0) | (F.try_element_at("t", F.col("at")) != F.col("term"))
+    return rows.select("term", first.cast("int").alias("first")).groupBy("term").agg(
+        F.sum("first").alias("df"), F.count("*").alias("total")
+    )
 
 
 class TfIdf:
     """Vocabulary with smooth idf, learned on one set of texts.
 
     The vocabulary holds at most ``max_features`` terms, the most frequent of those
-    in at least ``min_df`` texts and at most the share ``max_df``.
+    in at least ``min_df`` texts and at most the share ``max_df``. Texts are turned
+    into vectors row by row, without a shuffle.
     """
 
     def __init__(
@@ -47,30 +58,42 @@ class TfIdf:
         stop_words: Sequence[str] | None = None,
     ):
         self.stop_words = stop_words or StopWordsRemover.loadDefaultStopWords("english")
-        self.max_features = max_features
-        n = docs.agg(F.count("*")).scalar()
-        stats = term_counts(docs, self.stop_words).groupBy("term").agg(
-            F.count("*").alias("df"), F.sum("n").alias("total")
-        )
+        n = docs.count()
+        stats = term_statistics(docs, self.stop_words)
         known = stats.where((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
-        top = known.orderBy(F.desc("total"), "term").limit(max_features)
-        numbered = rows_numbered(top, [F.asc("term")], "index").withColumn("index", F.col("index") - 1)
-        self.vocabulary = numbered.select(
-            "term", "index", (F.ln((1 + n) / (1 + F.col("df"))) + 1).alias("idf")
-        )
+        idf = F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1
+        # at most max_features rows
+        top = known.orderBy(F.desc("total"), "term").limit(max_features).select("term", idf.alias("idf")).collect()
+        if not top:
+            raise ValueError("no term is frequent enough for the vocabulary")
+        self.vocabulary = [r["term"] for r in top]
+        self.dims = len(top)
+        counter = CountVectorizerModel.from_vocabulary(self.vocabulary, inputCol="_terms", outputCol="_tf")
+        weigher = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in top]), inputCol="_tf", outputCol="_tfidf")
+        self.steps = [counter, weigher, Normalizer(p=2.0, inputCol="_tfidf", outputCol="_unit")]
+
+    def vectors(self, docs: DataFrame) -> DataFrame:
+        """(id, vector) as sparse ``struct<i, v>`` of unit length; a text without known terms is empty."""
+        out = docs.select("id", terms(F.col("text"), self.stop_words).alias("_terms"))
+        for step in self.steps:
+            out = step.transform(out)
+        raw = F.unwrap_udt("_unit")
+        vector = F.struct(raw["indices"].alias("i"), raw["values"].alias("v"))
+        return out.select("id", vector.alias("vector"))
 
     def weights(self, docs: DataFrame) -> DataFrame:
-        """(id, term, index, weight) with unit length per text."""
-        raw = term_counts(docs, self.stop_words).join(self.vocabulary, "term")
-        weighed = raw.select("id", "term", "index", (F.col("n") * F.col("idf")).alias("weight"))
-        length = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-        return weighed.join(length, "id").select("id", "term", "index", (F.col("weight") / F.col("length")).alias("weight"))
+        """(id, term, weight) of the known terms."""
+        cells = F.explode(F.arrays_zip("vector.i", "vector.v")).alias("cell")
+        names = F.array(*[F.lit(t) for t in self.vocabulary])
+        rows = self.vectors(docs).select("id", cells)
+        return rows.select("id", F.element_at(names, F.col("cell.i") + 1).alias("term"), F.col("cell.v").alias("weight"))
 
-    def vectors(self, docs: DataFrame) -> DataFrame:
-        """(id, vector) as sparse ``struct<i, v>``; a text without known terms is empty."""
-        cells = F.array_sort(F.collect_list(F.struct("index", "weight")))
-        packed = self.weights(docs).groupBy("id").agg(cells.alias("c"))
-        vector = F.struct(F.col("c.index").alias("i"), F.col("c.weight").alias("v"))
-        empty = F.struct(F.array().cast("array<int>").alias("i"), F.array().cast("array<double>").alias("v"))
-        filled = packed.select("id", vector.alias("_v"))
-        return docs.select("id").join(filled, "id", "left").select("id", F.coalesce("_v", empty).alias("vector"))
+    def most_similar(self, people: DataFrame, courses: DataFrame, k: int) -> DataFrame:
+        """The ``k`` courses of nearest text for every student; both are (id, text).
+
+        Students of equal text share one query.
+        """
+        profiles, members = shared_profiles(people, "text")
+        queries = reliable_checkpoint(self.vectors(profiles))
+        items = reliable_checkpoint(self.vectors(courses))
+        return to_members(most_similar(queries, items, k, dims=self.dims), members)

@@ -6,6 +6,8 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,12 @@ def unit(vector: Column) -> Column:
     return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
 
 
+def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Mean vector per key, combined map-side: (key, vector)."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector)))
+    return df.groupBy(key).agg(mean.alias("_mean")).select(key, vector_to_array("_mean").alias("vector"))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -124,6 +132,7 @@ def dense(vectors: pd.Series, dims: int | None) -> np.ndarray:
 def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None) -> pd.DataFrame:
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
+    i = i.sort_values("id")
     right, item_ids = dense(i["vector"], dims), i["id"].to_numpy()
     chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
     parts = [chunk_best(part, right, item_ids, same, lower, dims) for part in chunks]
@@ -138,30 +147,33 @@ def chunk_best(part, right, item_ids, same, lower, dims) -> pd.DataFrame:
     scores = np.round(scores, 6) + 0.0
     if not same:
         scores[ids[:, None] == item_ids[None, :]] = -np.inf
-    # everything at or above the k-th score of its row, then the first k by (score, id)
-    ordered = -np.sort(-scores, axis=1)
-    floor = ordered[np.arange(len(ids)), np.minimum(wanted, scores.shape[1]) - 1]
-    r, c = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-    order = np.lexsort((item_ids[c], -scores[r, c], r))
-    r, c = r[order], c[order]
-    place = np.arange(len(r)) - np.searchsorted(r, r)
-    keep = place < wanted[r]
-    r, c = r[keep], c[keep]
+    # all above the k-th score of a row, and of those equal to it the first by item id
+    most = min(int(wanted.max()), scores.shape[1])
+    best = -np.sort(np.partition(-scores, most - 1, axis=1)[:, :most], axis=1)
+    floor = best[np.arange(len(ids)), np.minimum(wanted, most) - 1][:, None]
+    above, equal = scores > floor, scores == floor
+    spare = (np.minimum(wanted, most) - above.sum(axis=1))[:, None]
+    r, c = np.nonzero((above | (equal & (np.cumsum(equal, axis=1) <= spare))) & np.isfinite(scores))
     return pd.DataFrame({"query_id": ids[r], "item_id": item_ids[c], "score": scores[r, c]})
 
 
-def shared_lists(people: DataFrame, vector: str = "vector") -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors with one representative id, and who is represented by it.
+def shared_profiles(people: DataFrame, profile: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct profiles with one representative id, and who is represented by it.
 
     Students of equal profile share one query, however many they are.
     """
-    profiles = people.groupBy(vector).agg(F.min("id").alias("profile_id"))
-    members = people.join(profiles, vector).select(F.col("id"), "profile_id")
-    return profiles.select(F.col("profile_id").alias("id"), vector), members
+    profiles = people.groupBy(profile).agg(F.min("id").alias("profile_id"))
+    members = people.join(profiles, profile).select(F.col("id"), "profile_id")
+    return profiles.select(F.col("profile_id").alias("id"), profile), members
 
 
 def most_similar_by_profile(people: DataFrame, items: DataFrame, k: int, **options) -> DataFrame:
     """``most_similar`` for many queries with few distinct vectors."""
-    profiles, members = shared_lists(people)
-    found = most_similar(profiles, items, k, **options).withColumnRenamed("query_id", "profile_id")
-    return members.join(found, "profile_id").select(F.col("id").alias("query_id"), "item_id", "score", "rank")
+    profiles, members = shared_profiles(people, "vector")
+    return to_members(most_similar(profiles, items, k, **options), members)
+
+
+def to_members(found: DataFrame, members: DataFrame) -> DataFrame:
+    """Lists of the representatives, given to everybody they stand for."""
+    listed = found.withColumnRenamed("query_id", "profile_id")
+    return members.join(listed, "profile_id").select(F.col("id").alias("query_id"), "item_id", "score", "rank")

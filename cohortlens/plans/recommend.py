@@ -9,6 +9,7 @@ from cohortlens.operators.text import TfIdf
 from cohortlens.plans.features import SCORES_SQL, model_scores
 from cohortlens.plans.ranking import METRICS, POPULARITY_SQL, course_vectors, popularity_lists, top10
 from cohortlens.plans.registry import query
+from cohortlens.session import reliable_checkpoint
 
 
 @query("n1_random")
@@ -150,10 +151,7 @@ TFIDF_SQL = f"""cc AS {counts_sql(COURSE_TEXT_SQL)}, sc AS {counts_sql(STUDENT_T
 )
 def _(c):
     fitted = TfIdf(course_docs(c))
-    found = vectors.most_similar_by_profile(
-        fitted.vectors(student_docs(c)), fitted.vectors(course_docs(c)), 5, dims=fitted.max_features
-    )
-    return recommend.as_courses(found)
+    return recommend.as_courses(fitted.most_similar(student_docs(c), course_docs(c), 5))
 
 
 @query(
@@ -173,10 +171,9 @@ def student_vectors(c):
     """Mean vector of the courses a student took (courses stand in a ring of the given vectors)."""
     n = c.raw("embeddings").agg(F.count("*")).scalar()
     met = c.interactions.select("student_id", (F.col("course_id") % n).alias("vec_id")).distinct()
-    cells = c.raw("embeddings").select("vec_id", F.posexplode("embedding").alias("at", "x"))
-    means = met.join(cells, "vec_id").groupBy("student_id", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    packed = means.groupBy("student_id").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("c"))
-    return packed.select(F.col("student_id").alias("id"), F.col("c.x").alias("vector"))
+    joined = met.join(c.raw("embeddings").select("vec_id", "embedding"), "vec_id")
+    means = vectors.mean_vectors(joined, "student_id", "embedding")
+    return reliable_checkpoint(means.select(F.col("student_id").alias("id"), "vector"))
 
 
 STUDENT_VECTORS_SQL = f"""sv AS (SELECT student_id, LIST(x ORDER BY pos) AS v FROM (SELECT student_id, pos, AVG(CAST(embedding[pos] AS DOUBLE)) AS x FROM
@@ -230,10 +227,7 @@ def _(c):
 )
 def _(c):
     table = c.raw("embeddings")
-    cells = table.select("label", F.posexplode("embedding").alias("at", "x"))
-    means = cells.groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    packed = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("c"))
-    wanted = packed.select(F.col("label").alias("id"), F.col("c.x").alias("vector"))
+    wanted = vectors.mean_vectors(table, "label", "embedding").select(F.col("label").alias("id"), "vector")
     items = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     found = vectors.most_similar(wanted, items, 10)
     return found.select(F.col("query_id").cast("int").alias("label"), F.col("item_id").alias("vec_id"), (1 - F.col("score")).alias("distance"))
