@@ -102,8 +102,9 @@ def _(c):
     return scores.pr_auc(c.predictions, "y_true", "score")
 
 
-# class weights 1 / (1 + |k - p|) with a small id-dependent part, normalised per student
-PROB_SQL = """SELECT student_id, y, p, k, w / SUM(w) OVER (PARTITION BY student_id) AS prob FROM (SELECT student_id, y, p, CAST(k AS INT) AS k,
+# class weights 1 / (1 + |k - p|) with a small id-dependent part, normalised per student;
+# nine decimals, so that equal probabilities are equal whatever the order of the sum
+PROB_SQL = """SELECT student_id, y, p, k, ROUND(w / SUM(w) OVER (PARTITION BY student_id), 9) AS prob FROM (SELECT student_id, y, p, CAST(k AS INT) AS k,
  1 / CAST(1 + ABS(k - p) AS DOUBLE) + CAST(student_id * (k + 3) % 7 AS DOUBLE) / 20 AS w FROM predictions, RANGE(5) t(k))"""
 
 
@@ -112,7 +113,7 @@ def with_probabilities(df, pred="p", prefix="prob_", n=5):
     total = weights[0]
     for w in weights[1:]:
         total = total + w
-    return df.withColumns({f"{prefix}{k}": w / total for k, w in enumerate(weights)})
+    return df.withColumns({f"{prefix}{k}": F.round(w / total, 9) for k, w in enumerate(weights)})
 
 
 @query(
@@ -332,7 +333,7 @@ def weight_sql(task, k):
 
 def prob_sql(task, n):
     total = " + ".join(weight_sql(task, k) for k in range(n))
-    return ", ".join(f"{weight_sql(task, k)} / ({total}) AS prob_{task}_{k}" for k in range(n))
+    return ", ".join(f"ROUND({weight_sql(task, k)} / ({total}), 9) AS prob_{task}_{k}" for k in range(n))
 
 
 GRADUATE_T = f"""t0 AS (SELECT student_id, {', '.join(f"y_{t}, {LEVEL.format(y=f'y_{t}', top=3)} AS p_{t}" for t in TASKS)} FROM ({GRADUATE_FEATURES_SQL})),
