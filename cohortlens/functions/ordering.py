@@ -18,6 +18,7 @@ from cohortlens.session import shuffle_width
 
 ACCURACY = 10000
 MOST_VALUES = 100_000
+SPLITS = 64
 
 
 def value_buckets(df: DataFrame, value: str, into: str = "_bucket") -> DataFrame:
@@ -178,13 +179,20 @@ def placed(x: Column, i: int, low: float, high: float) -> Column:
 
 
 def closer(numbers: DataFrame, key: tuple[str, float], size: int, low: float, high: float) -> tuple[float, float]:
-    """A tighter bracket, from approximate quantiles of the rows inside the old one."""
-    x = F.col(key[0])
-    inside = (x >= low) & (x <= high)
-    facts = numbers.agg(F.count_if(x < low).alias("below"), F.count_if(inside).alias("inside")).first()
-    local = (key[1] * (size - 1) - facts["below"]) / max(facts["inside"] - 1, 1)
-    edges = [min(max(local + d, 0.0), 1.0) for d in (-2 / ACCURACY, 2 / ACCURACY)]
-    return tuple(numbers.where(inside).agg(F.percentile_approx(x, edges, ACCURACY)).first()[0])
+    """A tighter bracket between two neighbours of split points.
+
+    The split points divide the distinct values of the old bracket evenly, so each
+    call leaves a small fraction of them, however many rows a single value has.
+    """
+    x, position = F.col(key[0]), key[1] * (size - 1)
+    distinct = numbers.where((x >= low) & (x <= high)).select(x.alias("x")).distinct()
+    shares = [i / SPLITS for i in range(SPLITS + 1)]
+    points = sorted(set(distinct.agg(F.percentile_approx("x", shares, ACCURACY)).first()[0]))
+    upto = numbers.agg(*[F.count_if(x <= p).alias(f"n{i}") for i, p in enumerate(points)]).first()
+    # the value at a position is above every point with no more rows up to it
+    under = [p for p, n in zip(points, upto) if n <= int(position)]
+    over = [p for p, n in zip(points, upto) if n > ceil(position)]
+    return max(under, default=low), min(over, default=high)
 
 
 def interpolate(pairs: list[tuple[float, int]], position: float) -> float:
