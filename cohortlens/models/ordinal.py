@@ -45,7 +45,7 @@ class OrdinalModel:
 def fit_ordinal(
     train: DataFrame, label: str, features: Sequence[str], n_classes: int, rounds: int = 10, depth: int = 4, seed: int = 42
 ) -> OrdinalModel:
-    """One booster per threshold for P(y > k); a threshold with one side only is skipped by a constant label weight."""
+    """One booster per threshold for P(y > k)."""
     ready = assembled(train, features)
     out = OrdinalModel(list(features), n_classes)
     for k in range(n_classes - 1):

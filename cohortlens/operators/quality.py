@@ -199,6 +199,8 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     cells: list[Column] = []
     for i, rule in enumerate(rules, start=1):
         try:
+            if rule.severity not in SEVERITIES:
+                raise ValueError(f"unknown severity {rule.severity!r}")
             measures |= rule.measures(df)
             passed, message = rule.verdict(df)
         except Exception as e:

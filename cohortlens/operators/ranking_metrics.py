@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from cohortlens.functions.expr import squared
 from cohortlens.functions.ordering import top_n
 
-BY_SCORE = ("score", "course_id")
-
 
 def first_k(judged: DataFrame, k: int, by: str = "score", keys: Sequence[str] = ("student_id",)) -> DataFrame:
     return top_n(judged, list(keys), [F.desc(by), F.asc("course_id")], k)

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from cohortlens.functions.expr import sigmoid
 from cohortlens.functions.ordering import top_n
 
-BEST_FIRST = [F.desc, F.asc]
-
 
 def first_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``columns`` in their order, combined map-side."""

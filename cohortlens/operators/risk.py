@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.expr import count_where, lookup, share
+from cohortlens.functions.expr import count_where, lookup
 
 # Tiers as (low, high], colours, symbols and actions.
 TIERS = {

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from cohortlens.functions.ordering import top_n
 from cohortlens.operators import dashboard, engagement, fairness, prep, risk
 from cohortlens.operators.attribution import top_factors
 from cohortlens.plans.features import PERCENTILE_SQL

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cohortlens.operators import fairness, risk
+from cohortlens.operators import fairness
 from cohortlens.plans.metrics import curve_sql
 from cohortlens.plans.registry import query
 

@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from cohortlens.functions.expr import column_name
-from cohortlens.functions.ordering import average_ranks, top_n
 from cohortlens.operators import engagement, feature_tables, marks, outcomes, prep, risk, sequences, student, targets
 from cohortlens.operators.course import course_features
 from cohortlens.operators.recommend import best_courses, popularity, popular_for_all
@@ -17,7 +15,6 @@ from cohortlens.plans.aggregates import (
     head_tail_sql,
 )
 from cohortlens.plans.outcomes import (
-    DEGREES_SQL,
     DEMAND_SQL,
     DRAW,
     DRAW_SQL,

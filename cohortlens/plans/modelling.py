@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from cohortlens.models import batch, boost, explain, multitask, ordinal, sequence, survival, tune
 from cohortlens.models.base import at_threshold, feature_names
-from cohortlens.operators import scores
 from cohortlens.operators.sequences import event_target, weekly_sequences
 from cohortlens.plans.features import (
     AGGREGATES_SQL,

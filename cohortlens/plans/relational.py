@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from cohortlens.functions import expr
-from cohortlens.functions.ordering import top_n
 from cohortlens.operators import engagement, marks, recommend, risk, vectors
 from cohortlens.plans.registry import query
 
