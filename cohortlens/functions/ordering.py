@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import shuffle_width
+from cohortlens.session import reliable_checkpoint, shuffle_width
 
 ACCURACY = 10000
 MOST_VALUES = 100_000
@@ -61,8 +61,12 @@ def running_totals(
     ``totals`` maps new column names to the summed columns. ``df`` must hold one
     row per (group, value), i.e. ties are aggregated before the call; a group may
     hold any share of the rows because the work is split by bucket.
+
+    The merged values are kept once, as the cut points, the bucket sums and the rows
+    each read them; what they were made from is not read again.
     """
     keys = list(within)
+    df = reliable_checkpoint(df)
     bucketed = value_buckets(df, value)
     step = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     per_bucket = bucketed.groupBy(*keys, "_bucket").agg(
