@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import mixing, sharding
+from cohortlens.llm import mixing, sharding, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,9 @@ MIX = mixing.Mix(
     weights={"domain": {"web": 50, "books": 30, "forums": 20}, "lang": {"en": 55, "fr": 15, "de": 15, "es": 15}},
 )
 
+#: A public tokenizer file; its folder can be set with the environment.
+TOKENIZER = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+
 
 def query(name: str) -> Callable:
     def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -32,6 +36,16 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(table(spark, folder, "documents"), MIX)
 
 
+@query("op2_token_files")
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.token_table(table(spark, folder, "documents"), TOKENIZER, end_id=2)
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), shards=24)
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
