@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, sharding, tokenfile, toxicity
+from cohortlens.llm import ann, decontam, mixing, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +47,24 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), shards=24)
 
 
+@query("op5_decontamination")
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLE["op5_decontamination"] = decontam.SQL
+
+
+@query("op6_nearest_neighbours")
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op7_sentence_spans")
+def op7_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.deduplicate(table(spark, folder, "documents"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
