@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, decontam, mixing, repeats, sharding, spans, tokenfile, toxicity
+from cohortlens.llm import ann, decontam, jaccard, mixing, repeats, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,14 @@ def op7_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     return spans.deduplicate(table(spark, folder, "documents"))
 
 
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(table(spark, folder, "documents"))
+
+
+ORACLE["op8_jaccard_join"] = jaccard.SQL
+
+
 @query("op9_repeated_strings")
 def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removed_bytes(table(spark, folder, "documents"))
