@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, decontam, jaccard, mixing, repeats, sharding, spans, tokenfile, toxicity
+from cohortlens.llm import ann, decontam, jaccard, lm, mixing, repeats, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.token_table(table(spark, folder, "documents"), TOKENIZER, end_id=2)
 
 
+@query("op3_lm_scores")
+def op3_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"), TOKENIZER)
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), shards=24)
