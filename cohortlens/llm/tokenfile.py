@@ -23,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,54 +35,99 @@ from cohortlens.llm.common import mixed, texts
 from cohortlens.session import new_table_path, reliable_checkpoint
 
 MAGIC = b"IDSHARD1"
-CACHED = 400_000
-LONGEST_CACHED = 48
+CACHED = 600_000
 BLOCK = 20_000
+TEXT_BLOCK = 4 << 20
+#: Letters that the tokenizer neither composes nor takes apart.
+LATIN = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
 LEVEL_SPARE = 2.0
 
 
 class Encoder:
-    """Ids of whole texts; equal to encoding them in one go, but each distinct chunk once.
+    """Ids of whole texts; equal to encoding them in one go, but each distinct word once.
 
     The tokenizer drops white space and never joins across it, so chunks between spaces and
-    line ends can be encoded apart. The cache of chunks is emptied when it is full.
+    line ends can be encoded apart; it also splits a full stop or comma from the letter before
+    it. Texts are taken a block at a time; when the cache of chunks is full, only those of the
+    last block stay.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() < 65_536 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size < 65_536 else 4
         self.kind = f"<u{self.width}"
+        self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.cache: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {}
+        self.apart([".", ","], self.marks)
 
-    def learn(self, chunks: list[str], into: dict[str, bytes]) -> None:
+    def apart(self, chunks: list[str], into: dict[str, bytes]) -> None:
+        """Encode chunks of any kind; their ids are told apart by their place in the text."""
         for at in range(0, len(chunks), BLOCK):
             block = chunks[at : at + BLOCK]
             starts = np.cumsum([0, *(len(c) + 1 for c in block)])
             found = self.tokenizer.encode(" ".join(block), add_special_tokens=False)
-            ids = np.array(found.ids, self.kind)
             first = np.array([o[0] for o in found.offsets], np.int64)
-            cuts = np.searchsorted(first, starts)
-            raw = ids.tobytes()
-            for c, a, b in zip(block, cuts[:-1], cuts[1:]):
-                into[c] = raw[a * self.width : b * self.width]
+            self.put(block, np.array(found.ids, self.kind), np.searchsorted(first, starts), into)
+
+    def plain(self, chunks: list[str], into: dict[str, bytes]) -> None:
+        """Encode words of Latin letters; each closes with the one id that ends a word."""
+        for at in range(0, len(chunks), BLOCK):
+            block = chunks[at : at + BLOCK]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(block)], add_special_tokens=False)[0].ids, self.kind)
+            cuts = np.flatnonzero(self.closes[ids]) + 1
+            if len(cuts) == len(block):
+                self.put(block, ids, np.concatenate([[0], cuts]), into)
+            else:  # a vocabulary without word ends
+                self.apart(block, into)
+
+    def put(self, block: list[str], ids: np.ndarray, cuts: np.ndarray, into: dict[str, bytes]) -> None:
+        raw, at = ids.tobytes(), (cuts * self.width).tolist()
+        into.update(zip(block, [raw[a:b] for a, b in zip(at, at[1:])]))
+
+    def learn(self, chunks: set[str]) -> None:
+        cache, letters, others, stopped = self.cache, set(), [], []
+        for c in chunks:
+            if c[-1] in self.marks and c[-2:-1] in LATIN:
+                stopped.append(c)
+                c = c[:-1]
+                if c in cache:
+                    continue
+            if c.isalpha() and LATIN.issuperset(c):
+                letters.add(c)
+            else:
+                others.append(c)
+        self.plain(list(letters), cache)
+        self.apart(others, cache)
+        cache.update((c, cache[c[:-1]] + self.marks[c[-1]]) for c in stopped)
+
+    def leads(self, chunks: list[str], into: dict[str, bytes]) -> None:
+        """Ids of chunks that aren't kept in the cache."""
+        self.plain([c for c in chunks if c.isalpha() and LATIN.issuperset(c)], into)
+        self.apart([c for c in chunks if c not in into], into)
 
     def encode(self, raws: list[bytes]) -> Iterator[bytes]:
-        for raw in raws:
-            chunks = raw.decode("utf-8", "replace").replace("\n", " ").replace("\t", " ").split(" ")
-            cache = self.cache
-            new = [c for c in dict.fromkeys(chunks) if c not in cache]
+        at = 0
+        while at < len(raws):
+            end, held = at, 0
+            while end < len(raws) and (end == at or held + len(raws[end]) <= TEXT_BLOCK):
+                held += len(raws[end])
+                end += 1
+            block = [raw.decode("utf-8", "replace").replace("\n", " ").replace("\t", " ").split(" ") for raw in raws[at:end]]
+            used = set(chain.from_iterable(block))
+            new = used.difference(self.cache)
             if new:
-                if len(cache) + len(new) > CACHED:
-                    cache = self.cache = {"": b""}
-                    new = [c for c in dict.fromkeys(chunks) if c]
-                long = [c for c in new if len(c) > LONGEST_CACHED]
-                self.learn([c for c in new if len(c) <= LONGEST_CACHED], cache)
-                if long:
-                    cache = dict(cache) if len(cache) < 1000 else {c: cache[c] for c in chunks if c in cache}
-                    self.learn(long, cache)
-            yield b"".join(map(cache.__getitem__, chunks))
+                if len(self.cache) + len(new) > CACHED:
+                    self.cache = {c: ids for c, ids in self.cache.items() if c in used}
+                    self.cache[""] = b""
+                self.learn(new)
+            look = self.cache.__getitem__
+            for chunks in block:
+                yield b"".join(map(look, chunks))
+            at = end
 
     def end(self, end_id: int) -> str:
         raw = int(end_id).to_bytes(self.width, "little")
