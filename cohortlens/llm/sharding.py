@@ -78,6 +78,8 @@ class Permutation:
         """Passes that the longest walk takes: one more than from any place outside."""
         a, b = self.bases
         most = 0
+        if not self.n:
+            return 1
         for x in range(self.n, a * b):
             steps = 1
             while (x := self.once(x)) >= self.n:
