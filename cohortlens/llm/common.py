@@ -152,11 +152,15 @@ def shared_keys(local: DataFrame) -> DataFrame:
     return local.groupBy("bucket").applyInPandas(meet, "home int, keys binary")
 
 
-def holds(keys: np.ndarray, blobs: list[bytes]) -> np.ndarray:
+def known_keys(blobs: list[bytes]) -> np.ndarray:
+    """A home's shared keys, ascending."""
+    return np.sort(np.concatenate([unpacked(b) for b in blobs])) if len(blobs) else np.zeros(0, np.uint64)
+
+
+def holds(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which 64-bit keys are among the shared ones of their home."""
-    if not len(blobs) or not len(keys):
+    if not len(known) or not len(keys):
         return np.zeros(len(keys), bool)
-    known = np.sort(np.concatenate([unpacked(b) for b in blobs]))
     cut = keys >> np.uint64(64 - KEY_BITS)
     at = np.minimum(np.searchsorted(known, cut), len(known) - 1)
     return known[at] == cut

@@ -41,8 +41,9 @@ from cohortlens.llm.common import (
     KEY_ROWS,
     WordHashes,
     homes_of,
-    key_rows,
     holds,
+    key_rows,
+    known_keys,
     shared_keys,
     shingles,
     texts,
@@ -165,8 +166,8 @@ def local_prefixes(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray,
 def local_actives(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray, words: int) -> pd.DataFrame:
     """Documents with shared prefix shingles, and these shingles."""
     out = []
-    known = list(others.loc[others["kind"] == 1, "keys"]) if len(others) else []
-    if len(docs) and known:
+    known = known_keys(list(others.loc[others["kind"] == 1, "keys"])) if len(others) else []
+    if len(docs) and len(known):
         for d, v, found in own_sets(docs, set(names_of(others[others["kind"] == 0])), words):
             keys = prefix(found, counts)
             keys = keys[holds(keys, known)] >> np.uint64(64 - KEY_BITS)
@@ -176,7 +177,7 @@ def local_actives(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray,
 
 
 def sent_sets(docs: pd.DataFrame, others: pd.DataFrame, words: int) -> pd.DataFrame:
-    """The sets that group tasks need: each to its own group, and as a query to others."""
+    """The texts that group tasks need: each to its own group, and as a query to others."""
     out = []
     if len(docs) and len(others):
         tasks: dict[tuple, list] = {}
@@ -186,8 +187,8 @@ def sent_sets(docs: pd.DataFrame, others: pd.DataFrame, words: int) -> pd.DataFr
         for name, raw in zip(names_of(docs), docs["text"]):
             if name in tasks and name not in done:
                 done.add(name)
-                found = shingle_set(raw, hashes, words)
-                node, body = xxhash.xxh3_128_digest(found.tobytes()), found.tobytes()
+                node = xxhash.xxh3_128_digest(shingle_set(raw, hashes, words).tobytes())
+                body = zstandard.compress(bytes(raw), 3)  # a third of the size of its shingles
                 out += [(block, chunk, role, weight, node, body) for block, chunk, role, weight in tasks[name]]
     return pd.DataFrame(out, columns=["block", "chunk", "role", "weight", "node", "body"])
 
@@ -221,11 +222,16 @@ def may_qualify(overlap: int, n: int, smallest: int, largest: int) -> bool:
     return 100 * shared >= THRESHOLD * (n + size - shared)
 
 
-def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
     """One group, and a chunk of its queries: links as a forest, and each class's weighted link count."""
+    hashes = WordHashes()
+
+    def read(body: bytes) -> np.ndarray:
+        return shingle_set(zstandard.decompress(body), hashes, words)
+
     members = pdf[pdf["role"] == 0]
     queries = pdf[pdf["role"] == 1]
-    sets = [np.frombuffer(b, np.uint64) for b in members["body"]]
+    sets = [read(b) for b in members["body"]]
     nodes = [bytes(b) for b in members["node"]] + [bytes(b) for b in queries["node"]]
     weights = np.concatenate([members["weight"], queries["weight"]]).astype(np.int64)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -253,7 +259,7 @@ def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         for i, s in enumerate(sets):
             probe(i, s, i + 1)
     for i, body in enumerate(queries["body"]):
-        probe(len(sets) + i, np.frombuffer(body, np.uint64), 0)
+        probe(len(sets) + i, read(body), 0)
     out += [(nodes[i], None, int(links[i])) for i in np.flatnonzero(links)]
     return pd.DataFrame(out, columns=["a", "b", "links"])
 
@@ -323,7 +329,7 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     sent = texts_at.groupBy("home").cogroup(tasks.groupBy("home")).applyInPandas(
         lambda k, d, o: sent_sets(d, o, words), "block long, chunk int, role int, weight long, node binary, body binary"
     )
-    compared = reliable_checkpoint(sent.groupBy("block", "chunk").applyInPandas(compare, "a binary, b binary, links long"))
+    compared = reliable_checkpoint(sent.groupBy("block", "chunk").applyInPandas(lambda pdf: compare(pdf, words), "a binary, b binary, links long"))
     links = compared.where(F.col("b").isNotNull()).select("a", "b")
     degrees = compared.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     labels = with_components(links, classes.select("node"))
