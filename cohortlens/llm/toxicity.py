@@ -45,7 +45,7 @@ SECOND_PERSON = frozenset(
 )
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 UNDONE = bytes.maketrans(b"013457@$", b"oieastas")
-ODD = re.compile(rb"[A-Za-z][0-9@$*][A-Za-z0-9@$*]*[A-Za-z]|(?:\b[A-Za-z][.\-_*]){3,}[A-Za-z]")
+ODD = re.compile(rb"(?<![A-Za-z0-9@$])[0-9@$]?[A-Za-z]{0,20}[0-9@$*][A-Za-z0-9@$*]{0,20}[A-Za-z]|(?<![A-Za-z0-9])(?:[A-Za-z][.\-_*]){3,20}[A-Za-z]")
 SHOUTED = re.compile(rb"(?<![A-Za-z])[A-Z]{3,}(?![a-z])")
 NAMES = (
     "log_words",
