@@ -110,6 +110,24 @@ def average_ranks(df: DataFrame, value: str, into: str = "rank") -> DataFrame:
     return df.join(ranked, value)
 
 
+def distinct_numbers(values: DataFrame) -> DataFrame:
+    """Number the distinct values of ``_value`` from 0 in ascending order (``_number``).
+
+    The values are split by range and sorted within the ranges; the ranges' sizes, one row
+    per partition, give each range its first number.
+    """
+    sorted_values = (
+        values.where(F.col("_value").isNotNull()).distinct().repartitionByRange("_value").sortWithinPartitions("_value")
+    )
+    kept = reliable_checkpoint(sorted_values.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = kept.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.withColumn("_part", part).join(starts, "_part").select("_value", (F.col("_start") + inside).alias("_number"))
+
+
 def top_n(df: DataFrame, per: str | Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows per key; Spark trims each task's rows before the shuffle."""
     keys = [per] if isinstance(per, str) else list(per)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import column_name, flag, one_hot
+from cohortlens.functions.ordering import distinct_numbers
 
 MAX_LEVELS = 1000
 
@@ -52,28 +53,30 @@ def dummies_drop_first(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 def dense_codes(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Code 0, 1, 2, … per distinct value in name order."""
-    found = levels(df, column)
-    codes = F.array_position(F.array(*[F.lit(v) for v in found]), F.col(column)) - 1
-    return df.withColumn(into, F.coalesce(codes, F.lit(-1)).cast("int"))
+    """Code 0, 1, 2, … per distinct value in name order; -1 for a missing value."""
+    return coded(df, column, F.col(column), distinct_numbers(df.select(F.col(column).alias("_value"))), into)
+
+
+def coded(df: DataFrame, column: str, value: Column, numbers: DataFrame, into: str) -> DataFrame:
+    """Join a table of codes (_value, _number); values that it lacks become -1."""
+    found = df.withColumn("_value", value).join(numbers, "_value", "left")
+    return found.withColumn(into, F.coalesce("_number", F.lit(-1)).cast("int")).drop("_value", "_number")
 
 
 class LabelCodes:
     """Codes of the sorted training values; values not seen in training become -1."""
 
-    def __init__(self, known: dict[str, list[str]]):
+    def __init__(self, known: dict[str, DataFrame]):
         self.known = known
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> LabelCodes:
-        return cls(levels_of(df, {c: F.col(c).cast("string") for c in columns}))
+        return cls({c: distinct_numbers(df.select(F.col(c).cast("string").alias("_value"))) for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        added = {}
-        for c, known in self.known.items():
-            place = F.array_position(F.array(*[F.lit(v) for v in known]), F.col(c).cast("string"))
-            added[f"{c}_encoded"] = (F.coalesce(place, F.lit(0)) - 1).cast("int")
-        return df.withColumns(added)
+        for c, numbers in self.known.items():
+            df = coded(df, c, F.col(c).cast("string"), numbers, f"{c}_encoded")
+        return df
 
 
 def counts_in_order(df: DataFrame, column: str, ordered: Sequence[str]) -> DataFrame:

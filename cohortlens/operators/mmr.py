@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 LISTS = "student_id long, course_id long, rank int, score double"
 
 
-def mmr(listed: DataFrame, vectors: DataFrame, n: int = 10, weight: float = 0.7, candidates: int = 50) -> DataFrame:
+def mmr(listed: DataFrame, vectors: DataFrame, n: int = 10, weight: float = 0.7, candidates: int | None = None) -> DataFrame:
     """Pick courses one by one by weight · relevance − (1 − weight) · similarity to those picked.
 
-    ``listed`` is (student_id, course_id, rank, score), of which the first
-    ``candidates`` per student take part; ``vectors`` is (course_id, vector). Each
+    ``listed`` is (student_id, course_id, rank, score), which all take part unless the
+    caller asks for the first ``candidates`` per student; ``vectors`` is (course_id, vector). Each
     list is packed into one row, so a batch of students is one numpy computation.
     Similarity is (cosine + 1) / 2, and 0 where a course has no vector or a zero one.
     """
-    rows = listed.where(F.col("rank") <= candidates).join(vectors, "course_id", "left")
+    chosen = listed if candidates is None else listed.where(F.col("rank") <= candidates)
+    rows = chosen.join(vectors, "course_id", "left")
     cell = F.struct("rank", "course_id", "score", F.transform("vector", lambda x: x.cast("double")).alias("vector"))
     packed = rows.groupBy("student_id").agg(F.array_sort(F.collect_list(cell)).alias("c"))
     plain = packed.select("student_id", F.col("c.course_id").alias("courses"), F.col("c.score").alias("scores"), F.col("c.vector").alias("vectors"))

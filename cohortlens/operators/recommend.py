@@ -117,11 +117,19 @@ def scores_by_model(listed: DataFrame, scores: DataFrame, models: Sequence[str])
     return listed.join(wide, ["student_id", "course_id"], "left")
 
 
+def next_prime(n: int) -> int:
+    """Smallest prime of at least ``n``."""
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
 def random_courses(students: DataFrame, courses: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` courses per student by a reproducible random score, without scoring all pairs.
 
-    Each student draws catalogue positions by hash; only the drawn courses get a
-    score. A small catalogue is scored in full.
+    Each student walks through the catalogue positions in steps of a length of its own;
+    only the courses met get a score. The walk meets ``n`` courses, or all if there are
+    fewer, whatever the size of the catalogue.
     """
     from cohortlens.operators.prep import place_in_group
 
@@ -131,12 +139,14 @@ def random_courses(students: DataFrame, courses: DataFrame, n: int, seed: int =
     numbered = place_in_group(keyed, "_all", "_draw", "course_id").select(
         "course_id", (F.col("_place") - 1).alias("_position")
     )
-    if size <= 8 * n:
-        positions = F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long"))
-    else:
-        tries = F.sequence(F.lit(1), F.lit(max(4 * n, n + 24)))
-        hits = F.transform(tries, lambda i: F.pmod(F.xxhash64("student_id", i, F.lit(seed)), F.lit(size)))
-        positions = F.slice(F.array_distinct(hits), 1, n)
+    # position j of a student is (start + j * step) modulo a prime of at least ``size``: all
+    # are distinct, and no more than prime - size of them lie outside the catalogue
+    prime = next_prime(max(size, 2))
+    start = F.pmod(F.xxhash64("student_id", F.lit(seed), F.lit(0)), F.lit(prime))
+    step = 1 + F.pmod(F.xxhash64("student_id", F.lit(seed), F.lit(1)), F.lit(prime - 1))
+    turns = F.sequence(F.lit(0), F.lit(min(prime, n + prime - size) - 1))
+    places = F.transform(turns, lambda j: (start + j * step) % prime)
+    positions = F.slice(F.filter(places, lambda x: x < size), 1, n)
     rows = students.select("student_id", F.explode(positions).alias("_position"))
     score = F.pmod(F.xxhash64("student_id", "course_id", F.lit(seed)), F.lit(1_000_000_007)) / 1_000_000_007
     scored = rows.join(numbered, "_position").select("student_id", "course_id", score.alias("score"))
