@@ -38,6 +38,7 @@ MAGIC = b"IDSHARD1"
 CACHED = 600_000
 BLOCK = 20_000
 TEXT_BLOCK = 4 << 20
+ASCII_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: Letters that the tokenizer neither composes nor takes apart.
 LATIN = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
 LEVEL_SPARE = 2.0
@@ -61,6 +62,7 @@ class Encoder:
         self.kind = f"<u{self.width}"
         self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.cache: dict[str, bytes] = {"": b""}
+        self.known_leads: dict[str, int] = {}
         self.marks: dict[str, bytes] = {}
         self.apart([".", ","], self.marks)
 
@@ -104,10 +106,24 @@ class Encoder:
         self.apart(others, cache)
         cache.update((c, cache[c[:-1]] + self.marks[c[-1]]) for c in stopped)
 
-    def leads(self, chunks: list[str], into: dict[str, bytes]) -> None:
-        """Ids of chunks that aren't kept in the cache."""
-        self.plain([c for c in chunks if c.isalpha() and LATIN.issuperset(c)], into)
-        self.apart([c for c in chunks if c not in into], into)
+    def leads(self, found: list[str]) -> np.ndarray:
+        """First id of each word (0 if it has none).
+
+        It is the first id of the letters that the word begins with, as the tokenizer splits
+        letters from what follows; so words that differ in punctuation are encoded once.
+        """
+        cores = [w if w.isalpha() or w[:1] not in LATIN else w.rstrip(ASCII_MARKS) for w in found]
+        known = self.known_leads
+        new = set(cores).difference(known)
+        if len(known) + len(new) > CACHED:
+            known = self.known_leads = {}
+            new = set(cores)
+        ids: dict[str, bytes] = {}
+        letters = [c for c in new if c.isalpha() and LATIN.issuperset(c)]
+        self.plain(letters, ids)
+        self.apart(list(new.difference(letters)), ids)
+        known.update((c, int.from_bytes(i[: self.width], "little")) for c, i in ids.items())
+        return np.fromiter(map(known.__getitem__, cores), np.uint32, len(cores))
 
     def encode(self, raws: list[bytes]) -> Iterator[bytes]:
         at = 0
