@@ -65,8 +65,8 @@ def matrix(column: pa.Array) -> np.ndarray:
 def neighbours(x: np.ndarray, k: int) -> np.ndarray:
     """Nearest others of each sample row."""
     squares, found = (x**2).sum(1), []
-    for a in range(0, len(x), 1024):
-        d = squares[a : a + 1024, None] + squares[None, :] - 2 * x[a : a + 1024] @ x.T
+    for a in range(0, len(x), 256):
+        d = squares[a : a + 256, None] + squares[None, :] - 2 * x[a : a + 256] @ x.T
         d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
         found.append(np.argpartition(d, min(k, d.shape[1] - 1), 1)[:, :k])
     return np.concatenate(found)
