@@ -153,7 +153,8 @@ def taken_from(leaves: DataFrame, mix: Mix) -> DataFrame:
     staged = rows.join(first, leaf, "left")
     edge = staged.where(F.col("high") == F.col("cut_high"))
     second = cut(edge, leaf, "low", "rest_high")
-    staged = staged.join(second, leaf, "left")
+    # kept, so that only the documents on an edge are dealt by leaf below
+    staged = reliable_checkpoint(staged.join(second, leaf, "left"))
     on_edge = (F.col("high") == F.col("cut_high")) & (F.col("low") == F.col("cut_low"))
     inside = F.coalesce((F.col("high") < F.col("cut_high")) | ((F.col("high") == F.col("cut_high")) & (F.col("low") < F.col("cut_low"))), F.lit(False))
     # only documents that share both digits of their leaf's cut are ordered
