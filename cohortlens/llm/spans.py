@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import WordHashes, at_home, homes_of, mixed, texts, word_codes
+from cohortlens.session import reliable_checkpoint
 
 SENTENCES = 2
 WORDS = 20
@@ -113,7 +114,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = span_rows(versions(docs))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", F.col("first").alias("at"))
     firsts = rows.groupBy("key").agg(F.min(place).alias("origin"), F.max(place).alias("final"))
-    firsts = firsts.where(F.col("origin") != F.col("final")).select("key", "origin")
+    # kept, so that both sides of the join are plain shuffles and Spark can split a frequent key
+    firsts = reliable_checkpoint(firsts.where(F.col("origin") != F.col("final")).select("key", "origin"))
     return rows.join(firsts, "key").where(place != F.col("origin")).select("doc_id", "version", "first", "last")
 
 
