@@ -197,3 +197,53 @@ def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     whole = F.col("_llm_epochs") + F.when((F.col("_llm_prefix") > 0) & ~part, 1).otherwise(0)
     full = rows.where(whole > 0).withColumn("_llm_copy", F.explode(F.sequence(F.lit(1), whole))).select(*docs.columns)
     return full.union(rows.where(part).withColumn("text", cut).select(*docs.columns))
+
+
+def sql(mix: Mix) -> str:
+    """The result of ``mix_documents`` on ``documents``, in DuckDB's SQL."""
+
+    def names(column: str, found: Mapping[str, object], otherwise: object) -> str:
+        text = lambda x: f"'{x}'" if isinstance(x, str) else str(max(0, x))
+        if not found:
+            return text(otherwise)
+        return "CASE " + column + "".join(f" WHEN '{k}' THEN {text(v)}" for k, v in found.items()) + f" ELSE {text(otherwise)} END"
+
+    parts = [
+        "d AS (SELECT doc_id, COALESCE(lang, 'unknown') AS lang, COALESCE(source, 'unknown') AS source, "
+        "CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents)",
+        f"e AS (SELECT *, {names('source', mix.domain_of, mix.other_domain)} AS domain FROM d)",
+        f"leaf AS (SELECT domain, lang, source, SUM(n_tokens)::HUGEINT AS tokens, {mix.max_epochs} * SUM(n_tokens)::HUGEINT AS capacity FROM e GROUP BY ALL)",
+        f"p AS (SELECT SUM(tokens)::HUGEINT * {mix.budget_ppm} // 1000000 AS amount FROM leaf)",
+    ]
+    above = "p"
+    for depth, child in enumerate(LEVELS):
+        path, parent = ", ".join(LEVELS[: depth + 1]), ", ".join(LEVELS[:depth]) or "1"
+        weight = names(child, mix.weights.get(child, {}), mix.other)
+        match = " AND ".join(f"n.{c} = u.{c}" for c in LEVELS[:depth]) or "TRUE"
+        order = f"PARTITION BY {parent} ORDER BY capacity::DOUBLE / weight, {child}"
+        n = f"{child}_"
+        parts += [
+            f"{n}n AS (SELECT n.*, u.amount FROM (SELECT {path}, SUM(capacity)::HUGEINT AS capacity, CAST({weight} AS HUGEINT) AS weight FROM leaf GROUP BY {path}) n "
+            f"JOIN {above} u ON {match} WHERE weight > 0 AND capacity > 0)",
+            f"{n}a AS (SELECT * EXCLUDE (amount), LEAST(amount, SUM(capacity) OVER (PARTITION BY {parent})) AS amount FROM {n}n)",
+            f"{n}b AS (SELECT *, amount - COALESCE(SUM(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft, "
+            f"SUM(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rst FROM {n}a)",
+            f"{n}c AS (SELECT *, MIN(CASE WHEN lft > 0 AND capacity * rst <= weight * lft THEN 1 ELSE 0 END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ful FROM {n}b)",
+            f"{n}f AS (SELECT *, amount - SUM(ful * capacity) OVER (PARTITION BY {parent}) AS ol, NULLIF(SUM((1 - ful) * weight) OVER (PARTITION BY {parent}), 0) AS wl FROM {n}c)",
+            f"{n}g AS (SELECT *, CASE WHEN ful = 1 THEN capacity ELSE (ol * weight) // wl END AS share, CASE WHEN ful = 1 THEN -1 ELSE (ol * weight) % wl END AS ovr FROM {n}f)",
+            f"{n}h AS (SELECT {path}, LEAST(capacity, share + CASE WHEN ROW_NUMBER() OVER (PARTITION BY {parent} ORDER BY ovr DESC, {child}) "
+            f"<= amount - SUM(share) OVER (PARTITION BY {parent}) THEN 1 ELSE 0 END) AS amount FROM {n}g)",
+        ]
+        above = f"{n}h"
+    parts += [
+        "q AS (SELECT leaf.*, COALESCE(amount, 0) AS leaf_budget, CASE WHEN tokens > 0 THEN COALESCE(amount, 0) // tokens ELSE 0 END AS epochs, "
+        f"CASE WHEN tokens > 0 THEN COALESCE(amount, 0) % tokens ELSE 0 END AS rest FROM leaf LEFT JOIN {above} USING (domain, lang, source))",
+        "r AS (SELECT e.*, leaf_budget, epochs, rest, "
+        f"CAST('0x' || substr(md5('{mix.seed}:' || CAST(epochs AS VARCHAR) || ':' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place FROM e JOIN q USING (domain, lang, source))",
+        "s AS (SELECT *, COALESCE(SUM(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r)",
+        "t AS (SELECT *, GREATEST(0, LEAST(n_tokens, rest - before)) AS prefix_tokens FROM s)",
+    ]
+    return (
+        "WITH " + ",\n".join(parts) + "\nSELECT doc_id, domain, lang, source, n_tokens, CAST(leaf_budget AS BIGINT) AS leaf_budget, CAST(epochs AS INTEGER) AS epochs, "
+        "CAST(prefix_tokens AS BIGINT) AS prefix_tokens, CAST(epochs * n_tokens + prefix_tokens AS BIGINT) AS taken_tokens FROM t"
+    )

@@ -37,6 +37,9 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(table(spark, folder, "documents"), MIX)
 
 
+ORACLE["op1_mixing"] = mixing.sql(MIX)
+
+
 @query("op2_token_files")
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.token_table(table(spark, folder, "documents"), TOKENIZER, end_id=2)
