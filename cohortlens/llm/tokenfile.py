@@ -35,7 +35,7 @@ from cohortlens.llm.common import mixed, texts
 from cohortlens.session import new_table_path, reliable_checkpoint
 
 MAGIC = b"IDSHARD1"
-CACHED = 600_000
+CACHED = 450_000
 BLOCK = 20_000
 TEXT_BLOCK = 4 << 20
 ASCII_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
