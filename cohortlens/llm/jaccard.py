@@ -27,6 +27,7 @@ null (null only if all are); an empty table gives an empty result; further colum
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,16 +40,15 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import (
     KEY_BITS,
     KEY_ROWS,
-    WordHashes,
     homes_of,
     holds,
     key_rows,
     known_keys,
+    mixed,
     shared_keys,
     shingles,
     texts,
     with_components,
-    word_codes,
 )
 from cohortlens.session import reliable_checkpoint
 
@@ -64,8 +64,49 @@ QUERIES = 512
 NO_ID = (1 << 63) - 1
 
 
-def shingle_set(raw: bytes, hashes: WordHashes, words: int) -> np.ndarray:
-    return np.unique(shingles(word_codes(raw, hashes), words))
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
+PIECE = 1 << 20
+
+
+@lru_cache(maxsize=2)
+def power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64."""
+    base, both = 0xD6E8FEB86659FD93, []
+    for b in (base, pow(base, -1, 1 << 64)):
+        out = np.full(n, b, np.uint64)
+        out[0] = 1
+        both.append(np.cumprod(out, dtype=np.uint64))
+    return both[0], both[1]
+
+
+def text_codes(raw: bytes) -> np.ndarray:
+    """64-bit hash of every word, from running sums over the text's bytes; long texts piece by piece."""
+    parts, at = [], 0
+    while at < len(raw):
+        end = len(raw)
+        if end - at > PIECE:  # cut at white space
+            end = max(raw.rfind(c, at, at + PIECE) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            end = end if end > at else len(raw)
+        parts.append(piece_codes(raw[at:end]))
+        at = end + 1
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def piece_codes(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw.lower(), np.uint8)
+    inside = ~SPACE[b]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    up, down = power_table(max(1 << 16, 1 << len(b).bit_length()))
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(BYTE_CODES[b] * up[: len(b)], out=sums[1:])
+    return mixed((sums[end] - sums[start]) * down[start])
+
+
+def shingle_set(raw: bytes, words: int) -> np.ndarray:
+    return np.unique(shingles(text_codes(raw), words))
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -78,12 +119,12 @@ def profiles(rows: DataFrame, words: int) -> DataFrame:
     """Size and digest of every document's set, and (``kind`` 1) slices of each task's shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, cells = WordHashes(), np.zeros(CELLS, np.uint32)
+        cells = np.zeros(CELLS, np.uint32)
         kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "version": pa.int64(), "home": pa.int32(), "n_shingles": pa.int64(), "body": pa.binary()}
         for batch in batches:
             sizes, digests = [], []
             for raw in batch.column("text").to_pylist():
-                found = shingle_set(raw, hashes, words)
+                found = shingle_set(raw, words)
                 cells += np.bincount((found & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32) if len(found) > CELLS // 64 else 0
                 if len(found) <= CELLS // 64:
                     np.add.at(cells, (found & np.uint64(CELLS - 1)).astype(np.int64), np.uint32(1))
@@ -131,18 +172,18 @@ def prefix(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The rarest shingles of a set: one of them is in every linked set's as well."""
     n = len(found)
     keep = n - -(-THRESHOLD * n // 100) + 1
-    order = np.lexsort((found, counts[(found & np.uint64(CELLS - 1)).astype(np.int64)]))
+    order = np.argsort(counts[(found & np.uint64(CELLS - 1)).astype(np.int64)], kind="stable")  # ties by hash: found ascends
     return found[order[:keep]]
 
 
 def own_sets(docs: pd.DataFrame, gone: set, words: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """Id, version and set of the home's documents that stand for their class."""
-    hashes, done = WordHashes(), set()
+    done = set()
     for d, v, raw in zip(docs["doc_id"], docs["version"], docs["text"]):
         name = (int(d), int(v))
         if name not in gone and name not in done:
             done.add(name)
-            found = shingle_set(raw, hashes, words)
+            found = shingle_set(raw, words)
             if len(found):
                 yield *name, found
 
@@ -183,11 +224,11 @@ def sent_sets(docs: pd.DataFrame, others: pd.DataFrame, words: int) -> pd.DataFr
         tasks: dict[tuple, list] = {}
         for name, block, chunk, role, weight in zip(names_of(others), others["block"], others["chunk"], others["role"], others["weight"]):
             tasks.setdefault(name, []).append((block, chunk, role, weight))
-        hashes, done = WordHashes(), set()
+        done = set()
         for name, raw in zip(names_of(docs), docs["text"]):
             if name in tasks and name not in done:
                 done.add(name)
-                node = xxhash.xxh3_128_digest(shingle_set(raw, hashes, words).tobytes())
+                node = xxhash.xxh3_128_digest(shingle_set(raw, words).tobytes())
                 body = zstandard.compress(bytes(raw), 3)  # a third of the size of its shingles
                 out += [(block, chunk, role, weight, node, body) for block, chunk, role, weight in tasks[name]]
     return pd.DataFrame(out, columns=["block", "chunk", "role", "weight", "node", "body"])
@@ -224,10 +265,9 @@ def may_qualify(overlap: int, n: int, smallest: int, largest: int) -> bool:
 
 def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
     """One group, and a chunk of its queries: links as a forest, and each class's weighted link count."""
-    hashes = WordHashes()
 
     def read(body: bytes) -> np.ndarray:
-        return shingle_set(zstandard.decompress(body), hashes, words)
+        return shingle_set(zstandard.decompress(body), words)
 
     members = pdf[pdf["role"] == 0]
     queries = pdf[pdf["role"] == 1]
