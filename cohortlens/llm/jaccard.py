@@ -316,14 +316,22 @@ def group_tasks(active: DataFrame) -> DataFrame:
     entries = placed.select("block", "n", F.explode("keys").alias("key"))
     matrix = entries.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     several = matrix.groupBy("key").agg(F.count("*").alias("groups")).where(F.col("groups") > 1).select("key")
-    matrix = matrix.join(several, "key").select("key", F.col("block").alias("other"), "low", "high")
-    asked = placed.select("doc_id", "version", "home", "weight", "n", "block", F.explode("keys").alias("key")).join(several, "key")
+    matrix = reliable_checkpoint(matrix.join(several, "key"))
+    # groups meet first, not documents: a shingle that many documents have joins as often as groups have it
+    other = matrix.select("key", F.col("block").alias("other"), "low", "high")
+    met = (
+        matrix.select("key", "block")
+        .join(other, "key")
+        .where(F.col("block") < F.col("other"))
+        .groupBy("block", "other")
+        .agg(F.collect_set("key").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
+    )
     fits = (F.col("high") * 100 >= F.col("n") * THRESHOLD) & (F.col("low") * THRESHOLD <= F.col("n") * 100)
     queries = (
-        asked.join(matrix, "key")
-        .where((F.col("block") < F.col("other")) & fits)
+        placed.select("doc_id", "version", "home", "weight", "n", "block", "keys")
+        .join(met, "block")
+        .where(fits & F.arrays_overlap("keys", "shared"))
         .select("doc_id", "version", "home", "weight", F.col("other").alias("block"))
-        .distinct()
     )
     queries = reliable_checkpoint(queries)
     chunks = queries.groupBy("block").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("int").alias("chunks"))
