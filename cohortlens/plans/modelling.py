@@ -63,14 +63,14 @@ def _(c):
 @query("o1_booster")
 def _(c):
     table = yield_table(c)
-    fitted = boost.fit_booster(table, "accepted", yield_columns(table), **QUICK)
+    fitted = boost.fit_booster(table, "accepted", yield_columns(table))
     return fitted.score(table).select("student_id", "course_id", "score")
 
 
 @query("o2_calibration")
 def _(c):
     table = yield_table(c)
-    fitted = boost.fit_booster(table, "accepted", yield_columns(table), **QUICK, calibrate="isotonic")
+    fitted = boost.fit_booster(table, "accepted", yield_columns(table), calibrate="isotonic")
     return fitted.score(table).select("student_id", "course_id", "score")
 
 
@@ -82,25 +82,25 @@ def _(c):
 @query("g4_top_features")
 def _(c):
     table = yield_table(c)
-    return boost.fit_booster(table, "accepted", yield_columns(table), **QUICK).importance(c.spark, 10)
+    return boost.fit_booster(table, "accepted", yield_columns(table)).importance(c.spark, 10)
 
 
 @query("o4_feature_importance")
 def _(c):
     table = yield_table(c)
-    return boost.fit_booster(table, "accepted", yield_columns(table), **QUICK).importance(c.spark)
+    return boost.fit_booster(table, "accepted", yield_columns(table)).importance(c.spark)
 
 
 @query("o5_train_and_evaluate")
 def _(c):
     table = yield_table(c)
-    return boost.train_and_evaluate(table, "accepted", yield_columns(table), **QUICK, calibrate="platt")[1]
+    return boost.train_and_evaluate(table, "accepted", yield_columns(table), calibrate="platt")[1]
 
 
 @query("o6_ordinal")
 def _(c):
     table = degree_table(c)
-    model = ordinal.fit_ordinal(table, "target", feature_names(table), 5, **QUICK)
+    model = ordinal.fit_ordinal(table, "target", feature_names(table), 5)
     return model.transform(table).select("student_id", "p", *[F.col("class_probabilities")[k].alias(f"prob_{k}") for k in range(5)])
 
 
@@ -174,7 +174,7 @@ def _(c):
 @query("o15_weekly_hazard")
 def _(c):
     table = reliable_checkpoint(survival_table(c))
-    return survival.fit_hazard(table, "time", "event", SURVIVAL_FEATURES, weeks=30, rounds=3).survival(table)
+    return survival.fit_hazard(table, "time", "event", SURVIVAL_FEATURES, weeks=30).survival(table)
 
 
 @query("o16_survival_evaluation")
@@ -208,8 +208,8 @@ def _(c):
 @query("o18_sampled_attribution")
 def _(c):
     table = reliable_checkpoint(survival_table(c))
-    fitted = boost.fit_booster(table, "event", SURVIVAL_FEATURES, **QUICK)
-    values = explain.sampled_contributions(table, SURVIVAL_FEATURES, fitted.score, permutations=2)
+    fitted = boost.fit_booster(table, "event", SURVIVAL_FEATURES)
+    values = explain.sampled_contributions(table, SURVIVAL_FEATURES, fitted.score)
     return explain.strongest(values, 3)
 
 

@@ -252,7 +252,7 @@ def _(c):
 @query("n18_learning_to_rank")
 def _(c):
     scores = model_scores(c)
-    return ranker.fit_ranker(scores, c.enrollments, rounds=3).recommend(scores, 5)
+    return ranker.fit_ranker(scores, c.enrollments).recommend(scores, 5)
 
 
 @query("n19_mmr")
