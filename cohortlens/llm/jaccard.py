@@ -60,6 +60,8 @@ CELLS = 1 << 20
 SLICES = 16
 MEMBERS = 128
 QUERIES = 512
+#: Buckets of group tasks per shuffle partition.
+BUCKETS = 16
 #: Stands for a null id inside the join; sorts last.
 NO_ID = (1 << 63) - 1
 
@@ -302,6 +304,12 @@ def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b", "links"])
 
 
+def compare_all(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
+    """The groups and chunks of a bucket, one after the other."""
+    parts = [compare(part, words) for _, part in pdf.groupby(["block", "chunk"], sort=False)]
+    return pd.concat([p for p in parts if len(p)] or parts[:1], ignore_index=True)
+
+
 def group_tasks(active: DataFrame) -> DataFrame:
     """For each class, the group that it belongs to and the groups that it is a query to."""
     smallest = F.array_min(F.transform("keys", lambda k: F.struct(F.xxhash64(k).alias("h"), k.alias("k"))))["k"]
@@ -375,7 +383,10 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     sent = texts_at.groupBy("home").cogroup(tasks.groupBy("home")).applyInPandas(
         lambda k, d, o: sent_sets(d, o, words), "block long, chunk int, role int, weight long, node binary, body binary"
     )
-    compared = reliable_checkpoint(sent.groupBy("block", "chunk").applyInPandas(lambda pdf: compare(pdf, words), "a binary, b binary, links long"))
+    # most groups are small: a bucket holds several, so that a task isn't busy with handing them over
+    dealt = sent.withColumn("bucket", F.pmod(F.xxhash64("block", "chunk"), F.lit(BUCKETS * buckets)))
+    compared = dealt.groupBy("bucket").applyInPandas(lambda pdf: compare_all(pdf, words), "a binary, b binary, links long")
+    compared = reliable_checkpoint(compared)
     links = compared.where(F.col("b").isNotNull()).select("a", "b")
     degrees = compared.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     labels = with_components(links, classes.select("node"))
