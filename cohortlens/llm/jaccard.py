@@ -52,8 +52,8 @@ from cohortlens.llm.common import (
 )
 from cohortlens.session import reliable_checkpoint
 
+#: Words of a shingle, and hundredths of similarity, unless a caller gives others.
 WORDS = 4
-#: Similarity is at least THRESHOLD / 100.
 THRESHOLD = 85
 #: Cells of the table of shingle counts: 4 MB, whatever the data.
 CELLS = 1 << 20
@@ -168,10 +168,10 @@ def shingle_counts(found: DataFrame) -> np.ndarray:
     return table.ravel()
 
 
-def prefix(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def prefix(found: np.ndarray, counts: np.ndarray, threshold: int) -> np.ndarray:
     """The rarest shingles of a set: one of them is in every linked set's as well."""
     n = len(found)
-    keep = n - -(-THRESHOLD * n // 100) + 1
+    keep = n - -(-threshold * n // 100) + 1
     order = np.argsort(counts[(found & np.uint64(CELLS - 1)).astype(np.int64)], kind="stable")  # ties by hash: found ascends
     return found[order[:keep]]
 
@@ -192,10 +192,10 @@ def names_of(frame: pd.DataFrame) -> list[tuple]:
     return [(int(d), int(v)) for d, v in zip(frame["doc_id"], frame["version"])]
 
 
-def local_prefixes(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray, buckets: int, words: int) -> pd.DataFrame:
+def local_prefixes(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray, buckets: int, words: int, threshold: int) -> pd.DataFrame:
     rows: list[dict] = []
     if len(docs):
-        parts = [prefix(s, counts) for _, _, s in own_sets(docs, set(names_of(others)), words)]
+        parts = [prefix(s, counts, threshold) for _, _, s in own_sets(docs, set(names_of(others)), words)]
         if parts:
             keys = np.sort(np.concatenate(parts))
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -204,13 +204,13 @@ def local_prefixes(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray,
     return pd.DataFrame(rows, columns=["home", "bucket", "keys"])
 
 
-def local_actives(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray, words: int) -> pd.DataFrame:
+def local_actives(docs: pd.DataFrame, others: pd.DataFrame, counts: np.ndarray, words: int, threshold: int) -> pd.DataFrame:
     """Documents with shared prefix shingles, and these shingles."""
     out = []
     known = known_keys(list(others.loc[others["kind"] == 1, "keys"])) if len(others) else []
     if len(docs) and len(known):
         for d, v, found in own_sets(docs, set(names_of(others[others["kind"] == 0])), words):
-            keys = prefix(found, counts)
+            keys = prefix(found, counts, threshold)
             keys = keys[holds(keys, known)] >> np.uint64(64 - KEY_BITS)
             if len(keys):
                 out.append((d, v, len(found), xxhash.xxh3_128_digest(found.tobytes()), np.unique(keys).astype(np.int64).tolist()))
@@ -252,18 +252,18 @@ class Forest:
         return i != j
 
 
-def linked(overlap: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
-    return 100 * overlap >= THRESHOLD * (n + sizes - overlap)
+def linked(overlap: np.ndarray, n: int, sizes: np.ndarray, threshold: int) -> np.ndarray:
+    return 100 * overlap >= threshold * (n + sizes - overlap)
 
 
-def may_qualify(overlap: int, n: int, smallest: int, largest: int) -> bool:
+def may_qualify(overlap: int, n: int, smallest: int, largest: int, threshold: int = THRESHOLD) -> bool:
     """Whether any set of these sizes that lies in the union could be linked with the query."""
     size = min(max(overlap, smallest), largest)
     shared = min(overlap, size)
-    return 100 * shared >= THRESHOLD * (n + size - shared)
+    return 100 * shared >= threshold * (n + size - shared)
 
 
-def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
+def compare(pdf: pd.DataFrame, words: int, threshold: int) -> pd.DataFrame:
     """One group, and a chunk of its queries: links as a forest, and each class's weighted link count."""
 
     def read(body: bytes) -> np.ndarray:
@@ -282,12 +282,12 @@ def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
     def probe(me: int, found: np.ndarray, later: int) -> None:
         place = np.minimum(np.searchsorted(union, found), len(union) - 1)
         place = place[union[place] == found]
-        if not may_qualify(len(place), len(found), int(sizes.min()), int(sizes.max())):
+        if not may_qualify(len(place), len(found), int(sizes.min()), int(sizes.max()), threshold):
             return
         has = np.zeros(len(union), np.int64)
         has[place] = 1
         overlap = np.add.reduceat(has[at], starts)
-        hit = np.flatnonzero(linked(overlap, len(found), sizes))
+        hit = np.flatnonzero(linked(overlap, len(found), sizes, threshold))
         hit = hit[hit >= later]
         links[me] += weights[hit].sum()
         links[hit] += weights[me]
@@ -304,13 +304,13 @@ def compare(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b", "links"])
 
 
-def compare_all(pdf: pd.DataFrame, words: int) -> pd.DataFrame:
+def compare_all(pdf: pd.DataFrame, words: int, threshold: int) -> pd.DataFrame:
     """The groups and chunks of a bucket, one after the other."""
-    parts = [compare(part, words) for _, part in pdf.groupby(["block", "chunk"], sort=False)]
+    parts = [compare(part, words, threshold) for _, part in pdf.groupby(["block", "chunk"], sort=False)]
     return pd.concat([p for p in parts if len(p)] or parts[:1], ignore_index=True)
 
 
-def group_tasks(active: DataFrame) -> DataFrame:
+def group_tasks(active: DataFrame, threshold: int) -> DataFrame:
     """For each class, the group that it belongs to and the groups that it is a query to."""
     smallest = F.array_min(F.transform("keys", lambda k: F.struct(F.xxhash64(k).alias("h"), k.alias("k"))))["k"]
     grouped = active.withColumn("group_key", smallest)
@@ -332,7 +332,7 @@ def group_tasks(active: DataFrame) -> DataFrame:
         .groupBy("block", "other")
         .agg(F.collect_set("key").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
     )
-    fits = (F.col("high") * 100 >= F.col("n") * THRESHOLD) & (F.col("low") * THRESHOLD <= F.col("n") * 100)
+    fits = (F.col("high") * 100 >= F.col("n") * threshold) & (F.col("low") * threshold <= F.col("n") * 100)
     queries = (
         placed.select("doc_id", "version", "home", "weight", "n", "block", "keys")
         .join(met, "block")
@@ -350,7 +350,7 @@ def group_tasks(active: DataFrame) -> DataFrame:
     return asked.unionByName(held.select("doc_id", "version", "home", "block", "chunk", F.lit(0).alias("role"), "weight"))
 
 
-def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def joined(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """Every document: id, version, set size, class (``node``), component and number of links."""
     rows = located(docs)
     spark, buckets = docs.sparkSession, homes_of(docs.sparkSession)
@@ -370,22 +370,22 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     none = F.lit(None).cast("binary")
     marks = copies.select(F.col("_home").alias("home"), F.lit(0).alias("kind"), F.col("_doc_id").alias("doc_id"), F.col("_version").alias("version"), none.alias("keys"))
     local = texts_at.groupBy("home").cogroup(marks.groupBy("home")).applyInPandas(
-        lambda k, d, o: local_prefixes(d, o, counts.value, buckets, words), KEY_ROWS
+        lambda k, d, o: local_prefixes(d, o, counts.value, buckets, words, threshold), KEY_ROWS
     )
     shared = shared_keys(local).select("home", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("version"), "keys")
     active = texts_at.groupBy("home").cogroup(marks.union(shared).groupBy("home")).applyInPandas(
-        lambda k, d, o: local_actives(d, o, counts.value, words), "doc_id long, version long, n long, node binary, keys array<long>"
+        lambda k, d, o: local_actives(d, o, counts.value, words, threshold), "doc_id long, version long, n long, node binary, keys array<long>"
     )
     active = reliable_checkpoint(active).join(classes.select("node", "weight"), "node")
     active = active.withColumn("home", F.pmod(F.xxhash64("doc_id", "version"), F.lit(buckets)).cast("int"))
-    tasks = group_tasks(active)
+    tasks = group_tasks(active, threshold)
     tasks = tasks.select(*[F.col(c).alias(f"_{c}") for c in tasks.columns]).toDF(*tasks.columns)
     sent = texts_at.groupBy("home").cogroup(tasks.groupBy("home")).applyInPandas(
         lambda k, d, o: sent_sets(d, o, words), "block long, chunk int, role int, weight long, node binary, body binary"
     )
     # most groups are small: a bucket holds several, so that a task isn't busy with handing them over
     dealt = sent.withColumn("bucket", F.pmod(F.xxhash64("block", "chunk"), F.lit(BUCKETS * buckets)))
-    compared = dealt.groupBy("bucket").applyInPandas(lambda pdf: compare_all(pdf, words), "a binary, b binary, links long")
+    compared = dealt.groupBy("bucket").applyInPandas(lambda pdf: compare_all(pdf, words, threshold), "a binary, b binary, links long")
     compared = reliable_checkpoint(compared)
     links = compared.where(F.col("b").isNotNull()).select("a", "b")
     degrees = compared.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
@@ -407,13 +407,13 @@ def components(docs: DataFrame) -> DataFrame:
     return joined(docs).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """The first document of every component, with all columns; documents without words all stay.
 
     First is the smallest id, then the smallest hash of the text. Rows equal in both are repeats;
     one of them stays.
     """
-    found = reliable_checkpoint(joined(docs))
+    found = reliable_checkpoint(joined(docs, words, threshold))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version")
     linked_rows = found.where(F.col("component").isNotNull())
     tops = linked_rows.groupBy("component").agg(F.min(place).alias("top"))

@@ -16,6 +16,10 @@ from cohortlens.llm.common import table
 from cohortlens.llm.queries import MIX
 from cohortlens.session import new_table_path
 
+#: Near copies share 80 hundredths of their shingles of 5 words (``op8_jaccard_join`` has a contract of its own).
+NEAR_WORDS = 5
+NEAR_THRESHOLD = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't predicted toxic."""
@@ -24,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group of near copies."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR_WORDS, NEAR_THRESHOLD)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,3 +63,25 @@ def test_stages_take_effect(spark, folder):
     assert all((r["shard"], r["slot"]) == sharding.locate(r["row_number"], len(last), 24, 20) for r in last)
     whole = corpus_pipeline.run(spark, folder).collect()
     assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, last), key=str)
+
+
+def similarity(a, b, k):
+    x, y = shingles(a, k), shingles(b, k)
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_between_the_thresholds(spark, docs_of, prose, folder):
+    rows, want = [], []
+    for i in range(12):
+        base, more = prose(2000 + i, 200), prose(3000 + i, 60).split()
+        added = base + " " + " ".join(more[: 40 + (i % 3) * 10])  # 20 to 30% more
+        cut = " ".join(base.split()[: 200 - (30 + i % 3 * 8)])  # 15 to 23% less
+        rows += [(10 * i, base), (10 * i + 1, added), (10 * i + 2, cut)]
+        want.append(10 * i)
+        # groups are transitive, but the two copies are too far apart to be linked with one another
+        want += [10 * i + j for j, t in ((1, added), (2, cut)) if similarity(base, t, 5) < 0.8]
+    near = [(a, b) for i in range(12) for a, b in ((rows[3 * i][1], rows[3 * i + j][1]) for j in (1, 2))]
+    assert sum(similarity(a, b, 5) >= 0.8 and similarity(a, b, 4) < 0.85 for a, b in near) >= 8
+    assert any(similarity(a, b, 5) < 0.8 for a, b in near)
+    kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs_of(rows), folder)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
