@@ -70,7 +70,7 @@ def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_sentence_spans")
 def op7_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
-    return spans.deduplicate(table(spark, folder, "documents"))
+    return spans.deduplicate(table(spark, folder, "documents"), least_words=0)
 
 
 @query("op8_jaccard_join")

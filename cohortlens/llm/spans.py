@@ -2,10 +2,15 @@
 
 A sentence ends with a run of ``.``, ``!`` or ``?``, or at a line end; blank ones don't count.
 From every sentence a span runs over consecutive sentences of the document: the fewest that are
-at least ``SENTENCES`` and have ``WORDS`` words together. Spans of all documents are joined by a
+at least ``SENTENCES`` and have ``least_words`` words together. Spans of all documents are joined by a
 hash of their words; the first occurrence is the one with the smallest document id, then
 position. Every sentence that lies in a span which isn't the first of its kind is removed.
 
+Without a least number of words these are all runs of ``SENTENCES`` sentences, and they remove what
+all longer runs would: where a run occurred before, each run of ``SENTENCES`` within it did as well,
+and together they cover it. That is the query's rule. With a least number of words (``WORDS`` if not
+given), shorter repeats stay, and so do a passage's last sentences.
+
 A span hash's first occurrence is a minimum that is combined before the shuffle; the join
 back is one that Spark can split, so a passage in a third of all documents is no hot task.
 
@@ -77,7 +82,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return power_table(max(1 << 16, 1 << int(n).bit_length()))
 
 
-def span_rows(docs: DataFrame) -> DataFrame:
+def span_rows(docs: DataFrame, least_words: int) -> DataFrame:
     """One row per span: document, hash, first and last sentence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +90,7 @@ def span_rows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             names, versions, keys, first, last = [], [], [], [], []
             for name, version, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text"))):
-                for key, i, j in spans(raw, hashes):
+                for key, i, j in spans(raw, hashes, least_words=least_words):
                     names.append(name)
                     versions.append(version)
                     keys.append(key)
@@ -109,9 +114,9 @@ def versions(docs: DataFrame) -> DataFrame:
     return texts(docs).withColumn("version", F.xxhash64("text"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, least_words: int = WORDS) -> DataFrame:
     """Spans that aren't the first of their kind."""
-    rows = span_rows(versions(docs))
+    rows = span_rows(versions(docs), least_words)
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "version", F.col("first").alias("at"))
     firsts = rows.groupBy("key").agg(F.min(place).alias("origin"), F.max(place).alias("final"))
     # kept, so that both sides of the join are plain shuffles and Spark can split a frequent key
@@ -119,7 +124,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return rows.join(firsts, "key").where(place != F.col("origin")).select("doc_id", "version", "first", "last")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, least_words: int = WORDS) -> DataFrame:
     """Every document with its sentences and what is left of it.
 
     ``removed`` lists the removed sentences, from 0; ``kept_text`` joins the others by spaces.
@@ -127,7 +132,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     homes = homes_of(docs.sparkSession)
     texts_at = at_home(versions(docs), homes)
     covered = (
-        repeated_spans(docs)
+        repeated_spans(docs, least_words)
         .groupBy("doc_id", "version")
         .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     )

@@ -1,5 +1,6 @@
 import re
 
+from cohortlens.llm.queries import op7_sentence_spans
 from cohortlens.llm.spans import SENTENCES, WORDS, deduplicate
 
 
@@ -59,3 +60,39 @@ def test_odd_rows(docs_of, odd_rows):
     assert by_id[7][2] == [] and len(by_id[8][2]) > by_id[8][1] - 10
     assert len(deduplicate(docs_of(odd_rows)).collect()) == len(odd_rows)
     assert deduplicate(docs_of([])).count() == 0
+
+
+def every_run(rows):
+    """Removed sentences by id: of all runs of at least SENTENCES sentences, those that occurred before."""
+    seen, out = set(), {}
+    for d, t in sorted(rows):
+        cut = [tuple(s.lower().split()) for s in re.findall(r"[^.!?\n]*[.!?]+|[^.!?\n]+", t) if s.strip()]
+        gone = set()
+        for i in range(len(cut)):
+            for j in range(i + SENTENCES, len(cut) + 1):
+                run = tuple(cut[i:j])
+                if run in seen:
+                    gone.update(range(i, j))
+                seen.add(run)
+        out[d] = (len(cut), sorted(gone))
+    return out
+
+
+def test_query_covers_every_run(spark, docs_of, prose, tmp_path):
+    passages = [prose(700 + i, n) for i, n in enumerate((40, 25, 12, 8))]
+    passages += ["One is here. Two are there. Three.", "Yes. No."]
+    rows = []
+    for i in range(60):
+        parts = [prose(4000 + i, 40)]
+        if i % 2:
+            parts.insert(i % 3 % 2, passages[i % 12 // 2])
+        if i % 9 == 0:
+            parts.append(parts[0])  # repeats itself
+        rows.append((i, " ".join(parts)))
+    tail = "Here a first sentence of many words which is long enough to make up a run of twenty words all by itself. "
+    rows += [(100, tail + "Ten more words are in this one to go on with. And so it ends."), (101, "Other. Ten more words are in this one to go on with. And so it ends.")]
+    rows += [(110, "A short copy. As whole."), (111, "A short copy. As whole."), (112, "One sentence only."), (113, "One sentence only.")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_sentences"], r["removed"]) for r in op7_sentence_spans(spark, str(tmp_path)).collect()}
+    assert got == every_run(rows)
+    assert got[101][1] == [1, 2] and got[111][1] == [0, 1] and got[113][1] == []
