@@ -20,28 +20,26 @@ from cohortlens.plans.features import (
 from cohortlens.plans.registry import query
 from cohortlens.session import reliable_checkpoint
 
-QUICK = {"rounds": 3, "depth": 3}
-
 
 def yield_columns(df):
     return [c for c in df.columns if c.startswith("feat_")]
 
 
 def yield_trainer(train, params):
-    fitted = boost.fit_booster(train, "accepted", yield_columns(train), **{**QUICK, **params})
+    fitted = boost.fit_booster(train, "accepted", yield_columns(train), **params)
     return fitted.predict
 
 
 @query("j10_cross_validate")
 def _(c):
     table = yield_table(c)
-    results = tune.cross_validate(table, "accepted", yield_trainer, k=3, scoring="roc_auc")
+    results = tune.cross_validate(table, "accepted", yield_trainer, scoring="roc_auc")
     return tune.summarised(results)
 
 
 @query("j11_fold_results")
 def _(c):
-    return tune.cross_validate(yield_table(c), "accepted", yield_trainer, strategy="group", scoring="accuracy", k=3, group="course_id")
+    return tune.cross_validate(yield_table(c), "accepted", yield_trainer, strategy="group", scoring="accuracy", group="course_id")
 
 
 @query("j13_sample_weights")
@@ -49,7 +47,7 @@ def _(c):
     table = wellbeing_table(c).withColumn("row_weight", 1.0 + F.col("imd_decile") / 10.0)
     names = feature_names(table, ["row_weight"])
     heads = {"y_at_risk": "flag"}
-    return multitask.fit_heads(table, heads, names, **QUICK, weight="row_weight").transform(table).select(
+    return multitask.fit_heads(table, heads, names, weight="row_weight").transform(table).select(
         "student_id", "p_at_risk", "prob_at_risk"
     )
 
@@ -57,7 +55,7 @@ def _(c):
 @query("j14_parameter_search")
 def _(c):
     space = {"depth": ("int", 2, 4), "step": ("log", 0.05, 0.3), "subsample": ("float", 0.6, 1.0)}
-    return tune.search(yield_table(c), "accepted", yield_trainer, space, trials=3)[1]
+    return tune.search(yield_table(c), "accepted", yield_trainer, space)[1]
 
 
 @query("o1_booster")
@@ -122,7 +120,7 @@ def heads_query(name, table_of, heads, key="student_id"):
     @query(name)
     def _(c):
         table = table_of(c)
-        fitted = multitask.fit_heads(table, heads, feature_names(table), **QUICK)
+        fitted = multitask.fit_heads(table, heads, feature_names(table))
         return fitted.transform(table).select(key, *[f"p_{h.removeprefix('y_')}" for h in heads])
 
 

@@ -68,13 +68,13 @@ def _(c):
 
 @query("n5_factorisation")
 def _(c):
-    factors = collaborative.fit_factors(c.interactions, max_iter=3)
+    factors = collaborative.fit_factors(c.interactions)
     return factors.score(c.enrollments.select("student_id", "course_id"))
 
 
 @query("n6_factorisation_lists")
 def _(c):
-    factors = collaborative.fit_factors(c.interactions, max_iter=3)
+    factors = collaborative.fit_factors(c.interactions)
     return factors.recommend(c.students, c.interactions, 5)
 
 
@@ -98,15 +98,15 @@ def _(c):
 def _(c):
     people = c.students.join(c.qualifications, "student_id")
     model = collaborative.fit_hybrid(
-        c.enrollments, people, c.courses, ["qualification_type", "gender"], ["department"], max_iter=5
+        c.enrollments, people, c.courses, ["qualification_type", "gender"], ["department"]
     )
     return model.score(c.enrollments.select("student_id", "course_id"))
 
 
 @query("n9_neural_factors")
 def _(c):
-    factors = collaborative.fit_factors(c.interactions, max_iter=2)
-    model = collaborative.fit_neural(c.enrollments, c.courses, factors, max_iter=10)
+    factors = collaborative.fit_factors(c.interactions)
+    model = collaborative.fit_neural(c.enrollments, c.courses, factors)
     return model.score(c.enrollments.select("student_id", "course_id"))
 
 
