@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, decontam, jaccard, lm, mixing, repeats, sharding, spans, tokenfile, toxicity
+from cohortlens.llm import ann, decontam, jaccard, lm, mixing, pii, repeats, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
