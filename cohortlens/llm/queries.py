@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, decontam, jaccard, lm, mixing, pii, repeats, sharding, spans, tokenfile, toxicity
+from cohortlens.llm import ann, decontam, jaccard, lm, mixing, phrases, pii, repeats, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_personal_data")
 def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
+
+
+@query("op12_collocations")
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op12_collocations"] = phrases.SQL
