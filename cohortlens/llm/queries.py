@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, decontam, jaccard, lm, mixing, phrases, pii, repeats, sharding, spans, tokenfile, toxicity
+from cohortlens.llm import align, ann, decontam, jaccard, lm, mixing, phrases, pii, repeats, sharding, spans, tokenfile, toxicity
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,8 +20,7 @@ MIX = mixing.Mix(
     weights={"domain": {"web": 50, "books": 30, "forums": 20}, "lang": {"en": 55, "fr": 15, "de": 15, "es": 15}},
 )
 
-#: A public tokenizer file; its folder can be set with the environment.
-TOKENIZER = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(name: str) -> Callable:
@@ -102,3 +101,9 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op12_collocations"] = phrases.SQL
+
+
+@query("op13_cross_alignment")
+def op13_cross_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    both = align.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return align.alignment(table(spark, folder, "documents"), both)
