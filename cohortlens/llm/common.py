@@ -87,6 +87,16 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """UTF-8 bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+
+
+def parts_for(spark: SparkSession, size: int, each: int) -> int:
+    """How many parts of about ``each`` bytes hold ``size`` bytes; as many as shuffle partitions at least."""
+    return max(shuffle_width(spark), -(-size // each))
+
+
 def at_home(docs: DataFrame, homes: int) -> DataFrame:
     """Add ``home``: the documents' bucket by id; a home's documents fit in a task.
 
