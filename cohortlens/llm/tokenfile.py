@@ -9,11 +9,14 @@ and compares the fingerprint; keys that aren't there are told apart but for 1 in
 
 The files are written by Spark's text writer, so any store that Spark writes to will do: a
 row is a document's ids as raw bytes, and the "line separator" is the end id. Shards are the
-ranges of a range split by id; text moves once, ids are written where they are made.
+ranges of a ranges of a range split by id and text hash, as many as the bytes of text ask for, so that many rows
+of one id are spread over files; text moves once, ids are written where they are made. Beside them
+lies a small table of each file's first and last id. A lookup goes by that table to the files that
+may have the key, and reads no others.
 
 Results of the awkward cases: a null text is empty and has the end id only; null ids come
 first and have a key like any other; rows of a repeated id are kept apart by their copy number
-(by hash of the text, from 0); an empty table has no shards; further columns are ignored.
+(by hash of the text, from 0, over all files); an empty table has no shards; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import mixed, texts
+from cohortlens.llm.common import mixed, parts_for, text_bytes, texts
 from cohortlens.session import new_table_path, reliable_checkpoint
 
 MAGIC = b"IDSHARD1"
@@ -42,6 +45,11 @@ ASCII_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: Letters that the tokenizer neither composes nor takes apart.
 LATIN = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)
 LEVEL_SPARE = 2.0
+#: Distinct keys need far fewer levels; each level keeps more than half of its keys.
+MOST_LEVELS = 64
+#: Bytes of text for each file, and documents that are encoded at a time.
+FILE_BYTES = 32 << 20
+AT_ONCE = 512
 
 
 class Encoder:
@@ -158,8 +166,11 @@ def encoder(path: str) -> Encoder:
 
 
 def key_hash(ids: np.ndarray, null: np.ndarray, copies: np.ndarray, salt: int) -> np.ndarray:
-    x = mixed(ids.astype(np.int64).view(np.uint64) + np.uint64(0x51ED270B) * copies.astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return mixed(x ^ np.where(null, np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(salt + 1)))
+    """Hash of each key; id and copy number are hashed on their own, with another start for every salt."""
+    seed = np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))
+    of_id = mixed(ids.astype(np.int64).view(np.uint64) + seed)
+    of_copy = mixed((copies.astype(np.uint64) << np.uint64(1) | null.astype(np.uint64)) ^ mixed(np.array([seed + np.uint64(1)]))[0])
+    return mixed(of_id * np.uint64(0xC2B2AE3D27D4EB4F) + of_copy)
 
 
 @dataclass
@@ -175,6 +186,8 @@ class PerfectHash:
     def build(ids: np.ndarray, null: np.ndarray, copies: np.ndarray) -> PerfectHash:
         left, levels = np.arange(len(ids)), []
         while len(left):
+            if len(levels) == MOST_LEVELS:
+                raise ValueError("two keys of a shard are equal")
             m = max(64, int(LEVEL_SPARE * len(left)))
             at = (key_hash(ids[left], null[left], copies[left], len(levels) + 1) % np.uint64(m)).astype(np.int64)
             alone = np.bincount(at, minlength=m) == 1
@@ -256,17 +269,18 @@ class Shard:
         return np.where(known, self.at[slot], -1), np.where(known, self.n[slot], 0)
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) -> None:
-    """Encode all documents and write the shard files under ``path``."""
+def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, lookup: bool = True) -> None:
+    """Encode all documents and write the shard files under ``path``; ``lookup``: and the table that ``fetch`` needs."""
     rows = texts(docs).withColumn("_llm_tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
+    files = parts_for(docs.sparkSession, text_bytes(docs), FILE_BYTES)
+    rows = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), F.col("_llm_tie"))
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_llm_tie").drop("_llm_tie")
     end = encoder(tokenizer).end(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, ids, null, copies, counts = encoder(tokenizer), [], [], [], []
         last, copy = object(), 0
-        for batch in batches:
+        for batch in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
             names = batch.column("doc_id").to_pylist()
             out, held = [], 0
             for name, raw in zip(names, code.encode(batch.column("text").to_pylist())):
@@ -288,13 +302,59 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) ->
             yield pa.RecordBatch.from_arrays([pa.array([end_of_file], pa.binary())], ["value"])
 
     encoded = rows.mapInArrow(run, "value binary")
-    encoded.select(F.col("value").cast("string").alias("value")).write.option("lineSep", end).text(path)
+    encoded.select(F.col("value").cast("string").alias("value")).write.option("lineSep", end).text(f"{path}/ids")
+    if lookup:
+        write_ranges(docs.sparkSession, path)
 
 
-def shard_files(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0)
+def shard_files(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    files = spark.read.format("binaryFile").load(f"{path}/ids" if only is None else only).where(F.col("length") > 0)
     number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
-    return files.select(number.alias("shard"), "content")
+    return files.select(number.alias("shard"), "path", "content")
+
+
+RANGES = "shard int, path string, low long, high long, low_null boolean, high_null boolean, low_rows long, high_rows long"
+
+
+def write_ranges(spark: SparkSession, path: str) -> None:
+    """First and last id of each file, and how many rows of the file have them: one row per file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, place, content in zip(batch.column("shard").to_pylist(), batch.column("path").to_pylist(), batch.column("content")):
+                shard = Shard.read(content.as_buffer())
+                rows = [int(((shard.ids == shard.ids[i]) & (shard.null == shard.null[i])).sum()) for i in (0, -1)]
+                one = [[name], [place], [int(shard.ids[0])], [int(shard.ids[-1])], [bool(shard.null[0])], [bool(shard.null[-1])], [rows[0]], [rows[1]]]
+                kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+                names = ["shard", "path", "low", "high", "low_null", "high_null", "low_rows", "high_rows"]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(one, kinds)], names)
+
+    shard_files(spark, path).mapInArrow(run, RANGES).write.parquet(f"{path}/ranges")
+
+
+def read_ranges(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RANGES).parquet(f"{path}/ranges")
+
+
+def ends_of(ranges: DataFrame) -> DataFrame:
+    """First and last id of each file, each with its rows there."""
+    ends = "array_distinct(array(struct(low as id, low_null as null_id, low_rows as n), struct(high as id, high_null as null_id, high_rows as n)))"
+    return ranges.select("shard", F.explode(F.expr(ends)).alias("e")).select("shard", "e.*")
+
+
+def ends_among(found: DataFrame) -> DataFrame:
+    """The same from the files' documents."""
+    key = F.struct(F.col("doc_id").isNotNull(), "doc_id")
+    ends = found.groupBy("shard").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    # one row per file
+    at_end = found.join(F.broadcast(ends), "shard").where((key == F.col("low")) | (key == F.col("high")))
+    return at_end.groupBy("shard", "doc_id").agg(F.count("*").alias("n")).select("shard", F.col("doc_id").alias("id"), F.col("doc_id").isNull().alias("null_id"), "n")
+
+
+def earlier_rows(ends: DataFrame) -> DataFrame:
+    """Rows of a file's first id in the files before it; only files whose first id began earlier."""
+    before = Window.partitionBy("id", "null_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return ends.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0))).where("earlier > 0").select("shard", "id", "null_id", "earlier")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -325,51 +385,51 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     starts = sizes.select("shard", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("first"))
     # one row per file
     joined = found.join(F.broadcast(starts), "shard")
+    again = earlier_rows(ends_among(found)).select("shard", F.when(~F.col("null_id"), F.col("id")).alias("_id"), "earlier")
+    # at most one row per file
+    again = F.broadcast(again.withColumnRenamed("shard", "_shard"))
+    joined = joined.join(again, (F.col("shard") == F.col("_shard")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = joined.withColumn("copy", F.col("copy") + F.coalesce("earlier", F.lit(0)))
     return joined.select("doc_id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "copy", "shard", "offset")
 
 
 def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """Ids of the given keys (``doc_id``, ``copy``), one row per key; null ids for absent keys.
 
-    Every shard is probed through its index for the keys that fall in its range.
+    The table of ranges tells the files that may have a key; only these are read, and in each
+    the index gives the key's place.
     """
     ranges = read_ranges(spark, path)
     asked = keys.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("copy", F.lit(0)).cast("long").alias("copy")).distinct()
-    spot = asked.join(ranges, (F.col("doc_id") >= F.col("low")) & (F.col("doc_id") <= F.col("high")) | F.col("doc_id").isNull() & F.col("nulls"), "left")
+    null = F.col("doc_id").isNull()
+    inside = (~null & (F.col("low_null") | (F.col("doc_id") >= F.col("low"))) & ~F.col("high_null") & (F.col("doc_id") <= F.col("high"))) | (null & F.col("low_null"))
+    # one row per file
+    spot = asked.join(F.broadcast(ranges.select("shard", "path", "low", "low_null", "high", "high_null")), inside)
+    again = earlier_rows(ends_of(ranges)).select(F.col("shard").alias("_shard"), F.when(~F.col("null_id"), F.col("id")).alias("_id"), "earlier")
+    spot = spot.join(F.broadcast(again), (F.col("shard") == F.col("_shard")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    spot = spot.select("doc_id", "copy", "shard", "path", (F.col("copy") - F.coalesce("earlier", F.lit(0))).alias("nth")).where("nth >= 0")
+    spot = reliable_checkpoint(spot)
+    needed = [r["path"] for r in spot.select("path").distinct().collect()]  # names of files
+    schema = "doc_id long, copy long, ids array<long>"
+    if not needed:
+        return asked.withColumn("ids", F.lit(None).cast("array<long>"))
 
     def probe(name: tuple, asks: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
-        null = asks["doc_id"].isna().to_numpy()
-        ids, copies = asks["doc_id"].fillna(0).to_numpy(np.int64), asks["copy"].to_numpy(np.int64)
-        if not len(files) or not len(asks):
-            return pd.DataFrame({"doc_id": asks["doc_id"], "copy": copies, "ids": [None] * len(asks)})
+        none = asks["doc_id"].isna().to_numpy()
         shard = Shard.read(files["content"].iloc[0])
-        at, n = shard.find(ids, null, copies)
+        at, n = shard.find(asks["doc_id"].fillna(0).to_numpy(np.int64), none, asks["nth"].to_numpy(np.int64))
         found = [shard.payload[a : a + k].astype(np.int64).tolist() if a >= 0 else None for a, k in zip(at, n)]
-        return pd.DataFrame({"doc_id": asks["doc_id"].astype("Int64"), "copy": copies, "ids": found})
-
-    schema = "doc_id long, copy long, ids array<long>"
-    files = shard_files(spark, path)
-    return spot.groupBy("shard").cogroup(files.groupBy("shard")).applyInPandas(probe, schema)
-
-
-def read_ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Smallest and largest id of each shard: one row per file."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
-                shard = Shard.read(content.as_buffer())
-                some = shard.ids[~shard.null]
-                ends = [int(some[0]), int(some[-1])] if len(some) else [None, None]
-                yield pa.RecordBatch.from_pylist([{"shard": name, "low": ends[0], "high": ends[1], "nulls": bool(shard.null.any())}], schema=RANGES)
+        return pd.DataFrame({"doc_id": asks["doc_id"].astype("Int64"), "copy": asks["copy"], "ids": pd.Series(found, index=asks.index, dtype=object)})
 
-    RANGES = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("nulls", pa.bool_())])
-    return reliable_checkpoint(shard_files(spark, path).mapInArrow(run, "shard int, low long, high long, nulls boolean"))
+    files = shard_files(spark, path, needed).select("shard", "content")
+    hits = spot.select("doc_id", "copy", "nth", "shard").groupBy("shard").cogroup(files.groupBy("shard")).applyInPandas(probe, schema)
+    hits = hits.where("ids is not null").select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "ids")
+    return asked.join(hits, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")), "left").select("doc_id", "copy", "ids")
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     """Write the documents' ids to new files in the shared folder and read them back."""
     spark = docs.sparkSession
     path = new_table_path(spark, "tokens")
-    write_tokens(docs, tokenizer, path, end_id)
+    write_tokens(docs, tokenizer, path, end_id, lookup=False)
     return read_tokens(spark, path)

@@ -30,6 +30,31 @@ def test_perfect_hash_is_minimal():
     assert sorted(index.slots(ids, none, zero).tolist()) == list(range(len(ids)))
 
 
+def test_keys_that_once_hashed_alike_are_told_apart():
+    ids, copies = np.array([7, 7 + 0x51ED270B], np.int64), np.array([1, 0], np.int64)
+    none = np.zeros(2, bool)
+    index = PerfectHash.build(ids, none, copies)
+    assert sorted(index.slots(ids, none, copies).tolist()) == [0, 1]
+    with pytest.raises(ValueError):
+        PerfectHash.build(np.array([1, 1]), none, np.array([0, 0]))
+
+
+def test_rows_of_one_id_are_spread_over_files(spark, docs_of, prose, tokenizer):
+    rows = [(5, prose(i, 30)) for i in range(300)] + [(i, prose(i, 20)) for i in range(100, 160)] + [(None, prose(i, 25)) for i in range(300)]
+    path = new_table_path(spark, "tokens-test")
+    write_tokens(docs_of(rows), TOKENIZER, path)
+    got = read_tokens(spark, path).collect()
+    assert len({r["shard"] for r in got if r["doc_id"] == 5}) > 1 and len({r["shard"] for r in got if r["doc_id"] is None}) > 1
+    assert sorted(r["copy"] for r in got if r["doc_id"] == 5) == list(range(300))
+    assert sorted(r["copy"] for r in got if r["doc_id"] is None) == list(range(300))
+    keys = spark.createDataFrame([(d, c) for d in (5, None) for c in range(301)] + [(100, 0), (1, 0)], "doc_id long, copy long")
+    found = {(r["doc_id"], r["copy"]): r["ids"] for r in fetch(spark, path, keys).collect()}
+    assert len(found) == 604 and found[5, 300] is None and found[None, 300] is None and found[1, 0] is None and found[100, 0]
+    for d in (5, None):
+        want = sorted([*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in rows if i == d)
+        assert sorted(found[d, c] for c in range(300)) == want
+
+
 def test_round_trip_and_keyed_access(spark, docs_of, odd_rows, tokenizer):
     rows = [*odd_rows, *[(100 + i, t) for i, t in enumerate(HARD)]]
     path = new_table_path(spark, "tokens-test")
