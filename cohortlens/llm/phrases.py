@@ -188,24 +188,17 @@ class Vocabulary(dict):
     def __init__(self, lang: str, words: Bitmap, seed: int) -> None:
         super().__init__({b"": -1, b"\n": -2})
         self.code, self.words, self.seed = lang_code(lang), words, seed
-        self.codes = np.zeros(1024, np.uint64)
-        self.names: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        code = np.uint64(code_of(word, self.seed))
-        if not self.words.holds(folded([np.array([code])], self.code))[0]:
-            self[word] = -2
-            return -2
-        self[word] = i = len(self.names)
-        self.names.append(word)
-        if i == len(self.codes):
-            self.codes = np.resize(self.codes, 2 * i)
-        self.codes[i] = code
-        return i
-
-    @property
-    def used(self) -> int:
-        return len(self.names)
+        self.codes = np.zeros(0, np.uint64)
+
+    def ids(self, found: list[bytes]) -> np.ndarray:
+        new = list(set(found).difference(self))
+        if new:
+            codes = np.fromiter((code_of(w, self.seed) for w in new), np.uint64, len(new))
+            often = self.words.holds(folded([codes], self.code))
+            numbers = np.where(often, len(self.codes) - 1 + np.cumsum(often), -2)
+            self.update(zip(new, numbers.tolist()))
+            self.codes = np.concatenate([self.codes, codes[often]])
+        return np.array(list(map(self.__getitem__, found)), np.int64)
 
 
 class Container:
@@ -302,7 +295,7 @@ def run_rows(lang: str, spilled: list[tuple[int, np.ndarray, np.ndarray]], vocab
     counts = np.concatenate([c for _, _, c in spilled])
     mask = np.uint64((1 << ID_BITS) - 1)
     ids = [first, *(((keys >> np.uint64(ID_BITS * j)) & mask).astype(np.int64) - 1 for j in reversed(range(width - 1)))]
-    codes = vocabulary.codes[: vocabulary.used]
+    codes = vocabulary.codes
     by_code = np.argsort(codes)
     rank = np.zeros(len(codes) + 1, np.uint64)  # the last is for no word
     rank[by_code] = np.arange(1, len(codes) + 1, dtype=np.uint64)
@@ -360,34 +353,30 @@ class Counting:
         self.words, self.pairs = Bitmap(words), Bitmap(pairs) if pairs else None
         self.vocabularies: dict[str, Vocabulary] = {}
         self.tries: dict[str, Trie] = {}
-        self.waiting: dict[str, list[list[int]]] = {}
+        self.waiting: dict[str, list[list[bytes]]] = {}
         self.n_waiting = 0
 
-    def vocabulary(self, lang: str) -> Vocabulary:
-        if lang not in self.vocabularies:
-            self.vocabularies[lang] = Vocabulary(lang, self.words, self.seed)
-        return self.vocabularies[lang]
-
     def add(self, lang: str, raw: bytes) -> Iterator[pa.RecordBatch]:
         for piece in slices(raw):
-            ids = list(map(self.vocabulary(lang).__getitem__, marked_words(piece)))
-            self.waiting.setdefault(lang, []).append(ids)
-            self.n_waiting += len(ids)
+            found = marked_words(piece)
+            self.waiting.setdefault(lang, []).append(found)
+            self.n_waiting += len(found)
             if self.n_waiting > BATCH:
                 yield from self.flush()
         # as many ends as a phrase has words, so that no phrase is cut off by ``insert``
-        self.waiting.setdefault(lang, []).append([-2] * (self.width - 1))
+        self.waiting.setdefault(lang, []).append([b"\n"] * (self.width - 1))
 
     def insert(self, lang: str) -> None:
         """Count the phrases that start before the last few waiting words, which stay."""
-        ids = np.fromiter((i for x in self.waiting.pop(lang) for i in x), np.int64)
-        ids = ids[ids != -1]
+        words = [w for x in self.waiting.pop(lang) for w in x if w]
+        self.waiting[lang] = [words[-(self.width - 1) :]]
+        if lang not in self.vocabularies:
+            self.vocabularies[lang] = Vocabulary(lang, self.words, self.seed)
+        vocabulary = self.vocabularies[lang]
+        ids = vocabulary.ids(words)
         n = len(ids) - self.width + 1
         if n <= 0:
-            self.waiting[lang] = [ids.tolist()]
             return
-        self.waiting[lang] = [ids[n:].tolist()]
-        vocabulary = self.vocabularies[lang]
         linked = (ids[:-1] >= 0) & (ids[1:] >= 0)
         if self.pairs:
             at = np.flatnonzero(linked)
@@ -412,10 +401,7 @@ class Counting:
             yield from self.spill(HELD // 2 // len(self.tries))
         if sum(map(len, self.vocabularies.values())) > WORDS:
             yield from self.spill(0)
-            old, self.vocabularies = self.vocabularies, {}
-            for lang, rest in self.waiting.items():
-                words = [old[lang].names[i] if i >= 0 else b"\n" for x in rest for i in x]
-                self.waiting[lang] = [list(map(self.vocabulary(lang).__getitem__, words))]
+            self.vocabularies, self.tries = {}, {}
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
         for lang, trie in self.tries.items():
