@@ -1,43 +1,34 @@
 """Ordered computations that stay distributed.
 
 A window without a partition key moves every row to one task. The functions here
-cut the value range into buckets at approximate quantiles, so that no task sees
-more than a slice of the distinct values, whatever the skew.
+cut the value range into buckets, so that no task sees more than a slice of the
+distinct values, whatever the skew. Quantiles are selected digit by digit.
 """
 
 from __future__ import annotations
 
+import struct
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from math import ceil
+from math import ceil, floor
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.session import reliable_checkpoint, shuffle_width
 
-ACCURACY = 10000
-MOST_VALUES = 100_000
-SPLITS = 64
+#: Binary digits that a pass of a quantile search settles; a number has 64.
+DIGIT = 16
 
 
 def value_buckets(df: DataFrame, value: str, into: str = "_bucket") -> DataFrame:
     """Add a bucket number that grows with ``value``; equal values share a bucket.
 
-    The cut points are fixed numbers in the plan (one per shuffle partition), so
-    every use of the result, and every retry of a lost task, sees the same buckets.
+    Buckets are the ranges of Spark's own range split, one per shuffle partition. They are kept,
+    so every use of the result, and every retry of a lost task, sees the same buckets.
     """
     n = shuffle_width(df.sparkSession)
-    key = F.col(value).cast("double")
-    cuts: list[float] = []
-    if n > 1:
-        shares = [i / n for i in range(1, n)]
-        found = df.agg(F.percentile_approx(key, shares, 20 * n)).first()[0]
-        cuts = sorted(set(found or []))
-    splits = [float("-inf"), *cuts, float("inf")]
-    keyed = df.withColumn("_cut_key", key)
-    bucketed = Bucketizer(splits=splits, inputCol="_cut_key", outputCol=into).transform(keyed)
-    return bucketed.withColumn(into, F.col(into).cast("int")).drop("_cut_key")
+    return reliable_checkpoint(df.repartitionByRange(n, F.col(value)).withColumn(into, F.spark_partition_id()))
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -62,12 +53,21 @@ def running_totals(
     row per (group, value), i.e. ties are aggregated before the call; a group may
     hold any share of the rows because the work is split by bucket.
 
-    The merged values are kept once, as the cut points, the bucket sums and the rows
-    each read them; what they were made from is not read again.
+    The merged values are kept, as the split, the bucket sums and the rows each read them;
+    what they were made from is not read again.
     """
+    return bucket_totals(value_buckets(reliable_checkpoint(df), value), value, totals, within, descending).drop("_bucket")
+
+
+def bucket_totals(
+    bucketed: DataFrame,
+    value: str,
+    totals: Mapping[str, str],
+    within: Sequence[str] = (),
+    descending: bool = False,
+) -> DataFrame:
+    """The same for rows that have their bucket: sums per bucket, then sums inside buckets."""
     keys = list(within)
-    df = reliable_checkpoint(df)
-    bucketed = value_buckets(df, value)
     step = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     per_bucket = bucketed.groupBy(*keys, "_bucket").agg(
         *[F.sum(src).alias(f"_sum_{name}") for name, src in totals.items()]
@@ -93,7 +93,7 @@ def running_totals(
     )
     joined = join_same(bucketed, offsets, [*keys, "_bucket"])
     return joined.select(
-        *df.columns,
+        *bucketed.columns,
         *[
             (F.col(f"_off_{name}") + F.sum(src).over(inside)).alias(name)
             for name, src in totals.items()
@@ -135,96 +135,93 @@ def top_n(df: DataFrame, per: str | Sequence[str], order: Sequence[Column], n: i
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
+def ordered_key(x: Column) -> Column:
+    """A 64-bit number for each double that is ordered like the doubles; no two doubles share one.
+
+    It is the double's binary form: exponent and fraction, negated for negative numbers.
+    """
+    a = F.abs(x)
+    guess = F.floor(F.log2(a)).cast("double")
+    # the logarithm may be off by a rounding next to a power of two
+    e = F.when(F.pow(F.lit(2.0), guess) > a, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= a, guess + 1).otherwise(guess)
+    normal = (e.cast("long") + 1023) * F.lit(1 << 52) + ((a / F.pow(F.lit(2.0), e) - 1) * float(1 << 52)).cast("long")
+    tiny = (a * 2.0**537 * 2.0**537).cast("long")
+    size = (
+        F.when(F.isnan(a), F.lit(0x7FF8 << 48))
+        .when(a == float("inf"), F.lit(0x7FF0 << 48))
+        .when(a >= 2.0**-1022, normal)
+        .otherwise(tiny)
+    )
+    return F.when(x.isNull(), None).when(x < 0, -size).otherwise(size)
+
+
+def key_value(key: int) -> float:
+    """The double of a key."""
+    size = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -size if key < 0 else size
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float]
 ) -> dict[tuple[str, float], float]:
     """Exact interpolated quantiles of each column, as a small dict.
 
-    A first pass brackets every quantile with approximate ones; a second counts the
-    rows between the brackets and, per distinct value, inside them. A bracket that
-    still holds too many distinct values is narrowed again, so that neither a task
-    nor the driver ever holds a column.
-    """
-    margin = 2 / ACCURACY
-    wanted = [min(max(s + d, 0.0), 1.0) for s in shares for d in (-margin, margin)]
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    facts = numbers.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, wanted, ACCURACY).alias(f"q_{i}") for i, c in enumerate(columns)],
-    ).first()
-    sizes = {c: facts[f"n_{i}"] for i, c in enumerate(columns)}
-    brackets = {
-        (c, share): (facts[f"q_{i}"][2 * k], facts[f"q_{i}"][2 * k + 1])
-        for i, c in enumerate(columns)
-        for k, share in enumerate(shares)
-        if sizes[c]
-    }
-    return narrow(numbers, brackets, sizes)
-
-
-def narrow(numbers: DataFrame, brackets: dict, sizes: dict[str, int]) -> dict[tuple[str, float], float]:
-    """Quantiles known to lie near ``(low, high)``, all brackets in one pass at a time."""
-    done: dict[tuple[str, float], float] = {}
-    while brackets:
-        keys = list(brackets)
-        cells = [placed(F.col(c), i, *brackets[c, share]) for i, (c, share) in enumerate(keys)]
-        counted = (
-            numbers.select(F.explode(F.array(*cells)).alias("cell"))
-            .where(F.col("cell.side").isNotNull())
-            .groupBy("cell")
-            .agg(F.count("*").alias("n"))
-        )
-        found = counted.limit(MOST_VALUES + 1).collect()
-        if len(found) > MOST_VALUES:
-            brackets = {key: closer(numbers, key, sizes[key[0]], *brackets[key]) for key in keys}
-            continue
-        for i, key in enumerate(keys):
-            position = key[1] * (sizes[key[0]] - 1)
-            mine = [r for r in found if r["cell"]["i"] == i]
-            below = sum(r["n"] for r in mine if r["cell"]["side"] < 0)
-            pairs = sorted((r["cell"]["x"], r["n"]) for r in mine if r["cell"]["side"] == 0)
-            upto = below + sum(n for _, n in pairs)
-            low, high = brackets.pop(key)
-            if below <= int(position) and ceil(position) < upto:
-                done[key] = interpolate(pairs, position - below)
-            else:  # the approximation was off: open the side that is short
-                low = low if below <= int(position) else float("-inf")
-                high = high if ceil(position) < upto else float("inf")
-                brackets[key] = (low, high)
-    return done
-
-
-def placed(x: Column, i: int, low: float, high: float) -> Column:
-    """Where a value lies: side -1 below, 0 inside (with the value itself), 1 above."""
-    side = F.when(x < low, -1).when(x <= high, 0).when(x > high, 1)
-    return F.struct(F.lit(i).alias("i"), side.alias("side"), F.when(side == 0, x).alias("x"))
-
-
-def closer(numbers: DataFrame, key: tuple[str, float], size: int, low: float, high: float) -> tuple[float, float]:
-    """A tighter bracket between two neighbours of split points.
-
-    The split points divide the distinct values of the old bracket evenly, so each
-    call leaves a small fraction of them, however many rows a single value has.
+    The two rows beside each quantile are found by radix selection: a pass counts the next
+    ``DIGIT`` binary digits of the numbers that begin like a wanted row, for all columns and
+    quantiles together, combined in the tasks; running counts over the digits tell which digit
+    the row has. After 64 / ``DIGIT`` passes its number is known, whatever the data.
     """
-    x, position = F.col(key[0]), key[1] * (size - 1)
-    distinct = numbers.where((x >= low) & (x <= high)).select(x.alias("x")).distinct()
-    shares = [i / SPLITS for i in range(SPLITS + 1)]
-    points = sorted(set(distinct.agg(F.percentile_approx("x", shares, ACCURACY)).first()[0]))
-    upto = numbers.agg(*[F.count_if(x <= p).alias(f"n{i}") for i, p in enumerate(points)]).first()
-    # the value at a position is above every point with no more rows up to it
-    under = [p for p, n in zip(points, upto) if n <= int(position)]
-    over = [p for p, n in zip(points, upto) if n > ceil(position)]
-    return max(under, default=low), min(over, default=high)
-
-
-def interpolate(pairs: list[tuple[float, int]], position: float) -> float:
-    """Value at a fractional position of a sorted list of (value, count)."""
-    lower, upper = int(position), ceil(position)
-    picked, seen = [], 0
-    for x, n in pairs:
-        picked += [x for p in (lower, upper) if seen <= p < seen + n]
-        seen += n
-    return picked[0] + (picked[-1] - picked[0]) * (position - lower)
+    names = [f"_key_{i}" for i in range(len(columns))]
+    keys = reliable_checkpoint(df.select(*[ordered_key(F.col(c).cast("double")).alias(k) for c, k in zip(columns, names)]))
+    sizes = keys.agg(*[F.count(k).alias(k) for k in names]).first()
+    # a cell: a column and the leading digits of its wanted rows, which are told by their place among the cell's rows
+    cells: dict[tuple[int, int], set[int]] = {}
+    route: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for i, k in enumerate(names):
+        wanted = {p for s in shares for p in (floor(s * (sizes[k] - 1)), ceil(s * (sizes[k] - 1)))} if sizes[k] else set()
+        if wanted:
+            cells[i, 0] = wanted
+            route.update({(i, p): (i, 0, p) for p in wanted})
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        found = next_digits(keys, names, cells, shift)
+        cells = defaultdict(set)
+        for row, (i, prefix, place) in route.items():
+            digit, before = found[i, prefix, place]
+            lead = (prefix << DIGIT) + digit
+            route[row] = (i, lead, place - before)
+            cells[i, lead].add(place - before)
+    out = {}
+    for i, (c, k) in enumerate(zip(columns, names)):
+        for share in shares if sizes[k] else ():
+            position = share * (sizes[k] - 1)
+            low, high = (key_value(route[i, p][1]) for p in (floor(position), ceil(position)))
+            out[c, share] = low + (high - low) * (position - floor(position)) if low != high else low
+    return out
+
+
+def next_digits(
+    keys: DataFrame, names: Sequence[str], cells: Mapping[tuple[int, int], set[int]], shift: int
+) -> dict[tuple[int, int, int], tuple[int, int]]:
+    """For the wanted rows of each cell their next digit, and how many of the cell's rows have smaller ones."""
+    if not cells:
+        return {}
+    first = shift == 64 - DIGIT
+    order = list(cells)
+    options = []
+    for n, (i, prefix) in enumerate(order):
+        key = F.col(names[i])
+        # the first digit carries the sign
+        digit = F.shiftright(key, shift) if first else F.shiftright(key, shift).bitwiseAND(F.lit((1 << DIGIT) - 1))
+        inside = key.isNotNull() if first else F.shiftright(key, shift + DIGIT) == F.lit(prefix)
+        options.append(F.when(inside, F.struct(F.lit(n).alias("cell"), digit.alias("digit"))))
+    counted = keys.select(F.explode(F.array_compact(F.array(*options))).alias("c")).groupBy("c.cell", "c.digit").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("cell").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+    totals = counted.withColumn("upto", F.sum("n").over(upto))  # at most 2^DIGIT rows per cell
+    wanted = [(n, place) for n, cell in enumerate(order) for place in cells[cell]]
+    asked = keys.sparkSession.createDataFrame(wanted, "cell int, place long")
+    before = F.col("upto") - F.col("n")
+    hits = totals.join(F.broadcast(asked), "cell").where((F.col("place") >= before) & (F.col("place") < F.col("upto")))
+    return {(*order[r["cell"]], r["place"]): (r["digit"], r["before"]) for r in hits.select("cell", "place", "digit", before.alias("before")).collect()}
 
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

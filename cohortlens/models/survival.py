@@ -1,33 +1,31 @@
-"""Time-to-event models on whole-week times."""
+"""Time-to-event models for any number of distinct times."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import AFTSurvivalRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.ordering import bucket_totals, value_buckets
 from cohortlens.models.base import assembled, class_probability
 from cohortlens.operators.prep import Scaling, stratified_split
 from cohortlens.operators.scores import concordance
 from cohortlens.session import reliable_checkpoint
 
-MOST_TIMES = 1000
-
 
 @dataclass
 class CoxModel:
-    """Coefficients on standardised features and the cumulative baseline hazard."""
+    """Coefficients on standardised features and the cumulative baseline hazard (a table of time and hazard)."""
 
     features: list[str]
     scaling: Scaling
     beta: np.ndarray
-    baseline: list[tuple[float, float]]
+    baseline: DataFrame
 
     def risk(self, df: DataFrame) -> DataFrame:
         """Add ``risk``, the log hazard relative to the mean student."""
@@ -36,10 +34,19 @@ class CoxModel:
             terms = terms + (F.col(c) - self.scaling.mean[c]) / self.scaling.std[c] * float(b)
         return df.withColumn("risk", terms)
 
-    def survival(self, df: DataFrame) -> DataFrame:
-        """S(t) of every row at every event time: (…, time, survival)."""
-        steps = F.array(*[F.struct(F.lit(t).alias("time"), F.lit(h).alias("hazard")) for t, h in self.baseline])
-        rows = self.risk(df).withColumn("_step", F.explode(steps))
+    def survival(self, df: DataFrame, times: Sequence[float] | None = None) -> DataFrame:
+        """S(t) of every row at the given times, or at every event time: (…, time, survival).
+
+        The hazard at a time is that of the last event time up to it, 0 before the first.
+        """
+        if times is None:
+            # the curve as one row: the result has it once per row of ``df`` anyway
+            steps = self.baseline.agg(F.sort_array(F.collect_list(F.struct("time", "hazard"))).alias("_steps"))
+        else:
+            at = [F.coalesce(F.max(F.when(F.col("time") <= t, F.col("hazard"))), F.lit(0.0)) for t in times]
+            pairs = [F.struct(F.lit(float(t)).alias("time"), h.alias("hazard")) for t, h in zip(times, at)]
+            steps = self.baseline.agg(F.array(*pairs).alias("_steps"))
+        rows = self.risk(df).crossJoin(steps).withColumn("_step", F.explode("_steps"))
         return rows.select(
             *df.columns, F.col("_step.time").alias("time"), F.exp(-F.col("_step.hazard") * F.exp("risk")).alias("survival")
         )
@@ -54,35 +61,81 @@ class CoxModel:
 def baseline_hazard(df: DataFrame, time: str, event: str, risk: str) -> DataFrame:
     """Breslow cumulative baseline hazard: (time, hazard), hazard Σ d / Σ exp(risk) over those at risk.
 
-    One row per distinct time enters the windows.
+    Rows are merged by time; both running sums are split by ranges of time.
     """
     sums = df.groupBy(F.col(time).alias("time")).agg(F.sum(event).alias("d"), F.sum(F.exp(risk)).alias("s"))
-    later = Window.partitionBy(F.lit(0)).orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, 0)
-    upto = Window.partitionBy(F.lit(0)).orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    steps = sums.withColumn("step", F.col("d") / F.sum("s").over(later)).where(F.col("d") > 0)
-    return steps.select("time", F.sum("step").over(upto).alias("hazard"))
-
-
-def partial_sums(features: Sequence[str], beta: np.ndarray):
-    """Per task and time: Σw, Σwx, Σwxxᵀ, events and their Σx, as rows (time, j, value)."""
-    names = [f"_x_{c}" for c in features]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[float, np.ndarray] = {}
-        for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            w = np.exp(x @ beta)
-            event = batch["_event"].to_numpy(dtype=float)
-            for t, at in batch.groupby("_time").indices.items():
-                xt, wt, et = x[at], w[at], event[at]
-                row = np.concatenate(
-                    [[wt.sum()], wt @ xt, ((xt * wt[:, None]).T @ xt).ravel(), [et.sum()], et @ xt]
-                )
-                total[t] = total.get(t, 0.0) + row
-        for t, row in total.items():
-            yield pd.DataFrame({"time": t, "j": np.arange(len(row)), "value": row})
-
-    return run
+    bucketed = value_buckets(reliable_checkpoint(sums), "time")
+    at_risk = bucket_totals(bucketed, "time", {"at_risk": "s"}, descending=True)
+    steps = at_risk.where(F.col("d") > 0).withColumn("step", F.col("d") / F.col("at_risk"))
+    return bucket_totals(steps, "time", {"hazard": "step"}).select("time", "hazard")
+
+
+def pairs_of(p: int) -> list[tuple[int, int]]:
+    return [(j, k) for j in range(p) for k in range(j, p)]
+
+
+@dataclass
+class CoxRows:
+    """Rows of a proportional-hazards fit (``_time``, ``_event``, ``_x_0`` …), each with the bucket of its time."""
+
+    rows: DataFrame
+    p: int
+    n: int
+
+    @staticmethod
+    def of(df: DataFrame, time: str, event: str, features: Sequence[Column]) -> CoxRows:
+        kept = reliable_checkpoint(
+            df.select(
+                F.col(time).cast("double").alias("_time"),
+                F.col(event).cast("double").alias("_event"),
+                *[x.cast("double").alias(f"_x_{j}") for j, x in enumerate(features)],
+            )
+        )
+        return CoxRows(value_buckets(kept, "_time"), len(features), kept.count())
+
+    def derivatives(self, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of the mean log partial likelihood at ``beta`` (Breslow ties).
+
+        Rows are reduced to sums per distinct time: of the weights w = exp(xβ), of wx, of wxxᵀ and over
+        events. Suffix sums over time give those at risk, r0 and r1; the running sum A of d / r0 turns the
+        sum over times of d r2 / r0 into the sum of A · wxxᵀ, so matrices are summed and never scanned. One row of
+        sums leaves Spark.
+        """
+        x = [F.col(f"_x_{j}") for j in range(self.p)]
+        score = F.lit(0.0)
+        for xj, b in zip(x, beta):
+            score = score + xj * float(b)
+        w = F.exp(score)
+        by_time = self.rows.groupBy("_bucket", "_time").agg(
+            F.sum(w).alias("s0"),
+            F.sum("_event").alias("d"),
+            *[F.sum(w * x[j]).alias(f"s1_{j}") for j in range(self.p)],
+            *[F.sum(F.col("_event") * x[j]).alias(f"xd_{j}") for j in range(self.p)],
+            *[F.sum(w * x[j] * x[k]).alias(f"s2_{j}_{k}") for j, k in pairs_of(self.p)],
+        )
+        kept = reliable_checkpoint(by_time)
+        at_risk = bucket_totals(kept, "_time", {"r0": "s0"} | {f"r1_{j}": f"s1_{j}" for j in range(self.p)}, descending=True)
+        steps = reliable_checkpoint(at_risk.withColumn("step", F.col("d") / F.col("r0")))
+        found = bucket_totals(steps, "_time", {"A": "step"})
+        mean = [F.col(f"r1_{j}") / F.col("r0") for j in range(self.p)]
+        d = F.col("d")
+        sums = found.agg(
+            *[F.sum(F.col(f"xd_{j}") - d * mean[j]).alias(f"g_{j}") for j in range(self.p)],
+            *[F.sum(F.col("A") * F.col(f"s2_{j}_{k}") - d * mean[j] * mean[k]).alias(f"c_{j}_{k}") for j, k in pairs_of(self.p)],
+        ).first()
+        gradient = np.array([sums[f"g_{j}"] for j in range(self.p)]) / self.n
+        curvature = np.zeros((self.p, self.p))
+        for j, k in pairs_of(self.p):
+            curvature[j, k] = curvature[k, j] = sums[f"c_{j}_{k}"] / self.n
+        return gradient, curvature
+
+
+def derivative_table(spark: SparkSession, rows: CoxRows, names: Sequence[str], beta: Sequence[float]) -> DataFrame:
+    """Gradient (``other`` is null) and curvature at given coefficients: feature, other, value."""
+    gradient, curvature = rows.derivatives(np.array(beta))
+    table = [(c, None, float(g)) for c, g in zip(names, gradient)]
+    table += [(names[j], names[k], float(curvature[j, k])) for j, k in pairs_of(len(names))]
+    return spark.createDataFrame(table, "feature string, other string, value double")
 
 
 def fit_cox(
@@ -97,42 +150,21 @@ def fit_cox(
 ) -> CoxModel:
     """Proportional hazards with an elastic-net penalty (Breslow ties).
 
-    Each step reads the rows once and reduces them to sums per distinct week; only
-    those few rows reach the driver, which solves the small penalised system.
+    Each step reads the rows once; the driver gets one row of sums and solves the small
+    penalised system, however many distinct times there are.
     """
     features = list(features)
     scaling = Scaling.fit(df, features)
-    copies = df.select(
-        F.col(time).cast("double").alias("_time"),
-        F.col(event).cast("double").alias("_event"),
-        *[((F.col(c) - scaling.mean[c]) / scaling.std[c]).alias(f"_x_{c}") for c in features],
-    )
-    rows = reliable_checkpoint(copies)
-    n_times, n = rows.agg(F.count_distinct("_time"), F.count("*")).first()
-    if n_times > MOST_TIMES:
-        raise ValueError(f"{n_times} distinct times; bring them to whole weeks first")
-    p = len(features)
-    beta = np.zeros(p)
+    rows = CoxRows.of(df, time, event, [(F.col(c) - scaling.mean[c]) / scaling.std[c] for c in features])
+    beta = np.zeros(len(features))
     for _ in range(max_iter):
-        parts = rows.mapInPandas(partial_sums(features, beta), "time double, j int, value double")
-        found = parts.groupBy("time", "j").agg(F.sum("value").alias("value")).toPandas()
-        table = found.pivot(index="time", columns="j", values="value").sort_index(ascending=False)
-        stats = table.to_numpy()
-        s0, s1 = stats[:, 0].cumsum(), stats[:, 1 : 1 + p].cumsum(axis=0)
-        s2 = stats[:, 1 + p : 1 + p + p * p].cumsum(axis=0).reshape(-1, p, p)
-        d, xd = stats[:, 1 + p + p * p], stats[:, 2 + p + p * p :]
-        mean = s1 / s0[:, None]
-        gradient = (xd - d[:, None] * mean).sum(axis=0) / n
-        spread = s2 / s0[:, None, None] - mean[:, :, None] * mean[:, None, :]
-        curvature = (d[:, None, None] * spread).sum(axis=0) / n
-        new = penalised_step(beta, gradient, curvature, alpha, l1_ratio)
+        new = penalised_step(beta, *rows.derivatives(beta), alpha, l1_ratio)
         moved = np.abs(new - beta).max()
         beta = new
         if moved < tolerance:
             break
-    model = CoxModel(features, scaling, beta, [])
-    hazard = baseline_hazard(model.risk(df), time, event, "risk").orderBy("time").collect()
-    model.baseline = [(float(r["time"]), float(r["hazard"])) for r in hazard]
+    model = CoxModel(features, scaling, beta, df)
+    model.baseline = reliable_checkpoint(baseline_hazard(model.risk(df), time, event, "risk"))
     return model
 
 

@@ -148,6 +148,36 @@ def _(c):
     return survival.fit_cox(survival_table(c), "time", "event", SURVIVAL_FEATURES).importance(c.spark)
 
 
+COX_AT = {"a": -0.5, "b": 0.3, "c": 0.2}
+
+
+def derivative_sql():
+    """Suffix sums of all products over time, term by term."""
+    names = list(COX_AT)
+    both = [(j, k) for i, j in enumerate(names) for k in names[i:]]
+    sums = ", ".join([f"SUM(w * {j}) AS w{j}, SUM(event * {j}) AS e{j}" for j in names] + [f"SUM(w * {j} * {k}) AS w{j}{k}" for j, k in both])
+    later = ", ".join(f"SUM({c}) OVER (ORDER BY time DESC) AS r{c}" for c in ["w", *[f"w{j}" for j in names], *[f"w{j}{k}" for j, k in both]])
+    rows = [f"SELECT '{j}' AS feature, NULL AS other, SUM(e{j} - d * rw{j} / rw) / (SELECT COUNT(*) FROM x) AS value FROM r" for j in names]
+    rows += [
+        f"SELECT '{j}', '{k}', SUM(d * (rw{j}{k} / rw - rw{j} / rw * rw{k} / rw)) / (SELECT COUNT(*) FROM x) FROM r" for j, k in both
+    ]
+    weight = " + ".join(f"{b} * {c}" for c, b in COX_AT.items())
+    return f"""WITH e AS (SELECT student_id, 1 + student_id * 7 % 4999 AS time, CASE WHEN enrollment_status = 'Withdrawn' OR retained_year2 = 0 THEN 1 ELSE 0 END AS event FROM enrollments),
+        f AS (SELECT time, event, avg_mark / 100 AS a, imd_decile / 10.0 AS b, CAST(first_gen AS DOUBLE) AS c FROM ({AGGREGATES_SQL}) JOIN e USING (student_id)),
+        x AS (SELECT *, EXP({weight}) AS w FROM f),
+        t AS (SELECT time, SUM(w) AS w, SUM(event) AS d, {sums} FROM x GROUP BY time),
+        r AS (SELECT d, {", ".join(f"e{j}" for j in names)}, {later} FROM t)
+        {" UNION ALL ".join(rows)}"""
+
+
+@query("o13_cox_derivatives", derivative_sql(), ["value"])
+def _(c):
+    table = survival_table(c).withColumn("time", 1 + F.col("student_id") * 7 % 4999)
+    x = [F.col("avg_mark") / 100, F.col("imd_decile") / 10.0, F.col("first_gen")]
+    rows = survival.CoxRows.of(table, "time", "event", x)
+    return survival.derivative_table(c.spark, rows, list(COX_AT), list(COX_AT.values()))
+
+
 @query(
     "o14_baseline_hazard",
     f"""WITH e AS (SELECT student_id, 1 + student_id % 30 AS time, CASE WHEN enrollment_status = 'Withdrawn' OR retained_year2 = 0 THEN 1 ELSE 0 END AS event FROM enrollments),

@@ -118,11 +118,45 @@ def test_survival_curves_fall(lives):
             assert p["student_id"] != q["student_id"] or q["survival"] <= p["survival"] + 1e-12
 
 
-def test_too_many_times_and_second_model(lives, monkeypatch):
+def test_second_model(lives):
     assert survival.fit_accelerated(lives, "time", "event", ["a", "b"], 5).coefficients.size == 2
-    monkeypatch.setattr(survival, "MOST_TIMES", 3)
-    with pytest.raises(ValueError):
-        survival.fit_cox(lives, "time", "event", ["a"])
+
+
+@pytest.fixture(scope="module")
+def many_times(spark):
+    """6,000 rows at 5,000 distinct times, some shared by many rows."""
+    rng = np.random.default_rng(4)
+    n = 6000
+    x = rng.normal(size=(n, 3))
+    time = np.where(np.arange(n) < 5000, np.arange(n) * 0.37, rng.integers(0, 4, n) * 0.37)
+    event = (rng.random(n) < 0.5).astype(int)
+    rows = [(i, float(t), int(e), *map(float, v)) for i, (t, e, v) in enumerate(zip(time, event, x))]
+    return spark.createDataFrame(rows, "student_id long, time double, event int, a double, b double, c double").persist()
+
+
+def test_cox_derivatives_at_5000_times(many_times):
+    beta = np.array([0.4, -0.2, 0.1])
+    gradient, curvature = survival.CoxRows.of(many_times, "time", "event", [F.col(c) for c in "abc"]).derivatives(beta)
+    rows = many_times.toPandas()
+    x, t, e = rows[["a", "b", "c"]].to_numpy(), rows["time"].to_numpy(), rows["event"].to_numpy()
+    w = np.exp(x @ beta)
+    g, h = np.zeros(3), np.zeros((3, 3))
+    for i in np.flatnonzero(e):
+        at = t >= t[i]
+        mean = w[at] @ x[at] / w[at].sum()
+        g += x[i] - mean
+        h += (x[at] * w[at, None]).T @ x[at] / w[at].sum() - np.outer(mean, mean)
+    assert np.allclose(gradient, g / len(t)) and np.allclose(curvature, h / len(t))
+
+
+def test_fit_and_curves_at_5000_times(many_times):
+    model = survival.fit_cox(many_times, "time", "event", ["a", "b"], max_iter=2)
+    steps = {r["time"]: r["hazard"] for r in model.baseline.collect()}
+    rows = many_times.where("event = 1").select("time").distinct().count()
+    assert len(steps) == rows > 2000
+    last = max(steps)
+    curve = {r["time"]: r["survival"] for r in model.survival(many_times.limit(1).drop("time"), [-1.0, last / 2, last + 1]).collect()}
+    assert curve[-1.0] == 1.0 > curve[last / 2] > curve[last + 1]
 
 
 def test_sequence_model(spark):

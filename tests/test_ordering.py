@@ -38,21 +38,45 @@ def test_average_ranks_with_ties(spark):
     assert got == {3: 1.0, 1: 2.5, 2: 2.5, 4: 4.0}
 
 
-@pytest.mark.parametrize("most", [100_000, 5])
-def test_exact_quantiles(spark, monkeypatch, most):
-    """Also when the brackets hold too many values at first and are narrowed."""
-    monkeypatch.setattr(ordering, "MOST_VALUES", most)
-    if most == 5:
-        monkeypatch.setattr(ordering, "ACCURACY", 40)
+def quantile(values, share):
+    at = share * (len(values) - 1)
+    lo = int(at)
+    hi = min(lo + 1, len(values) - 1)
+    return values[lo] + (values[hi] - values[lo]) * (at - lo) if values[lo] != values[hi] else values[lo]
+
+
+def test_exact_quantiles(spark):
     rng = random.Random(2)
-    values = sorted(rng.choice([7.0, rng.uniform(0, 50)]) for _ in range(801))
-    df = table(spark, [(v,) for v in values] + [(None,)], "x double")
-    for share in (0.0, 0.05, 0.5, 0.961, 1.0):
-        at = share * (len(values) - 1)
-        lo = int(at)
-        want = values[lo] + (values[min(lo + 1, len(values) - 1)] - values[lo]) * (at - lo)
-        got = ordering.exact_quantiles(df, ["x"], [share])["x", share]
-        assert got == pytest.approx(want, abs=1e-9)
+    columns = {
+        "a": [rng.choice([7.0, rng.uniform(0, 50)]) for _ in range(801)] + [None],
+        "b": [rng.choice([0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.0**-1022, -1e308, 1.7976931348623157e308, 1.0, -1.0, 3.0]) for _ in range(802)],
+        "c": [None] * 802,
+        "d": [rng.gauss(0, 1) * 10.0 ** rng.randint(-30, 30) for _ in range(802)],
+        "e": [float("inf") if i % 5 == 0 else float(i % 3) for i in range(802)],
+    }
+    df = table(spark, list(zip(*columns.values())), "a double, b double, c double, d double, e double")
+    shares = (0.0, 0.05, 0.5, 0.961, 1.0)
+    got = ordering.exact_quantiles(df, list(columns), shares)
+    for c, v in columns.items():
+        values = sorted(x for x in v if x is not None)
+        for share in shares:
+            assert (c, share) in got if values else (c, share) not in got
+            if values:
+                want = quantile(values, share)
+                assert got[c, share] == want or got[c, share] == pytest.approx(want, rel=1e-12)
+    assert ordering.exact_quantiles(df.limit(0), ["a"], [0.5]) == {}
+
+
+def test_keys_are_ordered_like_the_numbers(spark):
+    rng = random.Random(9)
+    values = [2.0**e * f for e in (-1074, -1030, -1022, -1021, -3, 0, 1, 52, 53, 1023) for f in (1.0, 1.0000000000000002, 1.5, 1.9999999999999998)]
+    values += [v * rng.uniform(1, 2) for v in values if v < 1e300] + [0.0, float("inf")]
+    values += [-v for v in values]
+    df = table(spark, [(v,) for v in values], "x double")
+    got = {r["x"]: r["k"] for r in df.select("x", ordering.ordered_key(F.col("x")).alias("k")).collect()}
+    order = sorted(set(values))
+    assert [got[v] for v in order] == sorted(got[v] for v in order) and len({got[v] for v in order}) == len(order)
+    assert all(ordering.key_value(got[v]) == v for v in order)
 
 
 def test_medians_only_of_columns_with_gaps(spark):
