@@ -25,9 +25,11 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,9 +43,17 @@ from cohortlens.llm.common import mixed
 from cohortlens.session import reliable_checkpoint, shuffle_width
 
 BLOCK_DOCS = 1 << 16
-BLOCK_BYTES = 6 << 20
-#: Chunks that a task remembers.
+BLOCK_BYTES = 3 << 20
+#: Chunks that a worker remembers; when it has more, those of the last block stay.
 CACHED = 300_000
+#: Chunks that are aligned at a time, and those that are encoded as one text.
+LEARNT = 16_000
+JOINED = 2000
+#: Chunks of which any number between spaces is encoded like each alone.
+PLAIN = re.compile("[!-~\xa1-\xac\xae-\u024f][!-~\xa1-\xac\xae-\u024f\n]*").fullmatch
+#: Fixed: how byte-level vocabularies of this kind cut a text before merging.
+CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SAMPLE = "It's what they'd called Übung; 12345 times, x==y...\nNaïve façade (no. 7) @home --- 3.14"
 #: Links that are made explicit at a time.
 AT_ONCE = 4_000_000
 #: Bytes of text for each partition of pairs.
@@ -92,19 +102,37 @@ class Tokenizers:
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         return [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
+    @cached_property
+    def a_quick(self) -> object | None:
+        """The same vocabulary for a faster library, if its ids are its merge ranks."""
+        from tiktoken import Encoding
+
+        try:
+            quick = Encoding("a", pat_str=CUT, mergeable_ranks={x: i for i, x in enumerate(self.a_bytes) if x and self.a.id_to_token(i) not in self.special}, special_tokens={})
+            same = quick.encode_ordinary(SAMPLE) == self.a.encode(SAMPLE, add_special_tokens=False).ids
+        except (ValueError, KeyError):
+            same = False
+        return quick if same else None
+
+    @cached_property
+    def special(self) -> set[str]:
+        return {t.content for t in self.a.get_added_tokens_decoder().values()}
+
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of a space and each chunk; B puts the space there itself."""
         found = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
         return [e.ids for e in found], self.b.encode(chunks, num_threads=1)
 
 
-def grouped(ids: list[list[int]], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All ids, and of each the chunk (upper 32 bits) and the byte offset where it ends in it."""
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
-    ends = np.cumsum(lengths[flat])
+def ends_of(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of each id the chunk (upper 32 bits) and the byte offset where it ends in it."""
+    ends = np.cumsum(lengths[ids])
     base = np.r_[0, ends][np.cumsum(sizes) - sizes]
-    return flat, ends - np.repeat(base, sizes) + (np.repeat(np.arange(len(ids)), sizes) << 32)
+    return ends - np.repeat(base, sizes) + (np.repeat(np.arange(len(sizes)), sizes) << 32)
+
+
+def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(list(chain.from_iterable(ids)), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 def summed(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +155,12 @@ class Chunks:
     amounts: np.ndarray
 
 
+@lru_cache(maxsize=1)
+def aligner_of(tokenizers: Tokenizers) -> Aligner:
+    """A worker's aligner; what it has learnt serves the next task."""
+    return Aligner(tokenizers)
+
+
 class Aligner:
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
@@ -143,7 +177,21 @@ class Aligner:
         self.held = Chunks(np.zeros((1, 4), np.int64), np.zeros(1, bool), [b""], np.zeros(2, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.regular = np.zeros(1, bool)  # a text with an empty chunk or one that starts with white space is taken whole
 
-    def align(self, chunks: list[str]) -> Chunks:
+    def forget(self, used: set[str]) -> None:
+        """Keep only chunks that are in use."""
+        old, known = self.held, self.known
+        names = [c for c in known if c and c in used]
+        places = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        regular = self.regular
+        self.clear()
+        n = old.cuts[places + 1] - old.cuts[places]
+        at = np.arange(int(n.sum())) + np.repeat(old.cuts[places] - (np.cumsum(n) - n), n)
+        kept = Chunks(old.n[places], old.usable[places], [old.told[i] for i in places.tolist()], np.r_[0, np.cumsum(n)], old.pairs[at], old.amounts[at])
+        self.put(names, kept, True)
+        self.regular[1:] = regular[places]
+
+    def encode_apart(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of each chunk, for both sides, and which chunks give their bytes back."""
         t = self.tokenizers
         a_ids, b_ids = t.encode(chunks)
         usable = np.zeros(len(chunks), bool)
@@ -152,8 +200,36 @@ class Aligner:
             usable[i] = bool(c) and b"".join(map(t.a_bytes.__getitem__, a)) == raw and b"".join(map(t.b_bytes.__getitem__, b)) == raw
             if not usable[i]:
                 a_ids[i], b_ids[i] = [], []
-        a, a_end = grouped(a_ids, self.a_len)
-        b, b_end = grouped(b_ids, self.b_len)
+        return *flat(a_ids), *flat(b_ids), usable
+
+    def encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same for plain chunks, encoded as one text and told apart by their bytes."""
+        t, text = self.tokenizers, " ".join(chunks)
+        raw = (" " + text).encode()
+        stops = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        out = []
+        for ids, names, lengths in ((t.a_quick.encode_ordinary(" " + text), t.a_bytes, self.a_len), (t.b.encode(text), t.b_bytes, self.b_len)):
+            if b"".join(map(names.__getitem__, ids)) != raw:
+                return self.encode_apart(chunks)
+            found = np.array(ids, np.int64)
+            ends = np.cumsum(lengths[found])
+            last = np.searchsorted(ends, stops)
+            if (ends[last] != stops).any():
+                return self.encode_apart(chunks)
+            out += [found, np.diff(last, prepend=-1)]
+        return *out, np.ones(len(chunks), bool)
+
+    def encoded(self, chunks: list[str]) -> tuple[list[str], list[np.ndarray]]:
+        """Chunks in another order, with what ``encode_apart`` tells of them."""
+        plain = [c for c in chunks if PLAIN(c)] if self.tokenizers.a_quick else []
+        others = list(set(chunks).difference(plain)) if len(plain) < len(chunks) else []
+        found = [self.encode_joined(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)]
+        found += [self.encode_apart(others)] if others else []
+        return plain + others, [np.concatenate(x) for x in zip(*found)]
+
+    def align(self, chunks: list[str], found: list[np.ndarray]) -> Chunks:
+        a, a_sizes, b, b_sizes, usable = found
+        a_end, b_end = ends_of(a, a_sizes, self.a_len), ends_of(b, b_sizes, self.b_len)
         common = np.intersect1d(a_end, b_end, assume_unique=True)
         ga, gb = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
         in_a, in_b = np.bincount(ga, minlength=len(common)), np.bincount(gb, minlength=len(common))
@@ -215,16 +291,19 @@ class Aligner:
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Sizes and digests of each text; (pair, place of the text, links) of all, ascending."""
-        if len(self.held.told) > CACHED:
-            self.clear()
         split = [t.split(" ") if t else [] for t in texts]
-        new = sorted(set().union(*split).difference(self.known))
-        if new:
-            self.put(new, self.align(new), True)
+        used = set().union(*split)
+        new = list(used.difference(self.known))
+        if len(self.held.told) + len(new) > CACHED:
+            self.forget(used)
+        for i in range(0, len(new), LEARNT):
+            names, found = self.encoded(new[i : i + LEARNT])
+            self.put(names, self.align(names, found), True)
         places = [np.fromiter(map(self.known.__getitem__, x), np.int64, len(x)) for x in split]
         whole = [i for i, p in enumerate(places) if len(p) and not self.regular[p].all()]
         if whole:
-            first = self.put([""] * len(whole), self.align([texts[i] for i in whole]), False)
+            apart = [texts[i] for i in whole]
+            first = self.put([""] * len(whole), self.align(apart, list(self.encode_apart(apart))), False)
             for j, i in enumerate(whole):
                 places[i] = np.array([first + j])
         held = self.held
@@ -343,7 +422,7 @@ def aligned(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     parts = max(shuffle_width(docs.sparkSession), -(-size // PART_BYTES))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, task = Aligner(tokenizers), TaskContext.get().partitionId()
+        aligner, task = aligner_of(tokenizers), TaskContext.get().partitionId()
         part = part_of(np.arange(len(aligner.a_len)), parts)
         space = len(aligner.a_len) * aligner.width
         # pairs are numbered by partition, so that a partition's postings lie together
