@@ -21,8 +21,8 @@ def levels(df: DataFrame, column: str) -> list[str]:
 def levels_of(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[str]]:
     """Sorted distinct values of several category columns, from one pass.
 
-    The lists become columns of a plan, so more than ``MAX_LEVELS`` values per column
-    are refused rather than read to the end.
+    The lists become columns of a plan, one per level, which suits up to ``MAX_LEVELS`` values per
+    column; ``sparse.LevelTable`` gives the same features for any number of levels.
     """
     cells = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()]
     long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
@@ -30,7 +30,7 @@ def levels_of(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[str
     found = long.where(F.col("value").isNotNull()).distinct().limit(most + 1).collect()
     out = {c: sorted(r["value"] for r in found if r["column"] == c) for c in values}
     if len(found) > most or any(len(v) > MAX_LEVELS for v in out.values()):
-        raise ValueError(f"more than {MAX_LEVELS} levels: not all of {list(values)} are categories")
+        raise ValueError(f"more than {MAX_LEVELS} columns for {list(values)}: use sparse.LevelTable, which takes any number of levels")
     return out
 
 

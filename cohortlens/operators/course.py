@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import flag, one_hot
 from cohortlens.operators.categories import dummies
+from cohortlens.operators.sparse import LevelTable
 
 TARIFF_LABELS = ["Low", "Medium", "High", "Very High"]
 
@@ -22,9 +23,15 @@ def tariff_band(tariff: Column) -> Column:
     )
 
 
-def course_features(courses: DataFrame) -> DataFrame:
-    """Department, tariff band and assessment-style features, one row per course."""
-    departments = dummies(courses, "department", "dept")
+def course_features(courses: DataFrame, levels: LevelTable | None = None) -> DataFrame:
+    """Department, tariff band and assessment-style features, one row per course.
+
+    With ``levels`` (of department) the departments are positions ``categories`` of a sparse vector.
+    """
+    if levels is None:
+        departments = dummies(courses, "department", "dept")
+    else:
+        courses, departments = levels.positions(courses, "categories"), [F.col("categories")]
     banded = courses.withColumn("tariff_band", tariff_band(F.col("entry_tariff")))
     return banded.select(
         "course_id",

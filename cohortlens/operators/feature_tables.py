@@ -19,6 +19,7 @@ from cohortlens.operators.engagement import (
 )
 from cohortlens.operators.marks import before_final_year, credit_weighted_mean, trend_code
 from cohortlens.operators.outcomes import career_readiness
+from cohortlens.operators.sparse import LevelTable
 from cohortlens.session import reliable_checkpoint
 from cohortlens.operators.student import ETHNICITY_FLAGS, age_at, age_by_year, ethnicity_group
 
@@ -36,9 +37,12 @@ def yield_features(
     courses: DataFrame,
     vle: DataFrame | None = None,
     label: str = "accepted",
+    known: LevelTable | None = None,
 ) -> DataFrame:
     """Applicant, course, engagement and timing features of every enrolment (``feat_…``) with the label.
 
+    With ``known``, levels of ``qualification_type`` are positions ``categories`` and no columns.
+
     Activity is summed per student before the join, so an applicant stays one row.
     Missing numbers become the column's median.
     """
@@ -47,6 +51,10 @@ def yield_features(
         .join(qualifications, "student_id", "left")
         .join(courses, "course_id", "left")
     )
+    if known is None:
+        kinds = one_hot(F.col("qualification_type"), levels(qualifications, "qualification_type"), "feat_qual")
+    else:
+        df, kinds = known.positions(df, "categories"), [F.col("categories")]
     tariff, entry = F.col("ucas_tariff_points"), F.col("entry_tariff")
     age = age_at(F.col("enrollment_date"), F.col("date_of_birth"))
     imd, polar = F.col("imd_decile"), F.col("polar_quintile")
@@ -61,7 +69,7 @@ def yield_features(
             tariff_band_medium=(tariff > 96) & (tariff <= 128),
             tariff_band_high=tariff > 128,
         ),
-        *one_hot(F.col("qualification_type"), levels(qualifications, "qualification_type"), "feat_qual"),
+        *kinds,
         F.col("predicted_grade").cast("int").alias("feat_has_predicted_grade"),
         *flags(gender_female=F.col("gender") == "Female", gender_male=F.col("gender") == "Male"),
         *one_hot(F.col("ethnicity"), ethnic, "feat_ethnicity"),
@@ -226,13 +234,20 @@ def finished(
     numeric: Sequence[str],
     categorical: Sequence[str],
     labels: Sequence[Column],
+    levels: LevelTable | None = None,
 ) -> DataFrame:
-    """Numbers with missing values at their median, dummies without the first level, labels."""
+    """Numbers with missing values at their median, dummies without the first level, labels.
+
+    With ``levels`` the dummies are the positions ``categories`` of a sparse vector, for categories of
+    any number of levels; without, each level is a column.
+    """
     df = reliable_checkpoint(df)
     medians = fit_medians(df, numeric)
     filled = [
         F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) if c in medians else F.col(c) for c in numeric
     ]
+    if levels is not None:
+        return levels.positions(df, "categories").select("student_id", *filled, "categories", *labels)
     return df.select("student_id", *filled, *dummies_drop_first(df, categorical), *labels)
 
 
@@ -249,7 +264,7 @@ def gpa_and_class(degrees: DataFrame) -> DataFrame:
 
 
 def graduate_features(
-    outcomes: DataFrame, students: DataFrame, degrees: DataFrame, attendance: DataFrame
+    outcomes: DataFrame, students: DataFrame, degrees: DataFrame, attendance: DataFrame, levels: LevelTable | None = None
 ) -> DataFrame:
     """Features and the employment, salary and study labels of every graduate."""
     top = outcomes.agg(F.max("total_logins")).scalar()
@@ -272,11 +287,11 @@ def graduate_features(
         lookup(F.col("salary_band"), targets.SALARY_CODES).alias("y_salary"),
         lookup(F.col("study_destination"), targets.DESTINATION_CODES).alias("y_study"),
     ]
-    return finished(df, numeric, BACKGROUND, labels)
+    return finished(df, numeric, BACKGROUND, labels, levels)
 
 
 def survey_features(
-    survey: DataFrame, students: DataFrame, degrees: DataFrame, vle: DataFrame, attendance: DataFrame
+    survey: DataFrame, students: DataFrame, degrees: DataFrame, vle: DataFrame, attendance: DataFrame, levels: LevelTable | None = None
 ) -> DataFrame:
     """Features and the nine survey labels of every student."""
     df = (
@@ -297,11 +312,11 @@ def survey_features(
         F.col("nps_score").alias("y_nps"),
         *[F.col(t).alias(f"y_{t}") for t in themes],
     ]
-    return finished(df, numeric, BACKGROUND, labels)
+    return finished(df, numeric, BACKGROUND, labels, levels)
 
 
 def retention_features(
-    outcomes: DataFrame, students: DataFrame, vle: DataFrame, assessments: DataFrame
+    outcomes: DataFrame, students: DataFrame, vle: DataFrame, assessments: DataFrame, levels: LevelTable | None = None
 ) -> DataFrame:
     """Features and the four retention labels of every student."""
     df = (
@@ -323,10 +338,12 @@ def retention_features(
         lookup(F.col("risk_category"), targets.RISK_CODES, 0).alias("y_risk_category"),
         F.col("departure_year").alias("y_departure_year"),
     ]
-    return finished(df, numeric, BACKGROUND, labels)
+    return finished(df, numeric, BACKGROUND, labels, levels)
 
 
-def exam_features(outcomes: DataFrame, students: DataFrame, assessments: DataFrame, vle: DataFrame) -> DataFrame:
+def exam_features(
+    outcomes: DataFrame, students: DataFrame, assessments: DataFrame, vle: DataFrame, levels: LevelTable | None = None
+) -> DataFrame:
     """Features and the three exam labels of every student."""
     df = (
         outcomes.join(background(students), "student_id", "left")
@@ -343,11 +360,11 @@ def exam_features(outcomes: DataFrame, students: DataFrame, assessments: DataFra
         F.col("pass_fail").alias("y_pass_fail"),
         lookup(F.col("grade_class"), targets.GRADE_CODES, 1).alias("y_grade_class"),
     ]
-    return finished(df, numeric, BACKGROUND, labels)
+    return finished(df, numeric, BACKGROUND, labels, levels)
 
 
 def wellbeing_features(
-    outcomes: DataFrame, students: DataFrame, assessments: DataFrame, attendance: DataFrame
+    outcomes: DataFrame, students: DataFrame, assessments: DataFrame, attendance: DataFrame, levels: LevelTable | None = None
 ) -> DataFrame:
     """Features and the four wellbeing labels of every student."""
     df = (
@@ -367,7 +384,7 @@ def wellbeing_features(
         lookup(F.col("risk_level"), targets.RISK_CODES, 0).alias("y_risk_level"),
         F.col("support_need").alias("y_support_need"),
     ]
-    return finished(df, numeric, BACKGROUND, labels)
+    return finished(df, numeric, BACKGROUND, labels, levels)
 
 
 def demand_features(demand: DataFrame, taken: DataFrame, fill: float | None = None) -> DataFrame:

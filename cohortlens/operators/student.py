@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import band, flag, lookup, one_hot
 from cohortlens.operators.categories import dummies
+from cohortlens.operators.sparse import LevelTable
 
 # Grade band edges and labels.
 GRADE_EDGES = [0, 80, 112, 128, 144, 168, 200]
@@ -45,14 +46,23 @@ def age_by_year(born: Column, reference_year: int = 2024, default: int = 19) ->
     return F.coalesce(F.lit(reference_year) - F.year(born), F.lit(default))
 
 
-def student_features(students: DataFrame, qualifications: DataFrame) -> DataFrame:
-    """Demographic, socio-economic and qualification features, one row per student."""
-    ethnicities = dummies(students, "ethnicity", "ethnicity")
-    kinds = dummies(qualifications, "qualification_type", "qual")
+def student_features(students: DataFrame, qualifications: DataFrame, levels: LevelTable | None = None) -> DataFrame:
+    """Demographic, socio-economic and qualification features, one row per student.
+
+    With ``levels`` (of ethnicity and qualification_type) the levels are positions ``categories`` of a sparse
+    vector, without each is a column.
+    """
+    if levels is None:
+        ethnicities = dummies(students, "ethnicity", "ethnicity")
+        kinds = dummies(qualifications, "qualification_type", "qual")
+    else:
+        ethnicities, kinds = [F.col("categories")], []
     low = flag(F.col("polar_quintile") == 1)
     joined = students.join(qualifications, "student_id", "left").withColumn(
         "grade_band", grade_band(F.col("ucas_tariff_points"))
     )
+    if levels is not None:
+        joined = levels.positions(joined, "categories")
     return joined.select(
         "student_id",
         flag(F.col("gender") == "Female").alias("gender_encoded"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cohortlens.functions import expr
-from cohortlens.operators import categories, course, engagement, marks, profiles, student, targets
+from cohortlens.operators import categories, course, engagement, marks, profiles, sparse, student, targets
 from cohortlens.plans.registry import query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -145,6 +145,30 @@ def _(c):
     return c.students.select("student_id", *categories.dummies_drop_first(c.students, ["gender", "disability"]))
 
 
+@query(
+    "b9_sparse_one_hot",
+    """WITH long AS (SELECT course_id, 0 AS i, 'course_name' AS "column", course_name AS level FROM courses
+         UNION ALL SELECT course_id, 1, 'department', department FROM courses),
+       numbered AS (SELECT i, level, ROW_NUMBER() OVER (ORDER BY i, level) - 1 AS position FROM (SELECT DISTINCT i, level FROM long))
+       SELECT course_id, position, "column", level FROM long JOIN numbered USING (i, level)""",
+)
+def _(c):
+    return sparse.LevelTable.fit(c.courses, ["course_name", "department"]).pairs(c.courses, "course_id")
+
+
+@query(
+    "b10_sparse_drop_first",
+    """WITH long AS (SELECT student_id, 0 AS i, 'gender' AS "column", COALESCE(gender, 'Unknown') AS level FROM students
+         UNION ALL SELECT student_id, 1, 'date_of_birth', COALESCE(CAST(date_of_birth AS VARCHAR), 'Unknown') FROM students),
+       kinds AS (SELECT DISTINCT i, level FROM long),
+       numbered AS (SELECT i, level, ROW_NUMBER() OVER (ORDER BY i, level) - 1 AS position
+         FROM kinds WHERE (i, level) NOT IN (SELECT (i, MIN(level)) FROM kinds GROUP BY i))
+       SELECT student_id, position, "column", level FROM long JOIN numbered USING (i, level)""",
+)
+def _(c):
+    return sparse.LevelTable.fit(c.students, ["gender", "date_of_birth"], drop_first=True, missing="Unknown").pairs(c.students, "student_id")
+
+
 @query(
     "b11_top_levels",
     """WITH top AS (SELECT department, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, department) AS place
