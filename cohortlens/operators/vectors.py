@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
@@ -77,6 +78,8 @@ def best_products(
     same: bool = True,
     lower: float | None = None,
     dims: int | None = None,
+    decimals: int | None = 6,
+    kernel: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.matmul,
 ) -> DataFrame:
     """Highest dot products per query and item block: (query_id, item_id, score).
 
@@ -85,7 +88,9 @@ def best_products(
     more than one block of either side, and per query and item block at most ``k``
     rows are shuffled. A column ``more`` of the queries raises ``k`` per query. With
     ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
-    Scores carry six decimals; the caller picks the final first ones.
+    Scores are ranked and returned with ``decimals`` decimals (None: as they are); the caller picks
+    the final first ones. Another ``kernel`` scores the rows of a matrix with the columns of another
+    in place of the dot product.
     """
     item_block = ITEM_BLOCK if dims is None else max(256, min(ITEM_BLOCK, 2**24 // dims))
     n_query, n_item = blocks_of(queries, QUERY_BLOCK), blocks_of(items, item_block)
@@ -106,7 +111,7 @@ def best_products(
     return (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
-        .applyInPandas(partial(block_best, same=same, lower=lower, dims=dims), PAIR_SCHEMA)
+        .applyInPandas(partial(block_best, same=same, lower=lower, dims=dims, decimals=decimals, kernel=kernel), PAIR_SCHEMA)
     )
 
 
@@ -129,22 +134,22 @@ def dense(vectors: pd.Series, dims: int | None) -> np.ndarray:
     return out
 
 
-def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None) -> pd.DataFrame:
+def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None, decimals: int | None, kernel) -> pd.DataFrame:
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
     i = i.sort_values("id")
     right, item_ids = dense(i["vector"], dims), i["id"].to_numpy()
     chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
-    parts = [chunk_best(part, right, item_ids, same, lower, dims) for part in chunks]
+    parts = [chunk_best(part, right, item_ids, same, lower, dims, decimals, kernel) for part in chunks]
     return pd.concat(parts, ignore_index=True)
 
 
-def chunk_best(part, right, item_ids, same, lower, dims) -> pd.DataFrame:
+def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.matmul) -> pd.DataFrame:
     ids, wanted = part["id"].to_numpy(), part["k"].to_numpy()
-    scores = dense(part["vector"], dims) @ right.T
+    scores = kernel(dense(part["vector"], dims), right.T)
     if lower is not None:
         scores = np.clip(scores, lower, 1.0)
-    scores = np.round(scores, 6) + 0.0
+    scores = (scores if decimals is None else np.round(scores, decimals)) + 0.0
     if not same:
         scores[ids[:, None] == item_ids[None, :]] = -np.inf
     # all above the k-th score of a row, and of those equal to it the first by item id

@@ -1,5 +1,6 @@
 """Recommenders (rows N1–N21)."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cohortlens.models import collaborative, hybrid, ranker
@@ -110,6 +111,69 @@ def _(c):
     return model.score(c.enrollments.select("student_id", "course_id"))
 
 
+def given_factors(c):
+    """Factors that follow from the ids; eighths and sixteenths, so that all sums are exact."""
+    s, k = F.col("student_id"), F.col("course_id")
+    people = c.students.select("student_id", (s % 7 / 8.0).alias("bias"), F.array(s % 8 / 8.0, s % 5 / 4.0, s * 3 % 16 / 16.0).alias("factors"))
+    courses = c.courses.select("course_id", (k % 32 / 32.0).alias("bias"), F.array(k * 5 % 8 / 8.0, k * 3 % 4 / 4.0, k % 16 / 16.0).alias("factors"))
+    return collaborative.Factors(-1.5, people, courses)
+
+
+GIVEN_SQL = """open AS (SELECT s.student_id, c.course_id, s.student_id AS s, c.course_id AS k FROM students s, courses c
+  WHERE (s.student_id, c.course_id) NOT IN (SELECT (o_custkey, l_partkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey)),
+ x AS (SELECT student_id, course_id, s % 7 / 8.0 AS sb, k % 32 / 32.0 AS cb, s % 8 / 8.0 AS p1, s % 5 / 4.0 AS p2, s * 3 % 16 / 16.0 AS p3,
+  k * 5 % 8 / 8.0 AS q1, k * 3 % 4 / 4.0 AS q2, k % 16 / 16.0 AS q3 FROM open)"""
+LISTED_SQL = """SELECT student_id, course_id, score, CAST(place AS INT) AS rank FROM
+ (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY score DESC, course_id) AS place FROM r) WHERE place <= 5"""
+
+
+@query(
+    "n6_lists_of_given_factors",
+    f"""WITH {GIVEN_SQL}, r AS (SELECT student_id, course_id, CAST(-1.5 + sb + cb + p1 * q1 + p2 * q2 + p3 * q3 AS DOUBLE) AS score FROM x) {LISTED_SQL}""",
+    ["score"],
+)
+def _(c):
+    return given_factors(c).recommend(c.students, c.interactions, 5)
+
+
+@query(
+    "n8_lists_of_given_factors",
+    f"""WITH {GIVEN_SQL}, r AS (SELECT student_id, course_id, 1 / (1 + EXP(-CAST(-1.5 + sb + cb + p1 * q1 + p2 * q2 + p3 * q3 AS DOUBLE))) AS score FROM x) {LISTED_SQL}""",
+    ["score"],
+)
+def _(c):
+    return collaborative.HybridModel(given_factors(c)).recommend(c.students, c.interactions, 5)
+
+
+GIVEN_INNER = [[0.5, -0.25, 1.0, 0.5, -1.0, 0.5, 0.25, 1.0], [-0.5, 1.0, 0.25, -1.0, 0.75, 0.5, -0.5, 0.25]]
+
+
+def neural_sql():
+    """Hidden units over student and course values, as one statement per unit."""
+    names = ["p1", "p2", "p3", "sb", "q1", "q2", "q3", "cb"]
+    units = [f"1 / (1 + EXP(-CAST({b} + {' + '.join(f'({w}) * {n}' for w, n in zip(row, names))} AS DOUBLE)))" for row, b in zip(GIVEN_INNER, (0.125, -0.25))]
+    return f"""WITH {GIVEN_SQL}, r AS (SELECT student_id, course_id, ROUND(1 / (1 + EXP(-(0.25 + 2.0 * {units[0]} - 1.5 * {units[1]}))), 9) AS score FROM x) {LISTED_SQL}"""
+
+
+@query("n9_lists_of_given_weights", neural_sql(), ["score"])
+def _(c):
+    model = collaborative.NeuralModel(given_factors(c), np.array(GIVEN_INNER), np.array([0.125, -0.25]), np.array([2.0, -1.5]), 0.25)
+    return model.recommend(c.students, c.interactions, 5)
+
+
+@query("n8_hybrid_lists")
+def _(c):
+    people = c.students.join(c.qualifications, "student_id")
+    model = collaborative.fit_hybrid(c.enrollments, people, c.courses, ["qualification_type", "gender"], ["department"])
+    return model.recommend(c.students, c.enrollments, 5)
+
+
+@query("n9_neural_lists")
+def _(c):
+    model = collaborative.fit_neural(c.enrollments, c.courses, collaborative.fit_factors(c.interactions))
+    return model.recommend(c.students, c.enrollments, 5)
+
+
 def course_docs(c):
     return profiles.course_text(c.courses).select(F.col("course_id").alias("id"), "text")
 
