@@ -47,9 +47,9 @@ LATIN = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x13
 LEVEL_SPARE = 2.0
 #: Distinct keys need far fewer levels; each level keeps more than half of its keys.
 MOST_LEVELS = 64
-#: Bytes of text for each file, and documents that are encoded at a time.
+#: Bytes of text for each file, and documents that are handed to the encoder at a time.
 FILE_BYTES = 32 << 20
-AT_ONCE = 512
+AT_ONCE = 2500
 
 
 class Encoder:
