@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.models.ranker import Ranker
+from cohortlens.models.ranker import PairwiseRanker, Ranker
 from cohortlens.operators import recommend
 from cohortlens.operators.mmr import mmr
 
@@ -21,14 +21,16 @@ class HybridRecommender:
 
     ``scores`` is the long table (student_id, course_id, model, score) of the
     recommenders' lists. Students without history take the routed model's list; all
-    others go through the mode.
+    others go through the mode. Lists are made diverse from all fused courses, or from the
+    first ``candidates`` of them.
     """
 
     scores: DataFrame
     weights: Mapping[str, float]
     vectors: DataFrame
     mode: str = "ensemble"
-    ranker: Ranker | None = None
+    ranker: Ranker | PairwiseRanker | None = None
+    candidates: int | None = None
     diversity: float = 0.7
 
     def ranked(self, scores: DataFrame, n: int) -> DataFrame:
@@ -44,9 +46,11 @@ class HybridRecommender:
             raise ValueError(f"unknown mode {self.mode}")
         warm = routes.where(F.col("route") == recommend.ROUTES[0]).select("student_id")
         cold = routes.where(F.col("route") != recommend.ROUTES[0])
-        listed = self.ranked(self.scores.join(warm, "student_id", "left_semi"), n if self.mode == "ensemble" else 2 * n)
-        if self.mode in ("mmr", "hybrid"):
-            listed = mmr(listed, self.vectors, n, self.diversity, candidates=2 * n)
+        diverse = self.mode in ("mmr", "hybrid")
+        # a student has at most as many courses as the recommenders' lists together
+        listed = self.ranked(self.scores.join(warm, "student_id", "left_semi"), (self.candidates or 2**31 - 1) if diverse else n)
+        if diverse:
+            listed = mmr(listed, self.vectors, n, self.diversity)
         out = ["student_id", "course_id", "rank", "score"]
         other = recommend.best_courses(recommend.routed(cold, self.scores), n)
         return listed.where(F.col("rank") <= n).select(*out).unionByName(other.select(*out))

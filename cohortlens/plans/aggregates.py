@@ -250,21 +250,24 @@ def _(c):
     return marks.module_history(c.assessments)
 
 
-@query(
-    "e23_column_profile",
-    """SELECT 'ucas_tariff_points' AS "column", 'mean' AS statistic, AVG(ucas_tariff_points) AS value FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'std', STDDEV_SAMP(ucas_tariff_points) FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'min', MIN(ucas_tariff_points) FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'max', MAX(ucas_tariff_points) FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'null_count', COUNT(*) - COUNT(ucas_tariff_points) FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'null_percent', 100.0 * (COUNT(*) - COUNT(ucas_tariff_points)) / COUNT(*) FROM qualifications
-       UNION ALL SELECT 'qualification_type', 'distinct', COUNT(DISTINCT qualification_type) FROM qualifications
-       UNION ALL SELECT 'qualification_type', 'null_count', COUNT(*) - COUNT(qualification_type) FROM qualifications
-       UNION ALL SELECT 'qualification_type', 'null_percent', 100.0 * (COUNT(*) - COUNT(qualification_type)) / COUNT(*) FROM qualifications""",
-    ["value"],
-)
+def profile_sql(table, numbers, others):
+    """All statistics of all columns."""
+    out = []
+    for x in numbers:
+        for name, value in (("mean", "AVG({x})"), ("std", "STDDEV_SAMP({x})"), ("min", "MIN({x})"), ("max", "MAX({x})")):
+            out.append((x, name, value))
+    out += [(x, "distinct", "COUNT(DISTINCT {x})") for x in others]
+    for x in [*numbers, *others]:
+        out += [(x, "null_count", "COUNT(*) - COUNT({x})"), (x, "null_percent", "100.0 * (COUNT(*) - COUNT({x})) / COUNT(*)")]
+    return " UNION ALL ".join(f"""SELECT '{x}' AS "column", '{name}' AS statistic, CAST({value.format(x=x)} AS DOUBLE) AS value FROM {table}""" for x, name, value in out)
+
+
+QUALIFICATION_PROFILE_SQL = profile_sql("qualifications", ["student_id", "ucas_tariff_points", "predicted_grade"], ["qualification_type"])
+
+
+@query("e23_column_profile", QUALIFICATION_PROFILE_SQL, ["value"])
 def _(c):
-    return profile.column_profile(c.qualifications.select("ucas_tariff_points", "qualification_type"))
+    return profile.column_profile(c.qualifications)
 
 
 @query(

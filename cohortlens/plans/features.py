@@ -151,15 +151,15 @@ def _(c):
     return engagement.mean_weekly_change(c.vle_engagement, "total_actions", "change")
 
 
-@query(
-    "i1_student_features",
-    f"""SELECT student_id, CASE WHEN gender = 'Female' THEN 1 ELSE 0 END AS gender_encoded, {sql_dummies('ethnicity', 'ethnicity', SEGMENTS)},
+STUDENT_FEATURES_SQL = f"""SELECT student_id, CASE WHEN gender = 'Female' THEN 1 ELSE 0 END AS gender_encoded, {sql_dummies('ethnicity', 'ethnicity', SEGMENTS)},
         11 - imd_decile AS imd_inverse, CASE WHEN polar_quintile = 1 THEN 1 ELSE 0 END AS low_participation_area,
         care_leaver * 3 + first_generation_uni * 2 + CASE WHEN polar_quintile = 1 THEN 1 ELSE 0 END AS contextual_score,
         {sql_dummies('qualification_type', 'qual', KINDS)}, ucas_tariff_points, predicted_grade, grade_band,
         {sql_dummies('grade_band', 'grade', GRADES)}
-        FROM (SELECT *, {GRADE_SQL} AS grade_band FROM students LEFT JOIN qualifications USING (student_id))""",
-)
+        FROM (SELECT *, {GRADE_SQL} AS grade_band FROM students LEFT JOIN qualifications USING (student_id))"""
+
+
+@query("i1_student_features", STUDENT_FEATURES_SQL)
 def _(c):
     return student.student_features(c.students, c.qualifications)
 
@@ -525,16 +525,19 @@ SCORES_SQL = """SELECT s.student_id, p.course_id, CAST(p.n AS DOUBLE) AS score,
    (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY rating DESC, course_id) AS place FROM interactions) WHERE place <= 10"""
 
 
-@query(
-    "i16_ranking_samples",
-    f"""WITH sc AS ({SCORES_SQL}), wide AS (SELECT student_id, course_id, MAX(CASE WHEN model = 'popularity' THEN score END) AS popularity,
+SAMPLES_SQL = f"""WITH sc AS ({SCORES_SQL}), wide AS (SELECT student_id, course_id, MAX(CASE WHEN model = 'popularity' THEN score END) AS popularity,
           MAX(CASE WHEN model = 'rating' THEN score END) AS rating FROM sc GROUP BY 1, 2),
         good AS (SELECT DISTINCT student_id, course_id FROM enrollments), held AS (SELECT student_id, COUNT(*) AS n FROM good GROUP BY 1),
         bad AS (SELECT w.*, n, ROW_NUMBER() OVER (PARTITION BY w.student_id ORDER BY GREATEST(COALESCE(popularity, 0), COALESCE(rating, 0), 0) DESC, w.course_id) AS place
           FROM wide w JOIN held ON held.student_id = w.student_id WHERE NOT EXISTS (SELECT 1 FROM good g WHERE g.student_id = w.student_id AND g.course_id = w.course_id))
         SELECT student_id, course_id, COALESCE(popularity, 0) AS popularity, COALESCE(rating, 0) AS rating, 1 AS label, student_id AS query_id
         FROM good LEFT JOIN wide USING (student_id, course_id)
-        UNION ALL SELECT student_id, course_id, COALESCE(popularity, 0), COALESCE(rating, 0), 0, student_id FROM bad WHERE place <= 2 * n""",
+        UNION ALL SELECT student_id, course_id, COALESCE(popularity, 0), COALESCE(rating, 0), 0, student_id FROM bad WHERE place <= 2 * n"""
+
+
+@query(
+    "i16_ranking_samples",
+    SAMPLES_SQL,
     ["popularity", "rating"],
 )
 def _(c):

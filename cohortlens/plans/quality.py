@@ -119,13 +119,15 @@ def _(c):
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 NAMES = ["l_returnflag", "l_linestatus"]
 CUT = "1998-01-01"
+#: All columns of the table.
+ALL_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *NUMBERS, "l_tax"]
+ALL_NAMES = [*NAMES, "l_shipdate"]
 
 
-def halves(c):
+def halves(c, pick=(*NUMBERS, *NAMES)):
     lines = c.raw("lineitem")
     early = F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz")
-    pick = [*NUMBERS, *NAMES]
-    return lines.where(early).select(pick), lines.where(~early).select(pick)
+    return lines.where(early).select(*pick), lines.where(~early).select(*pick)
 
 
 SIDES_SQL = f"""early AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{CUT}'), late AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUT}')"""
@@ -138,7 +140,7 @@ def bin_sql(col, side):
 
 
 def name_sql(col, side):
-    return f"""SELECT '{col}' AS "column", {col} AS bin, COUNT(*) AS n FROM {side} GROUP BY 2"""
+    return f"""SELECT '{col}' AS "column", CAST({col} AS VARCHAR) AS bin, COUNT(*) AS n FROM {side} GROUP BY 2"""
 
 
 def counts_sql(side, numbers=NUMBERS, names=NAMES):
@@ -160,7 +162,8 @@ def _(c):
     return drift.reference_profile(halves(c)[0])
 
 
-DIVERGENCE_SQL = f"""WITH {SIDES_SQL}, r AS ({counts_sql('early')}), g AS ({grid_sql()}), u AS ({counts_sql('late')}),
+def divergence_sql(numbers=NUMBERS, names=NAMES):
+    return f"""WITH {SIDES_SQL}, r AS ({counts_sql('early', numbers, names)}), g AS ({grid_sql(numbers)}), u AS ({counts_sql('late', numbers, names)}),
  rf AS (SELECT "column", bin, COALESCE(n, 0) AS r FROM g FULL JOIN r USING ("column", bin)),
  b AS (SELECT "column", bin, COALESCE(r, 0) AS r, COALESCE(n, 0) AS c FROM rf FULL JOIN u USING ("column", bin)),
  s AS (SELECT "column", r / CAST(SUM(r) OVER w AS DOUBLE) + 1e-6 AS p, c / CAST(SUM(c) OVER w AS DOUBLE) + 1e-6 AS q, COUNT(*) OVER w AS k FROM b WINDOW w AS (PARTITION BY "column")),
@@ -168,6 +171,9 @@ DIVERGENCE_SQL = f"""WITH {SIDES_SQL}, r AS ({counts_sql('early')}), g AS ({grid
  v AS (SELECT "column", SUM((q - p) * LN(q / p)) AS psi, SUM(q * LN(q / p)) AS kl FROM d GROUP BY 1)
  SELECT "column", psi, kl, CASE WHEN psi < 0.1 THEN 'No significant change' WHEN psi < 0.25 THEN 'Moderate change' ELSE 'Significant change' END AS interpretation,
   psi > 0.1 AS drift_detected FROM v"""
+
+
+DIVERGENCE_SQL = divergence_sql()
 quoted = lambda names: ", ".join(f"'{n}'" for n in names)
 
 
@@ -200,11 +206,15 @@ def ks_sql(col):
    (SELECT {col}, l_shipdate < TIMESTAMP '{CUT}' AS e FROM lineitem) GROUP BY 1))"""
 
 
-KS_SQL = f"""WITH ks AS ({' UNION ALL '.join(ks_sql(x) for x in NUMBERS)})
+def all_ks_sql(numbers=NUMBERS):
+    return f"""WITH ks AS ({' UNION ALL '.join(ks_sql(x) for x in numbers)})
  SELECT "column", ks_statistic, CASE WHEN t2 < 0.04 THEN 1 ELSE LEAST(1, GREATEST(0, 2 * (SELECT SUM((CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * EXP(-2 * k * k * t2)) FROM RANGE(1, 101) t(k)))) END AS ks_p_value
  FROM (SELECT *, ks_statistic * ks_statistic * (nr * CAST(nc AS DOUBLE) / (nr + nc)) AS t2 FROM ks)"""
 
 
+KS_SQL = all_ks_sql()
+
+
 @query("l6_ks_test", KS_SQL, ["ks_statistic", "ks_p_value"])
 def _(c):
     return drift.ks_test(*halves(c))
@@ -212,8 +222,8 @@ def _(c):
 
 @query(
     "l7_drift_all_columns",
-    f"""SELECT "column", psi, kl, interpretation, drift_detected, ks_statistic, ks_p_value FROM ({DIVERGENCE_SQL}) d LEFT JOIN ({KS_SQL}) k USING ("column")""",
+    f"""SELECT "column", psi, kl, interpretation, drift_detected, ks_statistic, ks_p_value FROM ({divergence_sql(ALL_NUMBERS, ALL_NAMES)}) d LEFT JOIN ({all_ks_sql(ALL_NUMBERS)}) k USING ("column")""",
     ["psi", "kl", "ks_statistic", "ks_p_value"],
 )
 def _(c):
-    return drift.detect_drift(*halves(c))
+    return drift.detect_drift(*halves(c, ["*"]))

@@ -7,7 +7,8 @@ from cohortlens.models import collaborative, hybrid, ranker
 from cohortlens.operators import profiles, recommend, vectors
 from cohortlens.operators.mmr import mmr
 from cohortlens.operators.text import TfIdf
-from cohortlens.plans.features import SCORES_SQL, model_scores
+from cohortlens.operators.feature_tables import ranking_samples
+from cohortlens.plans.features import SAMPLES_SQL, SCORES_SQL, model_scores
 from cohortlens.plans.ranking import METRICS, POPULARITY_SQL, course_vectors, popularity_lists, top10
 from cohortlens.plans.registry import query
 from cohortlens.session import reliable_checkpoint
@@ -319,6 +320,42 @@ def _(c):
     return ranker.fit_ranker(scores, c.enrollments).recommend(scores, 5)
 
 
+AT_WEIGHTS = (0.02, -0.03)
+PAIR_SQL = f"""WITH sm AS ({SAMPLES_SQL}), pr AS (SELECT a.query_id, a.popularity - b.popularity AS dp, a.rating - b.rating AS dr
+   FROM sm a JOIN sm b ON a.query_id = b.query_id AND a.label = 1 AND b.label = 0),
+ g AS (SELECT *, 1 / (1 + EXP({AT_WEIGHTS[0]} * dp + {AT_WEIGHTS[1]} * dr)) AS wrong, COUNT(*) OVER (PARTITION BY query_id) AS n FROM pr),
+ t AS (SELECT COUNT(DISTINCT query_id) AS students FROM g)
+ SELECT SUM(-LN(1 - wrong) / n) / MAX(students) AS loss, SUM(-wrong * dp / n) / MAX(students) AS g_popularity, SUM(-wrong * dr / n) / MAX(students) AS g_rating,
+  SUM(wrong * (1 - wrong) * dp * dp / n) / MAX(students) AS c_popularity, SUM(wrong * (1 - wrong) * dp * dr / n) / MAX(students) AS c_both,
+  SUM(wrong * (1 - wrong) * dr * dr / n) / MAX(students) AS c_rating FROM g, t"""
+PAIR_COLUMNS = ["loss", "g_popularity", "g_rating", "c_popularity", "c_both", "c_rating"]
+
+
+@query("n18_pairwise_derivatives", PAIR_SQL, PAIR_COLUMNS)
+def _(c):
+    lists = ranker.student_lists(ranking_samples(model_scores(c), c.enrollments), ["popularity", "rating"])
+    loss, gradient, curvature = ranker.pair_derivatives(lists, np.array(AT_WEIGHTS))
+    row = (loss, *gradient, curvature[0, 0], curvature[0, 1], curvature[1, 1])
+    return c.spark.createDataFrame([tuple(map(float, row))], ", ".join(f"{x} double" for x in PAIR_COLUMNS))
+
+
+@query("n18_pairwise_ranking")
+def _(c):
+    scores = model_scores(c)
+    return ranker.fit_pairwise(scores, c.enrollments).recommend(scores, 5)
+
+
+@query(
+    "n17_reweight",
+    f"""WITH e AS (SELECT student_id, course_id, SUM(CASE model WHEN 'popularity' THEN CAST(0.2 AS DOUBLE) ELSE 0.8 END * (1 / (1 + EXP(-score)))) / COUNT(*) AS score FROM ({SCORES_SQL}) GROUP BY 1, 2)
+        SELECT student_id, course_id, score, CAST(place AS INT) AS rank FROM
+        (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY score DESC, course_id) AS place FROM e) WHERE place <= 5""",
+    ["score"],
+)
+def _(c):
+    return recommend.ensemble(model_scores(c), recommend.normalised({"popularity": 1, "rating": 4}), 5)
+
+
 @query("n19_mmr")
 def _(c):
     return mmr(top10(c), course_vectors(c), 5)
@@ -336,7 +373,7 @@ def routes(c):
 
 @query(
     "n20_cold_start",
-    f"""WITH r AS ({ROUTE_SQL}), sc AS (SELECT student_id, course_id, score, CASE model WHEN 'rating' THEN 'matrix_factorization' ELSE model END AS model FROM ({SCORES_SQL})),
+    f"""WITH r AS ({ROUTE_SQL}), sc AS MATERIALIZED (SELECT student_id, course_id, score, CASE model WHEN 'rating' THEN 'matrix_factorization' ELSE model END AS model FROM ({SCORES_SQL})),
         pick AS (SELECT student_id, CASE WHEN BOOL_OR(model = route) THEN MAX(route) ELSE 'popularity' END AS model FROM sc JOIN r USING (student_id) GROUP BY 1)
         SELECT student_id, model, course_id, score FROM sc JOIN pick USING (student_id, model)""",
     ["score"],
@@ -347,6 +384,72 @@ def _(c):
     return recommend.routed(routes(c), scores).select("student_id", "model", "course_id", "score")
 
 
+CONTENT_SQL = f"""WITH s AS ({STUDENT_PARTS_SQL}), c AS ({COURSE_PARTS_SQL}), sl AS (SELECT *, SQRT({WEIGHTED.format(x='s', y='s')}) AS l FROM s), cl AS (SELECT *, SQRT({WEIGHTED.format(x='c', y='c')}) AS l FROM c),
+ p AS (SELECT student_id, course_id, ROUND(LEAST(1, GREATEST(0, ({WEIGHTED.format(x='sl', y='cl')}) / (sl.l * cl.l))), 6) AS score FROM sl, cl)
+ SELECT student_id, course_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY score DESC, course_id) AS place FROM p) WHERE place <= 5"""
+
+
+def served_scores(c):
+    """The lists of all three routes."""
+    renamed = F.when(F.col("model") == "rating", recommend.ROUTES[0]).otherwise(F.col("model"))
+    content = recommend.content_based(c.students, c.qualifications, c.courses, 5).select("student_id", "course_id", "score", F.lit(recommend.ROUTES[1]).alias("model"))
+    return model_scores(c).withColumn("model", renamed).unionByName(content)
+
+
+@query(
+    "n20_content_route",
+    f"""WITH r AS ({ROUTE_SQL}), ct AS MATERIALIZED ({CONTENT_SQL}), ot AS MATERIALIZED ({SCORES_SQL}),
+        sc AS (SELECT student_id, course_id, score, CASE model WHEN 'rating' THEN 'matrix_factorization' ELSE model END AS model FROM ot UNION ALL SELECT student_id, course_id, score, 'content_based' FROM ct),
+        pick AS (SELECT student_id, CASE WHEN BOOL_OR(model = route) THEN MAX(route) WHEN BOOL_OR(model = 'content_based') THEN 'content_based' ELSE 'popularity' END AS model FROM sc JOIN r USING (student_id) GROUP BY 1)
+        SELECT student_id, model, course_id, score FROM sc JOIN pick USING (student_id, model)""",
+    ["score"],
+)
+def _(c):
+    return recommend.routed(routes(c), served_scores(c)).select("student_id", "model", "course_id", "score")
+
+
+SERVED_WEIGHTS = {"popularity": 2, "matrix_factorization": 3, "content_based": 5}
+SERVED_SQL = f"""SELECT student_id, course_id, score, CASE model WHEN 'rating' THEN 'matrix_factorization' ELSE model END AS model FROM ({SCORES_SQL})
+ UNION ALL SELECT student_id, course_id, score, 'content_based' FROM ({CONTENT_SQL})"""
+SERVED_SHARE = "CASE model WHEN 'popularity' THEN CAST(0.2 AS DOUBLE) WHEN 'matrix_factorization' THEN 0.3 ELSE 0.5 END"
+
+
+@query(
+    "n21_ensemble_mode",
+    f"""WITH r AS ({ROUTE_SQL}), sc AS MATERIALIZED ({SERVED_SQL}),
+        warm AS (SELECT student_id, course_id, SUM({SERVED_SHARE} * (1 / (1 + EXP(-score)))) / COUNT(*) AS score FROM sc JOIN r USING (student_id) WHERE route = 'matrix_factorization' GROUP BY 1, 2),
+        pick AS (SELECT student_id, CASE WHEN BOOL_OR(model = route) THEN MAX(route) WHEN BOOL_OR(model = 'content_based') THEN 'content_based' ELSE 'popularity' END AS model
+          FROM sc JOIN r USING (student_id) WHERE route <> 'matrix_factorization' GROUP BY 1),
+        every AS (SELECT student_id, course_id, score FROM warm UNION ALL SELECT student_id, course_id, score FROM sc JOIN pick USING (student_id, model))
+        SELECT student_id, course_id, CAST(place AS INT) AS rank, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY score DESC, course_id) AS place FROM every) WHERE place <= 5""",
+    ["score"],
+)
+def _(c):
+    return hybrid.HybridRecommender(served_scores(c), SERVED_WEIGHTS, course_vectors(c), mode="ensemble").recommend(routes(c), 5)
+
+
+@query("n21_ltr_mode")
+def _(c):
+    scores = served_scores(c)
+    fitted = ranker.fit_pairwise(scores, c.enrollments)
+    return hybrid.HybridRecommender(scores, SERVED_WEIGHTS, course_vectors(c), mode="ltr", ranker=fitted).recommend(routes(c), 5)
+
+
+@query("n21_mmr_mode")
+def _(c):
+    return hybrid.HybridRecommender(served_scores(c), SERVED_WEIGHTS, course_vectors(c), mode="mmr").recommend(routes(c), 5)
+
+
+@query(
+    "n21_explain",
+    f"""WITH sc AS ({SERVED_SQL}) SELECT student_id, course_id, model, {SERVED_SHARE} AS weight, score, {SERVED_SHARE} * score AS contribution
+        FROM sc WHERE (student_id, course_id) IN (SELECT (student_id, course_id) FROM enrollments)""",
+    ["weight", "score", "contribution"],
+)
+def _(c):
+    return hybrid.HybridRecommender(served_scores(c), SERVED_WEIGHTS, course_vectors(c)).explain(c.enrollments)
+
+
 @query("n21_hybrid")
 def _(c):
     served = hybrid.HybridRecommender(model_scores(c), {"popularity": 2, "rating": 3}, course_vectors(c), mode="hybrid")

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from cohortlens.operators.profile import column_profile
 from cohortlens.operators.student import student_features
 from cohortlens.plans.registry import query
-from cohortlens.plans.scalars import GRADE_SQL
+from cohortlens.functions.expr import column_name
+from cohortlens.plans.aggregates import QUALIFICATION_PROFILE_SQL
+from cohortlens.plans.features import GRADES, STUDENT_FEATURES_SQL
+from cohortlens.plans.scalars import KINDS, SEGMENTS
 from cohortlens.session import new_table_path
 from cohortlens.sources import files, mapping, registry
 from cohortlens.sources.tables import CANONICAL
@@ -50,31 +53,35 @@ def _(c):
 GROUPS = {"ethnicity": "demographics", "gender": "demographics", "qual": "qualifications", "grade": "qualifications", "imd": "socioeconomic"}
 
 
-@query(
-    "a3_registry_round_trip",
-    """SELECT 'low_participation_area' AS name, 'binary' AS kind, 'other' AS feature_group, COUNT(DISTINCT polar_quintile = 1) AS cardinality FROM students
-       UNION ALL SELECT 'imd_inverse', 'numeric', 'socioeconomic', COUNT(DISTINCT imd_decile) FROM students""",
-)
+STUDENT_FEATURES = [
+    "gender_encoded", *[f"ethnicity_{v}" for v in SEGMENTS], "imd_inverse", "low_participation_area", "contextual_score",
+    *[column_name("qual", v) for v in KINDS], "ucas_tariff_points", "predicted_grade", "grade_band", *[f"grade_{g}" for g in GRADES],
+]
+
+
+def registry_sql():
+    """One row per feature, with its kind, group and distinct values."""
+    rows = []
+    for name in STUDENT_FEATURES:
+        group = next((g for prefix, g in GROUPS.items() if name.startswith(prefix)), "other")
+        kind = "'categorical'" if name == "grade_band" else f"""CASE WHEN COUNT(DISTINCT "{name}") <= 2 THEN 'binary' ELSE 'numeric' END"""
+        rows.append(f"""SELECT '{name}' AS name, {kind} AS kind, '{group}' AS feature_group, COUNT(DISTINCT "{name}") AS cardinality FROM f""")
+    return f"WITH f AS ({STUDENT_FEATURES_SQL}) " + " UNION ALL ".join(rows)
+
+
+@query("a3_registry_round_trip", registry_sql())
 def _(c):
     path = new_table_path(c.spark, "registry")
     described = registry.describe(student_features(c.students, c.qualifications), GROUPS, "student_id")
     registry.save(described, c.spark, path)
-    table = registry.load(c.spark, path).table(c.spark)
-    wanted = F.col("name").isin("low_participation_area", "imd_inverse")
-    return table.where(wanted).select("name", "kind", "feature_group", "cardinality")
+    return registry.load(c.spark, path).table(c.spark).select("name", "kind", "feature_group", "cardinality")
 
 
-@query(
-    "a4_statistics_sink",
-    """SELECT 'ucas_tariff_points' AS "column", 'mean' AS statistic, AVG(ucas_tariff_points) AS value FROM qualifications
-       UNION ALL SELECT 'ucas_tariff_points', 'max', MAX(ucas_tariff_points) FROM qualifications""",
-    ["value"],
-)
+@query("a4_statistics_sink", QUALIFICATION_PROFILE_SQL, ["value"])
 def _(c):
     path = new_table_path(c.spark, "statistics")
     files.write_statistics(column_profile(c.qualifications), path)
-    back = c.spark.read.schema("column string, statistic string, value double").json(path)
-    return back.where((F.col("column") == "ucas_tariff_points") & F.col("statistic").isin("mean", "max"))
+    return c.spark.read.schema("column string, statistic string, value double").json(path)
 
 
 @query("a5_append_sink", f"SELECT outcome, COUNT(*) AS n FROM ({LOG_SQL}) GROUP BY 1")
@@ -131,15 +138,8 @@ def _(c):
     return mapping.rename_to_vendor(c.enrollments, "enrollments", "tribal")
 
 
-@query(
-    "a11_feature_registry",
-    f"""SELECT 'qualifications' AS feature_group, 'grade_band' AS name, 'categorical' AS kind, COUNT(DISTINCT g) AS cardinality FROM (SELECT {GRADE_SQL} AS g FROM qualifications)
-        UNION ALL SELECT 'demographics', 'gender_encoded', 'binary', COUNT(DISTINCT gender = 'Female') FROM students""",
-)
+@query("a11_feature_registry", f"""SELECT feature_group, name, kind, cardinality FROM ({registry_sql()}) WHERE feature_group IN ('qualifications', 'demographics')""")
 def _(c):
     described = registry.describe(student_features(c.students, c.qualifications), GROUPS, "student_id")
-    table = described.table(c.spark)
-    groups = F.col("feature_group").isin("qualifications", "demographics")
-    return table.where(groups & F.col("name").isin("grade_band", "gender_encoded")).select(
-        "feature_group", "name", "kind", "cardinality"
-    )
+    names = [n for group in ("qualifications", "demographics") for n in described.names(group)]
+    return described.table(c.spark).where(F.col("name").isin(names)).select("feature_group", "name", "kind", "cardinality")

@@ -46,9 +46,15 @@ class FeatureRegistry:
 
 
 def describe(df: DataFrame, groups: Mapping[str, str], key: str) -> FeatureRegistry:
-    """Register every column but the key; ``groups`` maps name prefixes to groups."""
+    """Register every column but the key; ``groups`` maps name prefixes to groups.
+
+    Distinct values of all columns are counted together, as (column, value) rows that combine in the tasks.
+    """
     registry = FeatureRegistry()
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns if c != key]).first()
+    names = [c for c in df.columns if c != key]
+    cells = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in names]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("value is not null").distinct()
+    counts = dict.fromkeys(names, 0) | {r["name"]: r["n"] for r in long.groupBy("name").agg(F.count("*").alias("n")).collect()}
     for field in df.schema.fields:
         if field.name == key:
             continue
