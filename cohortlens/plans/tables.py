@@ -12,6 +12,7 @@ from cohortlens.plans.scalars import KINDS, SEGMENTS
 from cohortlens.session import new_table_path
 from cohortlens.sources import files, mapping, registry
 from cohortlens.sources.tables import CANONICAL
+from cohortlens.streaming import weekly
 
 
 @query(
@@ -106,6 +107,32 @@ def _(c):
     return files.upsert(current, changed.unionByName(new), ["vec_id"], "version")
 
 
+@query(
+    "a6_bucketed_upsert",
+    """SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN label + 100 ELSE label END AS label, CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 1 END AS version FROM embeddings
+       UNION ALL SELECT vec_id + 1000000, label, 2 FROM embeddings WHERE vec_id % 7 = 0""",
+)
+def _(c):
+    current = c.raw("embeddings").select("vec_id", "label", F.lit(1).alias("version"))
+    changed = current.where(F.col("vec_id") % 3 == 0).select("vec_id", (F.col("label") + 100).alias("label"), F.lit(2).alias("version"))
+    new = current.where(F.col("vec_id") % 7 == 0).select((F.col("vec_id") + 1000000).alias("vec_id"), "label", F.lit(2).alias("version"))
+    table = files.BucketedTable(new_table_path(c.spark, "vectors"), ["vec_id"], "version", 8)
+    table.create(current)
+    table.upsert(changed.unionByName(new))
+    return table.read(c.spark).select("vec_id", "label", "version")
+
+
+@query(
+    "w1_streamed_weeks",
+    f"""SELECT user_id AS student_id, TIME_BUCKET(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS week_start, {", ".join(f"COUNT(CASE WHEN event_type = '{kind}' THEN 1 END) AS {name}" for name, kind in weekly.COUNTS.items())},
+        COUNT(*) AS total_actions FROM events GROUP BY 1, 2""",
+)
+def _(c):
+    table = weekly.new_table(c.spark, new_table_path(c.spark, "weeks"))
+    weekly.keep_weekly(weekly.read_events(c.spark, f"{c.folder}/event[s].parquet"), table, new_table_path(c.spark, "weeks-state"))
+    return table.read(c.spark).drop("version")
+
+
 @query("a7_vendor_names", """SELECT c_custkey AS "SPR_CODE", c_mktsegment AS "SPR_ETN" FROM customer""")
 def _(c):
     names = mapping.to_vendor("students", "sits")
