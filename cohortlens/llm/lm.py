@@ -1,20 +1,23 @@
 """Scores of documents under a causal self-attention model over subword ids.
 
-A word's *lead* is its first subword id. The attention model reads the leads of a text in windows
-and predicts the class of the next lead; frequent leads are classes of their own, the others share
-classes. The rest of a word's ids follow from corpus counts of the words in the class:
+The attention model reads the subword ids of a text in windows and predicts each next id: the class
+of the id by a softmax, and the id in its class by its share of the training ids. Frequent ids are
+classes of their own, the others share ``SHARED_CLASSES``; as inputs, ids beyond the first ``INPUTS``
+share some numbers.
 
-    p(word | before) = p(class | leads before) * (c + 1/2) / (C + (V + 1) / 2)
+    p(id | before) = p(class | ids before) * (c + 1/2) / (C + S / 2)
 
-with c, C and V the word's count, the class's count and the class's distinct words in the training
-documents. ``MIX`` of the probability comes from the plain word frequencies, so that a surprising
-class can't ruin a text. The end of a text is a class by itself.
+with c and C the id's and the class's training counts and S the class's number of ids. A word's
+probability is the product over its ids; ``MIX`` of it comes from the plain word frequencies, so that
+a surprising word can't ruin a text. The end of a text is a class by itself. A word without ids has
+only the plain share.
 
 Everything that is counted covers all training documents; counts of words meet per word hash and
-return only to the homes (buckets of documents) that have the word. The network learns from one in
-``RATE`` windows of all training documents, picked by hash over whole texts, so its training set
-grows with the corpus. Rounds of local steps run where the windows lie; the weights, a fixed
-number, are averaged by Spark between rounds.
+return only to the homes (buckets of documents, cut by bytes of text) that have the word. Every window
+of every training document trains the network once: windows are dealt to ``ROUNDS`` turns by hash of
+id, text and place; in a turn the homes train from common weights where their windows lie, and the
+weights, a fixed number, are averaged by Spark. Homes, orders and seeds come from the data alone, so
+scores don't depend on the number of partitions.
 
 Scoring uses overlapping windows: each token is scored once, with ``OVERLAP`` tokens of context
 before it at least (fewer only at the start of a text). Windows are scored in batches with one
@@ -23,13 +26,15 @@ causal mask.
 Results of the awkward cases: a null text is empty and has its end as its one token; documents
 whose id is null count as fold 0; rows of a repeated id are scored one by one (and learned from
 as often); without training documents every token has probability 1 in the base and the class model
-is uniform; an empty table gives an empty result; further columns are ignored.
+is uniform; a very long text is many windows of one home; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,22 +43,28 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WordHashes, homes_of, id_fold, mixed, texts, word_codes, words
+from cohortlens.llm.common import WordHashes, id_fold, mixed, parts_for, text_bytes, texts, words
 from cohortlens.llm.tokenfile import Encoder
 from cohortlens.session import reliable_checkpoint
 
 WINDOW = 32
 OVERLAP = 8
-RATE = 16
 ROUNDS = 3
-BATCH = 8
+BATCH = 64
 DIM = 32
-CLASSES = 64
-SHARED_CLASSES = 16
-INPUTS = 1024
+CLASSES = 96
+SHARED_CLASSES = 24
+INPUTS = 4096
+#: Input numbers that the ids beyond the own ones share.
+SHARED_INPUTS = 61
+#: Bytes of text in a home, and bytes of the corpus for a bucket of words.
+HOME_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 MIX = 0.02
 LEARNING_RATE = 1e-2
 SLICES = 8
+#: Texts whose windows are scored together.
+AT_ONCE = 500
 PAD, START, END = 65535, 65534, 65533
 
 
@@ -160,10 +171,9 @@ def trained(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, s
 
 
 class Vocabulary:
-    """Class and input number of every lead, from the leads' training counts."""
+    """Class and input number of every subword id, from the ids' training counts."""
 
-    def __init__(self, count: np.ndarray, distinct: np.ndarray, documents: int) -> None:
-        """``count`` and ``distinct`` by lead: training words and distinct training words."""
+    def __init__(self, count: np.ndarray, documents: int) -> None:
         order = np.lexsort((np.arange(len(count)), -count))
         own = CLASSES - 1 - SHARED_CLASSES
         rank = np.empty(len(count), np.int64)
@@ -171,16 +181,16 @@ class Vocabulary:
         self.class_of = np.zeros(1 << 16, np.int16)  # class 0 is the end
         self.class_of[: len(count)] = np.where(rank < own, 1 + rank, 1 + own + (rank - own) % SHARED_CLASSES)
         self.input_of = np.zeros(1 << 16, np.int16)
-        self.input_of[: len(count)] = np.where(rank < INPUTS - 64, 3 + rank, INPUTS - 61 + (rank - INPUTS) % 61)
+        told = INPUTS - 3 - SHARED_INPUTS
+        self.input_of[: len(count)] = np.where(rank < told, 3 + rank, 3 + told + (rank - told) % SHARED_INPUTS)
         self.input_of[[PAD, START, END]] = 0, 1, 2
         of = self.class_of[: len(count)]
         self.total = np.bincount(of, count, CLASSES)
         self.total[0] = documents
-        self.distinct = np.bincount(of, distinct, CLASSES)
-        self.distinct[0] = 0
-        # the end is the only token of its class
-        self.floor = np.log(self.total + 0.5 * (self.distinct + 1))
-        self.floor[0] = np.log(documents + 0.5)
+        size = np.bincount(of, minlength=CLASSES)
+        # log probability of an id within its class; the end is the only token of its class
+        self.within = np.zeros(1 << 16)
+        self.within[: len(count)] = np.log(count + 0.5) - np.log(self.total + 0.5 * size)[of]
 
     def shares(self) -> np.ndarray:
         return (self.total + 0.5) / (self.total + 0.5).sum()
@@ -191,13 +201,13 @@ class Vocabulary:
 
 def located(docs: DataFrame) -> DataFrame:
     rows = texts(docs).withColumn("fold", id_fold(F.col("doc_id")).cast("int")).withColumn("version", F.xxhash64("text"))
-    homes = homes_of(docs.sparkSession)
-    return rows.withColumn("home", F.pmod(F.xxhash64("doc_id", "version"), F.lit(homes)).cast("int")).drop("version")
+    homes = max(1, -(-text_bytes(docs) // HOME_BYTES))
+    return rows.withColumn("home", F.pmod(F.xxhash64("doc_id", "version"), F.lit(homes)).cast("int"))
 
 
-def leads_of(found: list[bytes], encoder: Encoder) -> np.ndarray:
-    """First subword id of each word."""
-    return encoder.leads([w.decode("utf-8", "replace") for w in found]).astype(np.uint16)
+def in_order(docs: pd.DataFrame) -> pd.DataFrame:
+    """A home's rows in an order of their own, however they came."""
+    return docs.sort_values(["doc_id", "version"], kind="stable", ignore_index=True, na_position="first")
 
 
 def read_home(docs: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
@@ -205,7 +215,7 @@ def read_home(docs: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, list[by
     hashes, seen, spelled, numbers = WordHashes(), {}, [], []
     for raw in docs["text"]:
         found = words(bytes(raw))
-        new = set(found).difference(seen)
+        new = sorted(set(found).difference(seen))
         for w in new:
             seen[w] = len(spelled)
             spelled.append(w)
@@ -214,27 +224,47 @@ def read_home(docs: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, list[by
     return numbers, codes, spelled
 
 
-def training_windows(leads: list[np.ndarray], names: list[int]) -> np.ndarray:
-    """One in ``RATE`` windows of the texts: the lead before, then up to ``WINDOW`` tokens."""
-    out = []
-    for ids, name in zip(leads, names):
-        tokens = np.concatenate([np.array([START], np.uint16), ids, np.array([END], np.uint16)])
-        n = -(-(len(tokens) - 1) // WINDOW)
-        with np.errstate(over="ignore"):
-            pick = mixed(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(name & ((1 << 64) - 1))) % np.uint64(RATE) == 0
-        for i in np.flatnonzero(pick):
-            part = np.full(WINDOW + 1, PAD, np.uint16)
-            piece = tokens[i * WINDOW : (i + 1) * WINDOW + 1]
-            part[: len(piece)] = piece
-            out.append(part)
-    return np.stack(out) if out else np.zeros((0, WINDOW + 1), np.uint16)
+@dataclass
+class Subwords:
+    """Subword ids of distinct words: ``ids[cuts[i]:cuts[i + 1]]``."""
+
+    ids: np.ndarray
+    cuts: np.ndarray
+
+    @staticmethod
+    def of(spelled: list[bytes], encoder: Encoder) -> Subwords:
+        raw = list(encoder.encode(spelled))
+        kind = np.dtype(encoder.kind)
+        cuts = np.cumsum([0, *(len(x) // kind.itemsize for x in raw)])
+        return Subwords(np.frombuffer(b"".join(raw), kind).astype(np.uint16), cuts)
+
+    def spread(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text's words in order, and how many each word has."""
+        n = self.cuts[numbers + 1] - self.cuts[numbers]
+        at = np.arange(int(n.sum())) + np.repeat(self.cuts[numbers] - (np.cumsum(n) - n), n)
+        return self.ids[at], n
+
+
+def windows_of(ids: np.ndarray) -> np.ndarray:
+    """All windows of a text: the id before, then up to ``WINDOW`` tokens."""
+    tokens = np.concatenate([np.array([START], np.uint16), ids, np.array([END], np.uint16)])
+    n = -(-(len(tokens) - 1) // WINDOW)
+    padded = np.full(n * WINDOW + 1, PAD, np.uint16)
+    padded[: len(tokens)] = tokens
+    return np.concatenate([padded[:-1].reshape(n, WINDOW), padded[WINDOW::WINDOW, None]], axis=1)
+
+
+def turns_of(name: int, n: int) -> np.ndarray:
+    """The turn in which each window of a text trains."""
+    return mixed(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(name & ((1 << 64) - 1))) % np.uint64(ROUNDS)
 
 
 def count_home(docs: pd.DataFrame, tokenizer: str, buckets: int) -> pd.DataFrame:
-    """A home's distinct words by bucket (``kind`` 0), its training windows (1) and totals (2)."""
+    """A home's distinct words by bucket (``kind`` 0), training windows by turn (1), totals (2) and id counts (3)."""
+    docs = in_order(docs)
     home = int(docs["home"].iloc[0])
     numbers, codes, spelled = read_home(docs)
-    leads = leads_of(spelled, shared_encoder(tokenizer))
+    subwords = Subwords.of(spelled, shared_encoder(tokenizer))
     train = docs["fold"].to_numpy() != 1
     learned = [n for n, t in zip(numbers, train) if t]
     counts = np.bincount(np.concatenate(learned), minlength=len(codes)) if learned else np.zeros(len(codes), np.int64)
@@ -242,62 +272,61 @@ def count_home(docs: pd.DataFrame, tokenizer: str, buckets: int) -> pd.DataFrame
     order = np.lexsort((codes, where))
     cuts = np.searchsorted(where[order], np.arange(buckets + 1))
     out = []
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(cuts)):
         i = order[cuts[b] : cuts[b + 1]]
-        if len(i):
-            steps = np.diff(codes[i], prepend=np.uint64(0))
-            out.append((0, b, home, stored(steps=steps, count=counts[i].astype(np.uint32), lead=leads[i])))
-    names = [hash((home, None if pd.isna(d) else int(d))) for d, t in zip(docs["doc_id"], train) if t]
-    picked = training_windows([leads[n] for n in learned], names)
-    if len(picked):
-        out.append((1, None, home, picked.tobytes()))
+        steps = np.diff(codes[i], prepend=np.uint64(0))
+        out.append((0, int(b), home, stored(steps=steps, count=counts[i].astype(np.uint32))))
+    windows, turns = [np.zeros((0, WINDOW + 1), np.uint16)], [np.zeros(0, np.uint64)]
+    for n, name in zip(learned, docs["version"][train]):
+        windows.append(windows_of(subwords.spread(n)[0]))
+        turns.append(turns_of(int(name), len(windows[-1])))
+    whole, turn = np.concatenate(windows), np.concatenate(turns)
+    for t in range(ROUNDS):
+        mine = whole[turn == t]
+        if len(mine):
+            out.append((1, t, home, zstandard.compress(mine.tobytes(), 1)))
     out.append((2, None, home, stored(totals=np.array([int(counts.sum()) + int(train.sum()), int(train.sum())], np.int64))))
-    frame = pd.DataFrame(out, columns=["kind", "bucket", "home", "body"])
-    return frame.astype({"bucket": "Int32"})
+    each = np.bincount(subwords.ids, np.repeat(counts, np.diff(subwords.cuts)), 1 << 16).astype(np.int64)
+    used = np.flatnonzero(each)
+    out.append((3, None, home, stored(id=used, count=each[used])))
+    return pd.DataFrame(out, columns=["kind", "bucket", "home", "body"]).astype({"bucket": "Int32"})
 
 
 def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Counts of a bucket's words over all homes: back to each home, and sums by lead (home -1)."""
+    """Counts of a bucket's words over all homes: back to each home, and the bucket's sums (home -1)."""
     parts = [loaded(b) for b in pdf["body"]]
     codes = np.concatenate([np.cumsum(p["steps"], dtype=np.uint64) for p in parts])
     count = np.concatenate([p["count"] for p in parts]).astype(np.int64)
-    lead = np.concatenate([p["lead"] for p in parts])
     order = np.argsort(codes, kind="stable")
     first = np.flatnonzero(np.r_[True, codes[order][1:] != codes[order][:-1]])
     total = np.add.reduceat(count[order], first)
     back = np.empty(len(codes), np.int64)
     back[order] = np.repeat(total, np.diff(np.r_[first, len(order)]))
-    known = total > 0
-    leads = lead[order][first][known]
-    out, at = [], 0
-    used, inverse = np.unique(leads, return_inverse=True)
-    sums = stored(lead=used, count=np.bincount(inverse, total[known], len(used)).astype(np.int64), distinct=np.bincount(inverse, minlength=len(used)))
-    out.append((-1, sums))
+    out, at = [(-1, stored(id=np.array([0, 1]), count=np.array([total.sum(), (total > 0).sum()])))], 0
     for home, p in zip(pdf["home"], parts):
         n = len(p["steps"])
-        out.append((home, stored(steps=p["steps"], count=back[at : at + n].astype(np.uint64), lead=p["lead"])))
+        out.append((home, stored(steps=p["steps"], count=back[at : at + n].astype(np.uint64))))
         at += n
     return pd.DataFrame(out, columns=["home", "body"])
 
 
-def lead_sums(reduced: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Training words and distinct ones by lead: a row per subword id at most."""
+def summed(rows: DataFrame, size: int) -> np.ndarray:
+    """Sums of (id, count) lists; a number per id at most."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for body in batch.column("body").to_pylist():
                 p = loaded(body)
-                yield pa.RecordBatch.from_arrays([pa.array(p["lead"].astype(np.int32)), pa.array(p["count"]), pa.array(p["distinct"].astype(np.int64))], ["lead", "c", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(p["id"].astype(np.int32)), pa.array(p["count"].astype(np.int64))], ["id", "c"])
 
-    rows = reduced.where(F.col("home") < 0).select("body").mapInArrow(spread, "lead int, c long, v long")
-    count, distinct = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for r in rows.groupBy("lead").agg(F.sum("c").alias("c"), F.sum("v").alias("v")).collect():
-        count[r["lead"]], distinct[r["lead"]] = r["c"], r["v"]
-    return count, distinct
+    out = np.zeros(size, np.int64)
+    for r in rows.select("body").mapInArrow(spread, "id int, c long").groupBy("id").agg(F.sum("c").alias("c")).collect():
+        out[r["id"]] = r["c"]
+    return out
 
 
 def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Rounds of local training and averaging; each round moves only weights."""
+    """Turns of local training and averaging; each turn takes its windows and moves only weights."""
     w = new_weights(vocabulary.shares())
     shapes = {k: v.shape for k, v in w.items()}
 
@@ -311,25 +340,26 @@ def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
         def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for home, body in zip(batch.column("home").to_pylist(), batch.column("body").to_pylist()):
-                    tokens = np.frombuffer(body, np.uint16).reshape(-1, WINDOW + 1)
+                    tokens = np.frombuffer(zstandard.decompress(body), np.uint16).reshape(-1, WINDOW + 1)
                     inputs, nexts = vocabulary.input_of[tokens[:, :-1]], tokens[:, 1:]
                     scored = (nexts != PAD).astype(np.float32)
                     targets = np.where(nexts == END, 0, vocabulary.class_of[nexts])
                     got = trained(now, inputs, targets, scored, rate, 1000 * turn + home)
                     n = float(len(tokens))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([n] * SLICES), pa.array([(part * n).tobytes() for part in flat(got)], pa.binary())],
-                        ["part", "n", "body"],
+                        [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([home] * SLICES, pa.int32()), pa.array([n] * SLICES), pa.array([(part * n).tobytes() for part in flat(got)], pa.binary())],
+                        ["part", "home", "n", "body"],
                     )
 
         def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("home")
             total = sum(np.frombuffer(b, np.float64) for b in pdf["body"]) / pdf["n"].sum()
             return pd.DataFrame({"part": pdf["part"].iloc[:1], "body": [total.tobytes()]})
 
-        sent = windows.mapInArrow(local, "part int, n double, body binary")
+        sent = windows.where(F.col("bucket") == turn).select("home", "body").mapInArrow(local, "part int, home int, n double, body binary")
         rows = sent.groupBy("part").applyInPandas(mean, "part int, body binary").collect()  # SLICES rows of fixed size
         if not rows:
-            break
+            continue
         joined = np.concatenate([np.frombuffer(r["body"], np.float64) for r in sorted(rows, key=lambda r: r["part"])])
         w, at = {}, 0
         for k, shape in shapes.items():
@@ -370,36 +400,41 @@ def class_scores(w: dict[str, np.ndarray], inputs: list[np.ndarray], targets: li
     return out
 
 
-def score_home(docs: pd.DataFrame, others: pd.DataFrame, w: dict[str, np.ndarray], vocabulary: Vocabulary, facts: tuple[int, int, int]) -> pd.DataFrame:
+def score_home(
+    docs: pd.DataFrame, others: pd.DataFrame, tokenizer: str, w: dict[str, np.ndarray], vocabulary: Vocabulary, facts: tuple[int, int, int]
+) -> pd.DataFrame:
     """Base and model scores of a home's documents."""
     columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     if not len(docs):
         return pd.DataFrame([], columns=columns)
+    docs = in_order(docs)
     n, v, documents = facts
-    numbers, codes, _ = read_home(docs)
-    count, lead = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.uint16)
+    numbers, codes, spelled = read_home(docs)
+    subwords = Subwords.of(spelled, shared_encoder(tokenizer))
+    count = np.zeros(len(codes), np.int64)
     order = np.argsort(codes)
     for body in others["body"] if len(others) else ():
         p = loaded(body)
-        at = order[np.searchsorted(codes, np.cumsum(p["steps"], dtype=np.uint64), sorter=order)]
-        count[at], lead[at] = p["count"], p["lead"]
+        count[order[np.searchsorted(codes, np.cumsum(p["steps"], dtype=np.uint64), sorter=order)]] = p["count"]
     below = n + 0.5 * (v + 1)
-    base = np.log10((count + 0.5) / below)
-    base_end = np.log10((documents + 0.5) / below)
-    of = vocabulary.class_of[lead]
-    within = np.log(count + 0.5) - vocabulary.floor[of]
     plain = np.log(count + 0.5) - np.log(below)
-    fed = vocabulary.input_of[lead]
+    plain_end = np.log((documents + 0.5) / below)
     start = vocabulary.input_of[[START]]
-    inputs = [np.concatenate([start, fed[ids]]) for ids in numbers]
-    targets = [np.concatenate([of[ids], np.zeros(1, np.int16)]) for ids in numbers]
-    by_class = class_scores(w, inputs, targets)
     out = []
-    for d, fold, ids, q in zip(docs["doc_id"], docs["fold"], numbers, by_class):
-        model = q + np.append(within[ids], 0.0)
-        mixture = np.logaddexp(np.log(1 - MIX) + model, np.log(MIX) + np.append(plain[ids], base_end * np.log(10)))
-        known = int((count[ids] > 0).sum()) + (documents > 0)
-        out.append((d, bool(fold == 1), len(ids) + 1, known, n, float(base[ids].sum() + base_end), float(mixture.sum() / np.log(10))))
+    for at in range(0, len(numbers), AT_ONCE):
+        group = numbers[at : at + AT_ONCE]
+        read = [subwords.spread(x) for x in group]
+        inputs = [np.concatenate([start, vocabulary.input_of[ids]]) for ids, _ in read]
+        targets = [np.concatenate([vocabulary.class_of[ids], np.zeros(1, np.int16)]) for ids, _ in read]
+        by_class = class_scores(w, inputs, targets)
+        for d, fold, x, (ids, sizes), q in zip(docs["doc_id"][at:], docs["fold"][at:], group, read, by_class):
+            upto = np.r_[0.0, np.cumsum(q[:-1] + vocabulary.within[ids])]
+            ends = np.cumsum(sizes)
+            model = np.append(np.where(sizes > 0, upto[ends] - upto[ends - sizes], -np.inf), q[-1])
+            mixture = np.logaddexp(np.log(1 - MIX) + model, np.log(MIX) + np.append(plain[x], plain_end))
+            known = int((count[x] > 0).sum()) + (documents > 0)
+            base = plain[x].sum() + plain_end
+            out.append((d, bool(fold == 1), len(x) + 1, known, n, float(base / np.log(10)), float(mixture.sum() / np.log(10))))
     frame = pd.DataFrame(out, columns=columns)
     frame["doc_id"] = docs["doc_id"].astype("Int64").to_numpy() if docs["doc_id"].isna().any() else docs["doc_id"].to_numpy()
     return frame
@@ -413,23 +448,24 @@ def shared_encoder(path: str) -> Encoder:
 
 def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Token counts, base score and model score of every document."""
-    rows = located(docs).select("home", "doc_id", "fold", "text")
-    buckets = homes_of(docs.sparkSession)
-    counted = rows.groupBy("home").applyInPandas(lambda d: count_home(d, tokenizer, buckets), "kind int, bucket int, home int, body binary")
-    counted = reliable_checkpoint(counted)
-    reduced = reliable_checkpoint(counted.where(F.col("kind") == 0).select("bucket", "home", "body").groupBy("bucket").applyInPandas(add_up, "home int, body binary"))
+    rows = located(docs).select("home", "doc_id", "version", "fold", "text")
+    buckets = parts_for(docs.sparkSession, text_bytes(docs), BUCKET_BYTES)
     size = shared_encoder(tokenizer).tokenizer.get_vocab_size()
     if size > END:
         raise ValueError("the tokenizer has too many ids")
-    count, distinct = lead_sums(reduced, size)
+    counted = rows.groupBy("home").applyInPandas(lambda d: count_home(d, tokenizer, buckets), "kind int, bucket int, home int, body binary")
+    counted = reliable_checkpoint(counted)
+    of_kind = lambda k: counted.where(F.col("kind") == k)
+    reduced = reliable_checkpoint(of_kind(0).select("bucket", "home", "body").groupBy("bucket").applyInPandas(add_up, "home int, body binary"))
     documents = training_documents(counted)
-    vocabulary = Vocabulary(count, distinct, documents)
-    weights = fitted(counted.where(F.col("kind") == 1).select("home", "body"), vocabulary)
-    # training tokens with ends; distinct ones with the end
-    facts = (int(count.sum()) + documents, int(distinct.sum()) + (documents > 0), documents)
+    vocabulary = Vocabulary(summed(of_kind(3), size), documents)
+    weights = fitted(of_kind(1), vocabulary)
+    # training words with ends; distinct ones with the end
+    n, v = summed(reduced.where(F.col("home") < 0), 2).tolist()
+    facts = (n + documents, v + (documents > 0), documents)
     known = reduced.where(F.col("home") >= 0).select(F.col("home").alias("_home"), F.col("body").alias("_body")).toDF("home", "body")
     return rows.groupBy("home").cogroup(known.groupBy("home")).applyInPandas(
-        lambda d, o: score_home(d, o, weights, vocabulary, facts),
+        lambda d, o: score_home(d, o, tokenizer, weights, vocabulary, facts),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

@@ -88,3 +88,48 @@ def test_empty_tables(spark, docs_of):
     only_held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     r = lm.scores(docs_of([(only_held, "a b")]), TOKENIZER).collect()[0]
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (3, 0, 0, 0.0)
+
+
+def test_windows_cover_every_token_once_and_all_train():
+    ids = np.arange(100, dtype=np.uint16)
+    w = lm.windows_of(ids)
+    assert w[0, 0] == lm.START and (w[1:, 0] == w[:-1, -1]).all()
+    tokens = w[:, 1:].ravel()
+    assert tokens[:101].tolist() == [*range(100), lm.END] and (tokens[101:] == lm.PAD).all()
+    assert len(lm.windows_of(ids[:0])) == 1 and len(lm.windows_of(np.zeros(lm.WINDOW - 1, np.uint16))) == 1
+    turns = np.concatenate([lm.turns_of(name, 40) for name in range(200)])
+    assert set(turns.tolist()) == set(range(lm.ROUNDS)) and np.bincount(turns.astype(int)).min() > 2000
+
+
+def test_subwords_are_those_of_the_word():
+    from cohortlens.llm.tokenfile import Encoder
+
+    found = [b"word.", b"it's", "é!!".encode(), b"x" * 90, "漢字.".encode(), b"\x1f", b"<|endoftext|>"]
+    encoder = Encoder(TOKENIZER)
+    got = lm.Subwords.of(found, encoder)
+    whole = [encoder.tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in found]
+    ids, n = got.spread(np.array([3, 0, 5, 0]))
+    assert ids.tolist() == [*whole[3], *whole[0], *whole[5], *whole[0]] and n.tolist() == [len(whole[i]) for i in (3, 0, 5, 0)]
+
+
+def test_classes_share_out_all_probability():
+    rng = np.random.default_rng(4)
+    count = rng.integers(0, 50, 3000) * rng.integers(0, 2, 3000)
+    v = lm.Vocabulary(count, 7)
+    per_class = np.bincount(v.class_of[:3000], np.exp(v.within[:3000]), lm.CLASSES)
+    assert np.allclose(per_class[1:], 1) and v.within[lm.END] == 0 and v.class_of[lm.END] == 0
+    assert len(set(v.input_of[np.argsort(-count)[:2000]].tolist())) == 2000
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs_of, odd_rows, prose, monkeypatch):
+    monkeypatch.setattr(lm, "HOME_BYTES", 20_000)
+    rows = [(100 + i, prose(i, 90)) for i in range(120)] + [r for r in odd_rows if r[0] not in (7, 8)]
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("4", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            docs = docs_of(rows if n == "4" else rows[::-1])
+            found.append(sorted(map(str, lm.scores(docs, TOKENIZER).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
