@@ -127,7 +127,8 @@ def repeated_spans(docs: DataFrame, least_words: int = WORDS) -> DataFrame:
 def deduplicate(docs: DataFrame, least_words: int = WORDS) -> DataFrame:
     """Every document with its sentences and what is left of it.
 
-    ``removed`` lists the removed sentences, from 0; ``kept_text`` joins the others by spaces.
+    ``removed`` lists the removed sentences, from 0; ``kept_text`` is the text without their bytes, so
+    that a text that loses nothing stays as it is, and empty if no sentence is left.
     """
     homes = homes_of(docs.sparkSession)
     texts_at = at_home(versions(docs), homes)
@@ -149,7 +150,12 @@ def deduplicate(docs: DataFrame, least_words: int = WORDS) -> DataFrame:
                     gone[s["first"]] += 1
                     gone[s["last"] + 1] -= 1
                 covered = np.cumsum(gone)[:-1] > 0
-                kept = b" ".join(raw[a:b].strip() for (a, b), c in zip(cuts, covered) if not c)
+                kept, at = [], 0
+                for (a, b), c in zip(cuts, covered):
+                    if c:
+                        kept.append(raw[at:a])
+                        at = b
+                kept = b"" if covered.all() else b"".join([*kept, raw[at:]])
                 out.append((name, len(cuts), int(covered.sum()), np.flatnonzero(covered).tolist(), kept))
             frame = pd.DataFrame(out, columns=["doc_id", "n_sentences", "n_removed", "removed", "kept"])
             yield pa.RecordBatch.from_arrays(

@@ -12,7 +12,7 @@ def shingles(text, k):
 
 def first_of_groups(texts):
     """Smallest id of every component of similar documents, by brute force."""
-    sets, up = {d: shingles(t, 4) for d, t in texts.items()}, {d: d for d in texts}
+    sets, up = {d: shingles(t, 5) for d, t in texts.items()}, {d: d for d in texts}
 
     def top(d):
         while up[d] != d:
@@ -22,7 +22,7 @@ def first_of_groups(texts):
     ids = sorted(texts)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 x, y = top(a), top(b)
                 up[max(x, y)] = min(x, y)
     return {top(d) for d in texts}
@@ -85,3 +85,25 @@ def test_near_copies_between_the_thresholds(spark, docs_of, prose, folder):
     assert any(similarity(a, b, 5) < 0.8 for a, b in near)
     kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs_of(rows), folder)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, docs_of, odd_rows, folder):
+    """Nulls, empty and very long texts, repeated ids and rows, further columns; then no rows at all."""
+    rows = [r if len(r) == 4 else (*r, "en", "src1") for r in odd_rows] + [(90, "x y z", None, None), (91, None, None, "src2")]
+    for docs in (docs_of(rows), docs_of([])):
+        names, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == names, name
+            kept = docs.count()
+            if name != "mixing":
+                assert kept <= n
+            n = kept
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+        assert last.count() == n and {"doc_id", "shard", "slot"} <= set(last.columns)
+
+
+def test_copies_leave_one_row_each(spark, docs_of, odd_rows, folder):
+    kept = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs_of(odd_rows), folder).collect()
+    texts = [r["text"] for r in kept if r["text"] and r["text"].split()]
+    assert len(texts) == len(set(texts))
