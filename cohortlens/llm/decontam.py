@@ -6,7 +6,8 @@ partitioned by the size of their shingle set, in powers of two. The signature of
 the k smallest values of one hash over its shingles (bottom-k MinHash). A document that holds
 at least the threshold's share of an item of size q misses at most q - ceil(t q) shingles, so
 with k = u - ceil(t u) + 1, u the partition's largest size, it holds one of the k smallest at
-least: the signature loses nothing. Candidates are then verified by exact containment.
+least: the signature loses nothing. Only signature values are searched for; what shares one with
+a document is a candidate, and the shingles of candidate pairs alone are counted, exactly.
 
 Documents are read once, where they lie. A bit table of fixed size (``BITS``) over the items'
 shingles tells which shingles of a document may matter; only those are kept and joined. With
@@ -110,16 +111,21 @@ def hits_of(docs: DataFrame, table: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, version long, key long").distinct()
 
 
+def candidates(hits: DataFrame, inside: DataFrame) -> DataFrame:
+    """Documents and items that share a value of the item's signature."""
+    signature = inside.where("in_signature").select("key", "item_id")
+    return hits.join(signature, "key").select("doc_id", "version", "item_id").distinct()
+
+
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Document and item, wherever the document holds the threshold's share of the item."""
     inside = reliable_checkpoint(item_shingles(items).distinct())
     hits = reliable_checkpoint(hits_of(docs, bit_table(inside.select("key").distinct())))
-    found = hits.join(inside.select("key", "item_id", "n_shingles", "in_signature"), "key")
-    # candidates share a signature value; all their shared shingles are counted
-    counted = found.groupBy("doc_id", "version", "item_id", "n_shingles").agg(
-        F.count("*").alias("n_shared"), F.max("in_signature").alias("candidate")
-    )
-    held = counted.where(F.col("candidate") & (F.col("n_shared") * 100 >= F.col("n_shingles") * THRESHOLD))
+    wanted = candidates(hits, inside).join(inside.select("item_id", "key", "n_shingles"), "item_id")
+    have = hits.select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")) & (F.col("key") == F.col("_key"))
+    counted = wanted.join(have, same).groupBy("doc_id", "version", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
+    held = counted.where(F.col("n_shared") * 100 >= F.col("n_shingles") * THRESHOLD)
     return (
         held.groupBy("doc_id", "item_id", "n_shingles")
         .agg(F.max("n_shared").alias("n_shared"))

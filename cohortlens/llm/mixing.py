@@ -33,6 +33,8 @@ from cohortlens.session import reliable_checkpoint
 
 LEVELS = ("domain", "lang", "source")
 WORD = r"[^\x20\x09-\x0D]+"
+#: Leaves whose few numbers are sent to all tasks; with more, documents are joined by leaf.
+MOST_LEAVES = 20_000
 
 
 @dataclass(frozen=True)
@@ -137,7 +139,14 @@ def taken_from(leaves: DataFrame, mix: Mix) -> DataFrame:
         .select(*LEVELS, F.col("amount").alias("leaf_budget"), "epochs", "rest")
     )
     leaf = list(LEVELS)
-    rows = leaves.join(plan, leaf).withColumn("place", digits(F.col("doc_id"), F.col("epochs"), mix))
+    plan = reliable_checkpoint(plan)
+    few = plan.count() <= MOST_LEAVES
+
+    def by_leaf(table: DataFrame) -> DataFrame:
+        """A table of one row per leaf goes to the documents, unless there are very many leaves."""
+        return F.broadcast(table) if few else table
+
+    rows = leaves.join(by_leaf(plan), leaf).withColumn("place", digits(F.col("doc_id"), F.col("epochs"), mix))
     rows = rows.withColumn("high", F.shiftright("place", 52)).withColumn("low", F.shiftright("place", 44).bitwiseAND(F.lit(255)))
     rows = reliable_checkpoint(rows)
 
@@ -150,11 +159,11 @@ def taken_from(leaves: DataFrame, mix: Mix) -> DataFrame:
         return ends.select(*keys, F.col(digit).alias(f"cut_{digit}"), (F.col(rest) - F.col("before")).alias(f"rest_{digit}"))
 
     first = cut(rows, leaf, "high", "rest")
-    staged = rows.join(first, leaf, "left")
+    staged = rows.join(by_leaf(first), leaf, "left")
     edge = staged.where(F.col("high") == F.col("cut_high"))
     second = cut(edge, leaf, "low", "rest_high")
     # kept, so that only the documents on an edge are dealt by leaf below
-    staged = reliable_checkpoint(staged.join(second, leaf, "left"))
+    staged = reliable_checkpoint(staged.join(by_leaf(second), leaf, "left"))
     on_edge = (F.col("high") == F.col("cut_high")) & (F.col("low") == F.col("cut_low"))
     inside = F.coalesce((F.col("high") < F.col("cut_high")) | ((F.col("high") == F.col("cut_high")) & (F.col("low") < F.col("cut_low"))), F.lit(False))
     # only documents that share both digits of their leaf's cut are ordered

@@ -1,5 +1,6 @@
 import random
 
+from cohortlens.llm import decontam
 from cohortlens.llm.decontam import contained_items, signature_size, without_contaminated
 
 
@@ -61,3 +62,17 @@ def test_filter_and_empty_tables(spark, docs_of, prose):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     assert contained_items(docs_of([]), items_of(spark, items)).count() == 0
     assert contained_items(docs, items_of(spark, [])).count() == 0
+
+
+def test_signature_finds_fewer_candidates_than_shared_phrases(spark, docs_of, prose):
+    """Items with a stock phrase: documents that have only the phrase are seldom candidates."""
+    phrase = prose(900, 8)
+    items = [(i, f"{phrase} {prose(910 + i, 120)}") for i in range(20)]
+    rows = [(i, f"{prose(i, 60)} {phrase} {prose(i + 300, 20)}") for i in range(100)] + [(500 + i, t) for i, t in items]
+    inside = decontam.item_shingles(spark.createDataFrame(items, "item_id long, text string")).distinct().persist()
+    hits = decontam.hits_of(docs_of(rows), decontam.bit_table(inside.select("key").distinct())).persist()
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.candidates(hits, inside).collect()}
+    sharing = {(r["doc_id"], r["item_id"]) for r in hits.join(inside, "key").select("doc_id", "item_id").distinct().collect()}
+    assert {(500 + i, i) for i in range(20)} <= found < sharing and len(found) < 0.9 * len(sharing)
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contained_items(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(500 + i, i) for i in range(20)}
