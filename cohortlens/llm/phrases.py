@@ -43,17 +43,17 @@ LEAST = 30
 TOP = 2000
 LONGEST = 4
 #: Words that a task remembers before its tries are spilled and its numbering starts anew; ids have 21 bits.
-WORDS = 600_000
+WORDS = 400_000
 ID_BITS = 21
 #: Keys of a hash container before it bursts, and of all tries of a task before subtrees are spilled.
 BURST = 4096
-HELD = 1_000_000
+HELD = 600_000
 #: Words that are counted at a time.
-BATCH = 400_000
+BATCH = 200_000
 #: Bits of a bitmap of what is frequent: 16 for each entry, 2^27 (16 MB) at most.
 BITS = (1 << 16, 1 << 27)
 #: Bytes of text for each prefix partition.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 CHUNK = 4096
 #: Bytes of a text that are split into words at a time.
 SLICE = 1 << 20
@@ -287,7 +287,7 @@ class Trie:
 
 
 def run_rows(lang: str, spilled: list[tuple[int, np.ndarray, np.ndarray]], vocabulary: Vocabulary, width: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of spilled subtrees, one per prefix partition: word codes, places in them, counts."""
+    """Sorted runs of spilled subtrees, one per prefix partition: word codes by column, counts, numbers of words."""
     if not spilled:
         return
     first = np.repeat(np.array([w for w, _, _ in spilled], np.int64), [len(k) for _, k, _ in spilled])
@@ -297,31 +297,27 @@ def run_rows(lang: str, spilled: list[tuple[int, np.ndarray, np.ndarray]], vocab
     ids = [first, *(((keys >> np.uint64(ID_BITS * j)) & mask).astype(np.int64) - 1 for j in reversed(range(width - 1)))]
     codes = vocabulary.codes
     by_code = np.argsort(codes)
-    rank = np.zeros(len(codes) + 1, np.uint64)  # the last is for no word
-    rank[by_code] = np.arange(1, len(codes) + 1, dtype=np.uint64)
+    rank = np.zeros(len(codes) + 1, np.int64)  # the last is for no word
+    rank[by_code] = np.arange(1, len(codes) + 1)
     ranks = [rank[i] for i in ids]
     part = folded([codes[ids[0]], codes[ids[1]]], vocabulary.code) % np.uint64(parts)
     order = np.lexsort((*reversed(ranks), part))
     part, counts, ranks = part[order], counts[order], [r[order] for r in ranks]
+    in_order = np.r_[np.uint64(0), codes[by_code]]
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     for a, b in zip(cuts, np.r_[cuts[1:], len(part)]):
-        used, at = np.unique(np.stack([r[a:b] for r in ranks]), return_inverse=True)
-        no_word = int(used[0] == 0)
-        known = codes[by_code[used[no_word:].astype(np.int64) - 1]]
-        raw = b"".join(
-            x.tobytes()
-            for x in (np.array([len(known), b - a], "<u8"), known.astype("<u8"), (at.reshape(width, -1) + 1 - no_word).astype("<u4"), counts[a:b].astype("<u8"))
-        )
+        sizes = np.sum([r[a:b] > 0 for r in ranks], axis=0).astype(np.uint8)
+        columns = [in_order[r[a:b]] for r in ranks]
+        raw = b"".join(x.tobytes() for x in (*columns, counts[a:b].astype("<u8"), sizes))
         yield pa.record_batch([pa.array([int(part[a])], pa.int32()), pa.array([lang]), pa.array([zstandard.compress(raw, 1)], pa.binary())], ["part", "lang", "run"])
 
 
 def read_run(blob: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ascending word codes, places in them (1 is the first, 0 no word) by column, counts."""
+    """Word codes by column (0 for no word), counts, and numbers of words."""
     raw = zstandard.decompress(blob)
-    n, rows = (int(x) for x in np.frombuffer(raw, "<u8", 2))
-    known = np.frombuffer(raw, "<u8", n, 16)
-    at = np.frombuffer(raw, "<u4", rows * width, 16 + 8 * n).reshape(width, rows)
-    return known, at, np.frombuffer(raw, "<u8", rows, 16 + 8 * n + 4 * rows * width)
+    n = len(raw) // (8 * width + 9)
+    columns = np.frombuffer(raw, "<u8", n * width).reshape(width, n)
+    return columns, np.frombuffer(raw, "<u8", n, 8 * n * width), np.frombuffer(raw, np.uint8, n, 8 * n * (width + 1))
 
 
 def merged_runs(pdf: pd.DataFrame, width: int, least: int) -> pd.DataFrame:
@@ -329,18 +325,17 @@ def merged_runs(pdf: pd.DataFrame, width: int, least: int) -> pd.DataFrame:
     langs, codes, totals = [], [], []
     for lang, group in pdf.groupby("lang"):
         runs = [read_run(b, width) for b in group["run"]]
-        union = np.unique(np.concatenate([known for known, _, _ in runs]))
-        columns = np.concatenate([np.r_[0, np.searchsorted(union, known) + 1].astype(np.uint64)[at] for known, at, _ in runs], axis=1)
-        counts = np.concatenate([c for _, _, c in runs]).astype(np.int64)
-        keys = [columns[j] << np.uint64(32) | (columns[j + 1] if j + 1 < width else np.uint64(0)) for j in range(0, width, 2)]
-        order = np.lexsort(tuple(reversed(keys)))
-        keys = [k[order] for k in keys]
-        new = np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]
-        sums = np.add.reduceat(counts[order], np.flatnonzero(new))
-        often = np.flatnonzero(sums >= least)
-        for row, n in zip(columns[:, order[np.flatnonzero(new)[often]]].T, sums[often]):
+        columns, counts, sizes = (np.concatenate(x, axis=-1) for x in zip(*runs))
+        del runs
+        # the runs are sorted, and a stable sort merges them; phrases of a beginning are told apart by their size
+        order = np.lexsort((sizes, *reversed(columns)))
+        columns, counts, sizes = columns[:, order], counts[order].astype(np.int64), sizes[order]
+        new = np.r_[True, (columns[:, 1:] != columns[:, :-1]).any(axis=0) | (sizes[1:] != sizes[:-1])]
+        first = np.flatnonzero(new)
+        sums = np.add.reduceat(counts, first)
+        for at, n in zip(first[sums >= least], sums[sums >= least]):
             langs.append(lang)
-            codes.append(union[row[row > 0].astype(np.int64) - 1].view(np.int64).tolist())
+            codes.append(columns[: sizes[at], at].view(np.int64).tolist())
             totals.append(int(n))
     return pd.DataFrame({"lang": pd.Series(langs, dtype=object), "codes": pd.Series(codes, dtype=object), "n": pd.Series(totals, dtype="int64")})
 
