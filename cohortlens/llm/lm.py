@@ -48,13 +48,13 @@ from cohortlens.llm.tokenfile import Encoder
 from cohortlens.session import reliable_checkpoint
 
 WINDOW = 32
-OVERLAP = 8
+OVERLAP = 4
 ROUNDS = 3
-BATCH = 64
-DIM = 32
-CLASSES = 96
-SHARED_CLASSES = 24
-INPUTS = 4096
+BATCH = 128
+DIM = 16
+CLASSES = 64
+SHARED_CLASSES = 16
+INPUTS = 2048
 #: Input numbers that the ids beyond the own ones share.
 SHARED_INPUTS = 61
 #: Bytes of text in a home, and bytes of the corpus for a bucket of words.
