@@ -109,6 +109,26 @@ def alerts(scored: DataFrame, min_tier: str = "MEDIUM", top_k: int | None = None
     return ordered if top_k is None else ordered.limit(top_k)
 
 
+def alert_records(scored: DataFrame, factors: Column, min_tier: str = "MEDIUM", model: str = "unknown", at: Column | None = None) -> DataFrame:
+    """Whole alert records as one struct: score, tier, symbol, actions, explanation and the factors behind it.
+
+    ``scored`` has ``student_id``, ``risk_score`` and what ``factors`` (an array of ``struct<factor, value>`` in
+    order of weight) is made of; ``at`` is the time that the record carries.
+    """
+    tiered = scored.withColumn("tier", tier(F.col("risk_score"))).where(at_least(F.col("tier"), min_tier))
+    record = F.struct(
+        F.round("risk_score", 1).alias("risk_score"),
+        "tier",
+        lookup(F.col("tier"), SYMBOLS).alias("symbol"),
+        actions(F.col("tier")).alias("recommended_actions"),
+        explanation(F.col("risk_score"), F.col("tier"), factors).alias("explanation"),
+        factors.alias("top_factors"),
+        F.lit(model).alias("model_name"),
+        (F.lit(None).cast("timestamp") if at is None else at).alias("created_at"),
+    )
+    return tiered.select("student_id", record.alias("alert"))
+
+
 def tier_summary(scored: DataFrame) -> DataFrame:
     """Students and percentage per tier, also for empty tiers."""
     named = scored.select(tier(F.col("risk_score")).alias("tier"))

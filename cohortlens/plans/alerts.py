@@ -140,6 +140,35 @@ def _(c):
     return rows.select("student_id", alert.alias("alert")).select("student_id", F.concat_ws("|", *parts).alias("record"))
 
 
+@query(
+    "r10_full_alert_record",
+    f"""WITH f AS ({FACTOR_SQL}), l AS (SELECT student_id, risk_score, name, v, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY ABS(v) DESC, name) AS pos
+          FROM (SELECT student_id, risk_score, 'absence' AS name, absence AS v FROM f UNION ALL SELECT student_id, risk_score, 'activity', activity FROM f)),
+        t AS (SELECT student_id, MAX(risk_score) AS s, STRING_AGG(CASE WHEN v > 0 THEN name || ' (+' || PRINTF('%.3f', v) || ')' END, ', ' ORDER BY pos) AS up,
+          STRING_AGG(CASE WHEN v <= 0 THEN name || ' (' || PRINTF('%.3f', v) || ')' END, ', ' ORDER BY pos) AS down,
+          STRING_AGG(name || '=' || PRINTF('%.3f', v), ',' ORDER BY pos) AS factors FROM l GROUP BY 1),
+        x AS (SELECT *, {TIER_SQL.format(s='s')} AS tier FROM t)
+        SELECT student_id, ROUND(s, 1) AS risk_score, tier, {SYMBOL_SQL} AS symbol, {ACTION_SQL} AS actions, CONCAT_WS(' ', 'This student has a ' || PRINTF('%.1f', s) || '/100 risk score (' || tier || ').',
+          CASE WHEN up IS NOT NULL THEN 'Key risk factors: ' || up || '.' END, CASE WHEN down IS NOT NULL THEN 'Protective factors: ' || down || '.' END) AS explanation, factors, 'weekly' AS model_name
+        FROM x WHERE tier <> 'LOW'""",
+    ["risk_score"],
+)
+def _(c):
+    factors = top_factors({n: F.col(n) + 0.0 for n in FACTORS}, 3)
+    rows = risk.alert_records(weekly_factors(c), factors, model="weekly")
+    told = F.transform("alert.top_factors", lambda f: F.concat(f["factor"], F.lit("="), F.format_string("%.3f", f["value"])))
+    return rows.select(
+        "student_id",
+        "alert.risk_score",
+        "alert.tier",
+        "alert.symbol",
+        F.array_join("alert.recommended_actions", "; ").alias("actions"),
+        "alert.explanation",
+        F.array_join(told, ",").alias("factors"),
+        "alert.model_name",
+    )
+
+
 @query(
     "t1_kpis",
     f"""SELECT COUNT(*) AS total, COUNT(CASE WHEN tier IN ('HIGH', 'VERY_HIGH', 'CRITICAL') THEN 1 END) AS at_risk,

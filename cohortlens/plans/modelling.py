@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from cohortlens.models import batch, boost, explain, multitask, ordinal, sequence, survival, tune
 from cohortlens.models.base import at_threshold, feature_names
 from cohortlens.operators.sequences import event_target, weekly_sequences
+from cohortlens.operators.recommend import best_courses
+from cohortlens.plans.alerts import ACTION_SQL, TIER_SQL
 from cohortlens.plans.features import (
+    SCORES_SQL,
     AGGREGATES_SQL,
     degree_table,
     demand_table,
@@ -15,6 +18,7 @@ from cohortlens.plans.features import (
     survey_table,
     wellbeing_table,
     aggregate_table,
+    model_scores,
     yield_table,
 )
 from cohortlens.plans.registry import query
@@ -241,6 +245,55 @@ def _(c):
     return explain.strongest(values, 3)
 
 
+@query("o18_tree_attribution")
+def _(c):
+    table = reliable_checkpoint(survival_table(c))
+    fitted = boost.fit_booster(table, "event", SURVIVAL_FEATURES)
+    return explain.strongest(explain.tree_contributions(table, SURVIVAL_FEATURES, fitted.model), 3)
+
+
+@query(
+    "o19_risk_response",
+    f"""SELECT student_id, risk_score, tier, {ACTION_SQL} AS actions FROM (SELECT *, {TIER_SQL.format(s='risk_score')} AS tier FROM (SELECT student_id, ROUND(score * 100, 1) AS risk_score FROM predictions))""",
+    ["risk_score"],
+)
+def _(c):
+    out = batch.risk_response(c.predictions)
+    return out.select("student_id", "risk_score", "tier", F.array_join("recommended_actions", "; ").alias("actions"))
+
+
+CLASSES = ["Fail", "Third", "2:2", "2:1", "First"]
+
+
+@query(
+    "o19_degree_response",
+    """WITH x AS (SELECT student_id, p, [CASE WHEN k = p THEN 0.6 ELSE 0.1 END FOR k IN [0, 1, 2, 3, 4]] AS probs FROM predictions)
+       SELECT student_id, ['Fail', 'Third', '2:2', '2:1', 'First'][CAST(p AS INT) + 1] AS predicted_class, CAST(probs[1] AS DOUBLE) AS p_fail, CAST(probs[5] AS DOUBLE) AS p_first FROM x""",
+    ["p_fail", "p_first"],
+)
+def _(c):
+    probabilities = F.array(*[F.when(F.col("p") == k, 0.6).otherwise(0.1) for k in range(5)])
+    out = batch.degree_response(c.predictions.withColumn("class_probabilities", probabilities), CLASSES)
+    return out.select(
+        "student_id", "predicted_class", F.col("class_probabilities")["Fail"].alias("p_fail"), F.col("class_probabilities")["First"].alias("p_first")
+    )
+
+
+@query(
+    "o19_recommendation_response",
+    f"""WITH sc AS ({SCORES_SQL}), r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY student_id ORDER BY score DESC, course_id) AS place FROM sc WHERE model = 'popularity')
+        SELECT student_id, STRING_AGG(CAST(course_id AS VARCHAR), ',' ORDER BY place) AS courses, COUNT(*) AS n FROM r WHERE place <= 5 GROUP BY 1""",
+)
+def _(c):
+    listed = best_courses(model_scores(c).where("model = 'popularity'"), 5)
+    packed = batch.recommendation_response(listed)
+    return packed.select(
+        "student_id",
+        F.array_join(F.transform("recommendations", lambda r: r["course_id"].cast("string")), ",").alias("courses"),
+        F.size("recommendations").cast("long").alias("n"),
+    )
+
+
 @query(
     "o19_batch_scoring",
     """SELECT student_id, ROUND(score, 4) AS probability, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction, ROUND(ABS(score - 0.5) * 2, 4) AS confidence FROM predictions""",
