@@ -47,9 +47,9 @@ WORDS = 400_000
 ID_BITS = 21
 #: Keys of a hash container before it bursts, and of all tries of a task before subtrees are spilled.
 BURST = 4096
-HELD = 600_000
+HELD = 1_000_000
 #: Words that are counted at a time.
-BATCH = 200_000
+BATCH = 400_000
 #: Bits of a bitmap of what is frequent: 16 for each entry, 2^27 (16 MB) at most.
 BITS = (1 << 16, 1 << 27)
 #: Bytes of text for each prefix partition.
@@ -263,8 +263,12 @@ class Trie:
         self.size = 0
 
     def add(self, first: np.ndarray, rest: np.ndarray) -> None:
-        order = np.lexsort((rest, first))
-        first, rest = first[order], rest[order]
+        if self.longest == 2:  # both words fit in one number
+            both = np.sort(first.astype(np.uint64) << np.uint64(ID_BITS) | rest)
+            first, rest = (both >> np.uint64(ID_BITS)).astype(np.int64), both & np.uint64((1 << ID_BITS) - 1)
+        else:
+            order = np.lexsort((rest, first))
+            first, rest = first[order], rest[order]
         cuts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(first) else []
         for a, b in zip(cuts, np.r_[cuts[1:], len(first)]):
             child = self.root.get(w := int(first[a]))
