@@ -369,7 +369,7 @@ def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     return w
 
 
-def class_scores(w: dict[str, np.ndarray], inputs: list[np.ndarray], targets: list[np.ndarray], batch: int = 64) -> list[np.ndarray]:
+def class_scores(w: dict[str, np.ndarray], inputs: list[np.ndarray], targets: list[np.ndarray], batch: int = 256) -> list[np.ndarray]:
     """Natural log probability of every target class, each scored once.
 
     ``inputs[i]`` are the input numbers before each of ``targets[i]``.
