@@ -71,6 +71,14 @@ def test_recall_over_parts(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_nothing_is_missed_without_clusters(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=48).tolist()) for i in range(12_000)]
+    rows += [(20_000 + i, (1e4 * rng.normal(size=48)).tolist()) for i in range(500)]  # far away, none like the rest
+    is_query = lambda q: q % 100 == 0
+    close(found(ann.nearest(frame(spark, rows), F.col("vec_id") % 100 == 0)), brute(rows, 10, is_query))
+
+
 def test_parts_are_balanced_and_cut_few_edges():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(8, 12))[rng.integers(8, size=1024)] * 4 + rng.normal(size=(1024, 12))
