@@ -94,3 +94,12 @@ def test_ranks_on_full_scores():
     items, ids = np.array([[0.5], [0.5 + 1e-9]]), np.array([10, 11])
     assert vectors.chunk_best(part, items, ids, True, None, None, None)["item_id"].tolist() == [11]
     assert vectors.chunk_best(part, items, ids, True, None, None)["item_id"].tolist() == [10]
+
+
+def test_ceilings_are_above_all_scores_of_a_box():
+    rng = np.random.default_rng(3)
+    outer = np.array([2.0, -1.5, 0.5])
+    a, b = rng.normal(size=(20, 3)), rng.normal(size=(50, 3))
+    top = collaborative.perceptron_ceilings(a, b.min(0)[None], b.max(0)[None], outer, 0.25)
+    assert (top[:, 0] >= collaborative.perceptron(a, b.T, outer, 0.25).max(1)).all()
+    assert (vectors.product_ceilings(a, b.min(0)[None], b.max(0)[None])[:, 0] >= (a @ b.T).max(1) - 1e-12).all()

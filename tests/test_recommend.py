@@ -34,6 +34,44 @@ def test_nearest_against_all_pairs(spark, monkeypatch, blocks):
         assert got[i] == [j for _, j in scored[:4]]
 
 
+def test_products_by_boxes_are_those_of_all_pairs():
+    """Ties, repeated and zero vectors, other numbers wanted, and the query itself left out."""
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(3000, 4)), 1)
+    x[:900], x[900:950] = x[1], 0
+    ids = rng.permutation(len(x)).astype(np.int64)
+    items = vectors.pd.DataFrame({"id": ids, "vector": list(x)})
+    asked = items.iloc[::10].assign(k=np.arange(300) % 40 + 1)
+    for same, lower, decimals in ((True, None, 6), (False, None, None), (False, 0.0, 3)):
+        found = vectors.block_best(asked, items, same, lower, None, decimals, np.matmul)
+        got = {q: list(zip(f["item_id"], f["score"])) for q, f in found.groupby("query_id")}
+        for q, v, k in zip(asked["id"], asked["vector"], asked["k"]):
+            scores = x @ v if lower is None else np.clip(x @ v, lower, 1.0)
+            scores = np.round(scores, decimals) if decimals else np.round(scores, 12)
+            want = sorted((-s, i) for s, i in zip(scores, ids) if same or i != q)[:k]
+            if decimals:
+                assert [i for i, _ in got[q]] == [i for _, i in want]
+            assert np.allclose([s for _, s in got[q]], [-s for s, _ in want])
+
+
+def test_few_boxes_are_scored():
+    rng = np.random.default_rng(7)
+    x, scored = rng.normal(size=(20_000, 3)), []
+
+    def kernel(a, b):
+        scored.append(a.shape[0] * b.shape[1])
+        return a @ b
+
+    items = vectors.pd.DataFrame({"id": np.arange(len(x)), "vector": list(x)})
+    found = vectors.block_best(items.iloc[:2000].assign(k=5), items, True, None, None, None, kernel)
+    assert len(found) == 10_000 and sum(scored) < 0.3 * 2000 * len(x)
+
+
+def test_copies_of_items_do_not_grow_with_the_blocks_of_queries(spark):
+    """Few large blocks: neither side is shuffled more than a few times."""
+    assert vectors.blocks_of(spark.range(300_000), vectors.BLOCK_NUMBERS // 64) <= 5
+
+
 def test_nearest_leaves_out_the_query_and_handles_zero(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.0])], "id long, vector array<double>")
     got = {(r["query_id"], r["item_id"]): r["score"] for r in vectors.most_similar(df, df, 2, same=False).collect()}
