@@ -68,12 +68,14 @@ def stratified_split(df: DataFrame, key: str, label: str, test_size: float = 0.2
     )
 
 
-def place_in_group(df: DataFrame, group: str, order: str, key: str, many_ties: bool = False) -> DataFrame:
+def place_in_group(df: DataFrame, group: str, order: str, key: str, many_ties: bool = False, spread: bool = False) -> DataFrame:
     """Add ``_place``: 1, 2, … per group by ``order``, then ``key``, without a task per group.
 
     Rows that agree in group and order are few by default, as with a hash. With
     ``many_ties`` they may be most of the table; ``key`` must then be a unique number,
-    and the rows of a tie are placed by running counts over it as well.
+    and the rows of a tie are placed by running counts over it as well. With ``spread`` the counts
+    of the earlier rows, one per group and order, are shuffled whatever their size, so that the driver
+    never holds them for a broadcast.
     """
     ties = df.groupBy(group, order).agg(F.count("*").alias("_n"))
     before = running_totals(ties, order, {"_upto": "_n"}, within=[group]).select(
@@ -84,6 +86,8 @@ def place_in_group(df: DataFrame, group: str, order: str, key: str, many_ties: b
         inside = running_totals(counted, key, {"_inside": "_one"}, within=[group, order]).drop("_one")
     else:
         inside = df.withColumn("_inside", F.row_number().over(Window.partitionBy(group, order).orderBy(key)))
+    if spread:
+        before = before.hint("merge")
     whole = join_same(inside, before, [group, order])
     return whole.withColumn("_place", F.col("_before") + F.col("_inside")).drop("_before", "_inside")
 

@@ -136,7 +136,7 @@ def random_courses(students: DataFrame, courses: DataFrame, n: int, seed: int =
     size = courses.count()
     drawn = F.xxhash64("course_id", F.lit(seed))
     keyed = courses.select("course_id", drawn.alias("_draw"), F.lit(0).alias("_all"))
-    numbered = place_in_group(keyed, "_all", "_draw", "course_id").select(
+    numbered = place_in_group(keyed, "_all", "_draw", "course_id", spread=True).select(
         "course_id", (F.col("_place") - 1).alias("_position")
     )
     # position j of a student is (start + j * step) modulo a prime of at least ``size``: all
@@ -149,7 +149,8 @@ def random_courses(students: DataFrame, courses: DataFrame, n: int, seed: int =
     positions = F.slice(F.filter(places, lambda x: x < size), 1, n)
     rows = students.select("student_id", F.explode(positions).alias("_position"))
     score = F.pmod(F.xxhash64("student_id", "course_id", F.lit(seed)), F.lit(1_000_000_007)) / 1_000_000_007
-    scored = rows.join(numbered, "_position").select("student_id", "course_id", score.alias("score"))
+    # the catalogue may be of any size: it is shuffled, not broadcast through the driver
+    scored = rows.join(numbered.hint("merge"), "_position").select("student_id", "course_id", score.alias("score"))
     return best_courses(scored, n)
 
 

@@ -89,6 +89,16 @@ def test_random_lists(spark):
         assert one.exceptAll(recommend.random_courses(students, courses, 4, seed=7)).count() > 0
 
 
+def test_random_lists_do_not_broadcast_the_catalogue(spark, capsys):
+    """Even a catalogue below the threshold for broadcasts is shuffled, as its size is only estimated."""
+    students = spark.range(40).withColumnRenamed("id", "student_id")
+    recommend.random_courses(students, spark.range(500).withColumnRenamed("id", "course_id"), 4).explain()
+    plan = capsys.readouterr().out
+    by_position = next(line for line in plan.splitlines() if "Join" in line and "_position" in line)
+    by_draw = next(line for line in plan.splitlines() if "Join" in line and "_draw" in line)
+    assert "SortMergeJoin" in by_position and "SortMergeJoin" in by_draw
+
+
 def test_fusion_uses_the_models_a_student_has(spark):
     rows = [(1, 10, "a", 0.8), (1, 11, "a", 0.2), (1, 10, "b", 0.4), (2, 10, "a", 0.6)]
     df = spark.createDataFrame(rows, "student_id int, course_id int, model string, score double")
