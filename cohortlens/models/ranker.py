@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.models.base import assembled, class_probability
 from cohortlens.operators.feature_tables import ranking_samples
-from cohortlens.operators.recommend import best_courses
+from cohortlens.operators.recommend import best_courses, wide_scores
 from cohortlens.session import reliable_checkpoint
 
 
@@ -24,7 +24,7 @@ class Ranker:
 
     def recommend(self, scores: DataFrame, n: int = 10) -> DataFrame:
         """Re-rank the union of the recommenders' lists by the learned relevance."""
-        wide = scores.groupBy("student_id", "course_id").pivot("model", self.models).agg(F.max("score"))
+        wide = wide_scores(scores, self.models)
         scored = self.model.transform(assembled(wide, self.models)).withColumn("score", class_probability())
         return best_courses(scored.select("student_id", "course_id", "score"), n)
 
@@ -49,7 +49,7 @@ class PairwiseRanker:
 
     def recommend(self, scores: DataFrame, n: int = 10) -> DataFrame:
         """Re-rank the union of the recommenders' lists by the learned relevance."""
-        wide = scores.groupBy("student_id", "course_id").pivot("model", self.models).agg(F.max("score"))
+        wide = wide_scores(scores, self.models)
         relevance = F.lit(0.0)
         for m, w in zip(self.models, self.weights):
             relevance = relevance + F.coalesce(F.col(f"`{m}`"), F.lit(0.0)) * float(w)

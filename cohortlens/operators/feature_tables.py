@@ -19,6 +19,7 @@ from cohortlens.operators.engagement import (
 )
 from cohortlens.operators.marks import before_final_year, credit_weighted_mean, trend_code
 from cohortlens.operators.outcomes import career_readiness
+from cohortlens.operators.recommend import wide_scores
 from cohortlens.operators.sparse import LevelTable
 from cohortlens.session import reliable_checkpoint
 from cohortlens.operators.student import ETHNICITY_FLAGS, age_at, age_by_year, ethnicity_group
@@ -421,7 +422,7 @@ def ranking_samples(scores: DataFrame, positives: DataFrame, per_positive: int =
     many other recommended courses, best first.
     """
     models = levels(scores, "model")
-    wide = scores.groupBy("student_id", "course_id").pivot("model", models).agg(F.max("score"))
+    wide = wide_scores(scores, models)
     wanted = positives.select("student_id", "course_id").distinct()
     held = wanted.groupBy("student_id").agg(F.count("*").alias("_n"))
     good = wanted.join(wide, ["student_id", "course_id"], "left").withColumn("label", F.lit(1))

@@ -261,3 +261,22 @@ def test_profiles_share_one_query(spark):
     items = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.1, 1.0])], "id long, vector array<double>")
     got = {r["query_id"]: r["item_id"] for r in vectors.most_similar_by_profile(people, items, 1).collect()}
     assert got == {i: 1 if i % 3 else 2 for i in range(30)}
+
+
+def test_popular_lists_are_not_made_by_the_few_tasks_that_read_the_students(spark):
+    students = spark.range(400).select(F.col("id").alias("student_id")).coalesce(1)
+    courses = spark.createDataFrame([(i, float(i % 4)) for i in range(9)], "course_id long, score double")
+    listed = recommend.popular_for_all(students, courses, 5)
+    sizes = listed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 1000
+    got = {(r["student_id"], r["rank"]): (r["course_id"], r["score"]) for r in listed.collect()}
+    best = [(3, 3.0), (7, 3.0), (2, 2.0), (6, 2.0), (1, 1.0)]
+    assert got == {(s, k + 1): best[k] for s in range(400) for k in range(5)}
+
+
+def test_wide_scores_are_the_pivot(spark):
+    rows = [(s, c, m, float(c * (s or 3) % 5)) for s in (1, 2, None) for c in range(4) for m in ("a", "b.c", None) if m != "a" or c != s]
+    long = spark.createDataFrame(rows + rows[:3], "student_id long, course_id long, model string, score double")
+    want = long.groupBy("student_id", "course_id").pivot("model", ["a", "b.c"]).agg(F.max("score"))
+    got = recommend.wide_scores(long, ["a", "b.c"])
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
