@@ -103,3 +103,17 @@ def test_ceilings_are_above_all_scores_of_a_box():
     top = collaborative.perceptron_ceilings(a, b.min(0)[None], b.max(0)[None], outer, 0.25)
     assert (top[:, 0] >= collaborative.perceptron(a, b.T, outer, 0.25).max(1)).all()
     assert (vectors.product_ceilings(a, b.min(0)[None], b.max(0)[None])[:, 0] >= (a @ b.T).max(1) - 1e-12).all()
+
+
+def test_taken_courses_do_not_leave_a_block(spark):
+    """Every course but three is taken, and only those three are found."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in rng.normal(size=3)]) for i in range(600)]
+    items = spark.createDataFrame(rows, "id long, vector array<double>")
+    asked = spark.createDataFrame([(1, rows[1][1], [i for i in range(700) if i not in (5, 77, 400)]), (2, rows[2][1], None), (3, rows[3][1], [])], "id long, vector array<double>, without array<long>")
+    got = {}
+    for r in vectors.best_products(asked, items, 4, decimals=None).collect():
+        got.setdefault(r["query_id"], []).append((-r["score"], r["item_id"]))
+    score = lambda q, i: sum(a * b for a, b in zip(rows[q][1], rows[i][1]))
+    want = {1: [5, 77, 400], 2: range(600), 3: range(600)}
+    assert {q: [i for _, i in sorted(f)] for q, f in got.items()} == {q: sorted(w, key=lambda i: -score(q, i))[:4] for q, w in want.items()}
