@@ -263,7 +263,8 @@ def test_profiles_share_one_query(spark):
     assert got == {i: 1 if i % 3 else 2 for i in range(30)}
 
 
-def test_popular_lists_are_not_made_by_the_few_tasks_that_read_the_students(spark):
+def test_popular_lists_are_not_made_by_the_few_tasks_that_read_the_students(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "LISTED_ROWS", 500)
     students = spark.range(400).select(F.col("id").alias("student_id")).coalesce(1)
     courses = spark.createDataFrame([(i, float(i % 4)) for i in range(9)], "course_id long, score double")
     listed = recommend.popular_for_all(students, courses, 5)
