@@ -59,3 +59,11 @@ def test_trainer_uses_defaults(campus, monkeypatch):
     with pytest.raises(Called) as raised:
         modelling.yield_trainer(campus.students, {})
     assert raised.value.args[0] == {}
+
+
+def test_survival_curves_keep_their_table(spark, folder, monkeypatch):
+    """The model reads its table several times; what it was made from is not read again."""
+    monkeypatch.setattr(modelling.survival, "fit_cox", lambda table, *a, **k: (_ for _ in ()).throw(Called(table._jdf.queryExecution().executedPlan().toString())))
+    with pytest.raises(Called) as raised:
+        QUERIES["o14_survival_curves"](spark, folder)
+    assert "parquet" not in raised.value.args[0]
