@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -169,7 +170,7 @@ def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
     items, item_ids = dense(i["vector"], dims), i["id"].to_numpy()
-    boxes = item_boxes(items, item_ids)
+    boxes = Boxes.of(items, item_ids)
     if dims is None:
         chunks = (q.iloc[rows] for rows in boxes_of(dense(q["vector"], dims), CHUNK))
     else:
@@ -178,10 +179,47 @@ def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None
     return pd.concat(parts, ignore_index=True)
 
 
-def item_boxes(items: np.ndarray, item_ids: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """Vectors and ids by box, and the smallest and largest value of each box per column."""
-    boxes = [(items[rows], item_ids[rows]) for rows in boxes_of(items, BOX)]
-    return boxes, np.stack([x.min(0) for x, _ in boxes]), np.stack([x.max(0) for x, _ in boxes])
+@dataclass
+class Boxes:
+    """Distinct vectors in boxes of near ones, and the items of each vector by ascending id.
+
+    Items of equal vector have equal scores, so a vector is scored once, whatever the number of its
+    items, and of those only the first ids can be among a query's best.
+    """
+
+    ids: np.ndarray  # of all items, by vector and id
+    starts: np.ndarray  # place of a vector's first item
+    sizes: np.ndarray  # number of a vector's items
+    inside: list[tuple[np.ndarray, np.ndarray]]  # vectors and their numbers, by box
+    low: np.ndarray  # smallest and largest value of each box per column
+    high: np.ndarray
+
+    @classmethod
+    def of(cls, items: np.ndarray, item_ids: np.ndarray) -> Boxes:
+        plain = np.ascontiguousarray(items + 0.0)  # without a negative zero
+        raw = plain.view(np.dtype((np.void, plain.itemsize * plain.shape[1]))).ravel()
+        _, one, number = np.unique(raw, return_index=True, return_inverse=True)
+        order = np.lexsort((item_ids, number))
+        sizes = np.bincount(number)
+        distinct = plain[one]
+        inside = [(distinct[rows], rows) for rows in boxes_of(distinct, BOX)]
+        low, high = np.stack([x.min(0) for x, _ in inside]), np.stack([x.max(0) for x, _ in inside])
+        return cls(item_ids[order], np.cumsum(sizes) - sizes, sizes, inside, low, high)
+
+    def items(self, r: np.ndarray, s: np.ndarray, vectors: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows (query, score, item id) of the found vectors: enough to hold the best ``most`` of each query."""
+        n = np.minimum(self.sizes[vectors], most[r])
+        if n.max(initial=1) > 1:
+            order = np.lexsort((-s, r))
+            r, s, vectors, n = r[order], s[order], vectors[order], n[order]
+            before = np.cumsum(n) - n
+            before -= before[np.searchsorted(r, r)]
+            # vectors of equal score share their places
+            first = np.r_[True, (r[1:] != r[:-1]) | (s[1:] != s[:-1])]
+            keep = before[np.flatnonzero(first)[np.cumsum(first) - 1]] < most[r]
+            r, s, vectors, n = r[keep], s[keep], vectors[keep], n[keep]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(r, n), np.repeat(s, n), self.ids[np.repeat(self.starts[vectors], n) + within]
 
 
 def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.matmul, ceilings=product_ceilings, boxes=None) -> pd.DataFrame:
@@ -190,11 +228,13 @@ def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.m
     ``floor`` and ``last`` are the score and id of a query's last item so far; what comes behind
     them is left out, and so are boxes whose ceiling lies below ``floor``.
     """
-    boxes, low, high = boxes or item_boxes(right, item_ids)
+    boxes = boxes or Boxes.of(right, item_ids)
+    low, high = boxes.low, boxes.high
     x, ids = dense(part["vector"], dims), part["id"].to_numpy()
     # the query's own item is taken along and dropped at the end
     wanted = part["k"].to_numpy() + (not same)
     unwanted = unwanted_pairs(part["without"], item_ids) if "without" in part else None
+    enough = wanted if unwanted is None else wanted + unwanted_items(len(x), item_ids, *unwanted)
     top = ceilings(x, low, high)
     size = np.maximum(np.abs(x) @ np.maximum(np.abs(low), np.abs(high)).T, np.abs(top))
     top = top + 1e-9 * size  # never below a score, whatever the rounding
@@ -208,15 +248,17 @@ def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.m
         rows = np.flatnonzero(~(top[:, b] < floor))
         if not len(rows):
             continue
-        inside, inside_ids = boxes[b]
+        inside, numbers = boxes.inside[b]
         scores = kernel(x[rows], inside.T)
         if lower is not None:
             scores = np.clip(scores, lower, 1.0)
         # most scores lie below the floor, whatever the rounding
         at, c = np.nonzero(scores >= floor[rows, None] - spare)
-        r, s, new = rows[at], scores[at, c], inside_ids[c]
+        r, s, vectors = rows[at], scores[at, c], numbers[c]
         s = (s if decimals is None else np.round(s, decimals)) + 0.0
-        keep = np.isfinite(s) & ((s > floor[r]) | (s == floor[r]) & (new < last[r]))
+        keep = np.isfinite(s) & ((s > floor[r]) | (s == floor[r]) & (boxes.ids[boxes.starts[vectors]] < last[r]))
+        r, s, new = boxes.items(r[keep], s[keep], vectors[keep], enough)
+        keep = (s > floor[r]) | (new < last[r])
         r, s, new = r[keep], s[keep], new[keep]
         if unwanted is not None:
             keep = ~is_unwanted(r, new, *unwanted)
@@ -245,6 +287,12 @@ def unwanted_pairs(without: pd.Series, item_ids: np.ndarray) -> tuple[np.ndarray
     return order, np.unique(rows[inside] * len(order) + place[inside])
 
 
+def unwanted_items(queries: int, item_ids: np.ndarray, order: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """How many of the block's items each query does not want; an id counts as often as it occurs."""
+    times = np.unique(item_ids, return_counts=True)[1]
+    return np.bincount(pairs // len(order), times[pairs % len(order)], queries).astype(int)
+
+
 def is_unwanted(r: np.ndarray, ids: np.ndarray, order: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     if not len(pairs):
         return np.zeros(len(r), bool)
