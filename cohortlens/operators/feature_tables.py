@@ -19,9 +19,8 @@ from cohortlens.operators.engagement import (
 )
 from cohortlens.operators.marks import before_final_year, credit_weighted_mean, trend_code
 from cohortlens.operators.outcomes import career_readiness
-from cohortlens.operators.recommend import wide_scores
 from cohortlens.operators.sparse import LevelTable
-from cohortlens.session import reliable_checkpoint
+from cohortlens.session import reliable_checkpoint, spread
 from cohortlens.operators.student import ETHNICITY_FLAGS, age_at, age_by_year, ethnicity_group
 
 BACKGROUND = ["gender", "ethnicity", "disability", "care_leaver", "first_generation_uni"]
@@ -422,14 +421,20 @@ def ranking_samples(scores: DataFrame, positives: DataFrame, per_positive: int =
     many other recommended courses, best first.
     """
     models = levels(scores, "model")
-    wide = wide_scores(scores, models)
-    wanted = positives.select("student_id", "course_id").distinct()
-    held = wanted.groupBy("student_id").agg(F.count("*").alias("_n"))
-    good = wanted.join(wide, ["student_id", "course_id"], "left").withColumn("label", F.lit(1))
-    other = wide.join(wanted, ["student_id", "course_id"], "left_anti").join(held, "student_id")
+    own = [F.when(F.col("model") == m, F.col("score")).alias(m) for m in models]
+    none = [F.lit(None).cast(scores.schema["score"].dataType).alias(m) for m in models]
+    pair = ["student_id", "course_id"]
+    wanted = positives.select(*pair).distinct().select(*pair, *none, F.lit(1).alias("label"))
+    marked = scores.select(*pair, *own, F.lit(0).alias("label")).unionByName(wanted)
+    # listed and enrolled courses meet in one aggregate by student; where a key is missing, they don't
+    apart = F.when(F.col("student_id").isNull() | F.col("course_id").isNull(), F.col("label"))
+    rows = spread(marked, scores.count() + positives.count(), "student_id").withColumn("_apart", apart).groupBy(*pair, "_apart")
+    wide = rows.agg(*[F.max(f"`{m}`").alias(m) for m in models], F.max("label").alias("label")).drop("_apart")
     best = F.greatest(*[F.coalesce(F.col(f"`{m}`"), F.lit(0.0)) for m in models], F.lit(0.0))
-    place = F.row_number().over(Window.partitionBy("student_id").orderBy(best.desc(), F.col("course_id")))
-    bad = other.withColumn("_place", place).where(F.col("_place") <= per_positive * F.col("_n"))
-    rows = good.unionByName(bad.drop("_n", "_place").withColumn("label", F.lit(0)))
-    return rows.fillna(0.0, subset=models).withColumn("query_id", F.col("student_id"))
+    place = F.row_number().over(Window.partitionBy("student_id").orderBy("label", best.desc(), "course_id"))
+    held = F.sum("label").over(Window.partitionBy("student_id"))
+    placed = wide.withColumns({"_place": place, "_n": held})
+    other = (F.col("_place") <= per_positive * F.col("_n")) & F.col("student_id").isNotNull()
+    kept = placed.where((F.col("label") == 1) | other).drop("_place", "_n")
+    return kept.fillna(0.0, subset=models).withColumn("query_id", F.col("student_id"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import sigmoid
 from cohortlens.functions.ordering import top_n
-from cohortlens.session import shuffle_width
+from cohortlens.session import spread
 
 #: Rows of lists that one task may make.
 LISTED_ROWS = 2**20
@@ -51,9 +51,7 @@ def popular_for_all(students: DataFrame, course_scores: DataFrame, n: int) -> Da
         .scalar()
     )
     ids = students.select("student_id")
-    parts = -(-ids.count() * n // LISTED_ROWS)
-    if parts > 1:
-        ids = ids.repartition(max(parts, shuffle_width(ids.sparkSession)), "student_id")
+    ids = spread(ids, ids.count() * n, "student_id", per_task=LISTED_ROWS)
     rows = ids.select("student_id", F.posexplode(listed).alias("at", "entry"))
     return rows.select(
         "student_id",
@@ -116,20 +114,20 @@ def ensemble(scores: DataFrame, weights: Mapping[str, float], n: int) -> DataFra
     """Mean over models of weight · sigmoid(score), best ``n`` courses per student."""
     share = normalised(weights)
     squashed = weight_of(F.col("model"), share) * sigmoid(F.col("score"))
-    fused = scores.groupBy("student_id", "course_id").agg((F.sum(squashed) / F.count("*")).alias("score"))
+    fused = spread(scores, scores.count(), "student_id").groupBy("student_id", "course_id").agg((F.sum(squashed) / F.count("*")).alias("score"))
     return best_courses(fused, n)
 
 
 def wide_scores(scores: DataFrame, models: Sequence[str]) -> DataFrame:
     """One row per student and course with one column of the highest score per model, in one aggregate."""
     best = [F.max(F.when(F.col("model") == m, F.col("score"))).alias(m) for m in models]
-    return scores.groupBy("student_id", "course_id").agg(*best)
+    return spread(scores, scores.count(), "student_id").groupBy("student_id", "course_id").agg(*best)
 
 
 def scores_by_model(listed: DataFrame, scores: DataFrame, models: Sequence[str]) -> DataFrame:
     """The listed courses with one column of raw scores per model."""
-    wide = wide_scores(scores, models)
-    return listed.join(wide, ["student_id", "course_id"], "left")
+    pair, rows = ["student_id", "course_id"], scores.count()
+    return spread(listed, rows, *pair).join(spread(wide_scores(scores, models), rows, *pair), pair, "left")
 
 
 def next_prime(n: int) -> int:

@@ -37,6 +37,7 @@ from cohortlens.plans.outcomes import (
 from cohortlens.operators.outcomes import THEMES
 from cohortlens.plans.registry import query
 from cohortlens.plans.scalars import DEPARTMENTS, GRADE_SQL, KINDS, SEGMENTS, TARIFF_SQL, sql_dummies
+from cohortlens.session import reliable_checkpoint
 
 GRADES = student.GRADE_LABELS
 TARIFFS = ["Low", "Medium", "High", "Very High"]
@@ -508,7 +509,7 @@ def _(c):
     return demand_table(c)
 
 
-def model_scores(c, n: int = 10):
+def listed_scores(c, n: int = 10):
     """Score lists of two recommenders: overall popularity, and the student's own mean rating."""
     popular = popular_for_all(c.students, popularity(c.courses, c.enrollments), n)
     rated = best_courses(c.interactions.select("student_id", "course_id", F.col("rating").alias("score")), n)
@@ -519,6 +520,11 @@ def model_scores(c, n: int = 10):
     )
 
 
+def model_scores(c, n: int = 10):
+    """The score lists, kept: several steps count and read them."""
+    return reliable_checkpoint(listed_scores(c, n))
+
+
 SCORES_SQL = """SELECT s.student_id, p.course_id, CAST(p.n AS DOUBLE) AS score, 'popularity' AS model FROM students s
    CROSS JOIN (SELECT course_id, COUNT(*) AS n FROM enrollments JOIN courses USING (course_id) GROUP BY 1 ORDER BY n DESC, course_id LIMIT 10) p
  UNION ALL SELECT student_id, course_id, rating, 'rating' FROM

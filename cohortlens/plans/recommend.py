@@ -8,7 +8,7 @@ from cohortlens.operators import profiles, recommend, vectors
 from cohortlens.operators.mmr import mmr
 from cohortlens.operators.text import TfIdf
 from cohortlens.operators.feature_tables import ranking_samples
-from cohortlens.plans.features import SAMPLES_SQL, SCORES_SQL, model_scores
+from cohortlens.plans.features import SAMPLES_SQL, SCORES_SQL, listed_scores, model_scores
 from cohortlens.plans.ranking import METRICS, POPULARITY_SQL, course_vectors, popularity_lists, top10
 from cohortlens.plans.registry import query
 from cohortlens.session import reliable_checkpoint
@@ -393,7 +393,7 @@ def served_scores(c):
     """The lists of all three routes."""
     renamed = F.when(F.col("model") == "rating", recommend.ROUTES[0]).otherwise(F.col("model"))
     content = recommend.content_based(c.students, c.qualifications, c.courses, 5).select("student_id", "course_id", "score", F.lit(recommend.ROUTES[1]).alias("model"))
-    return model_scores(c).withColumn("model", renamed).unionByName(content)
+    return reliable_checkpoint(listed_scores(c).withColumn("model", renamed).unionByName(content))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import count_where
+from cohortlens.session import spread
 
 # Declared schemas, so that a scan needs no inference job.
 RAW_SCHEMAS = {
@@ -173,10 +174,13 @@ class Campus:
     @cached_property
     def interactions(self) -> DataFrame:
         """How often a student met a course: (student_id, course_id, n_taken, rating)."""
+        lines, orders = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_quantity"), self.raw("orders").select("o_orderkey", "o_custkey")
+        size = lines.count()
+        met = spread(lines, size, "l_orderkey").join(spread(orders, size, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        pairs = met.select(F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("course_id"), "l_quantity")
         return (
-            self.raw("lineitem")
-            .join(self.raw("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .groupBy(F.col("o_custkey").alias("student_id"), F.col("l_partkey").alias("course_id"))
+            spread(pairs, size, "student_id", "course_id")
+            .groupBy("student_id", "course_id")
             .agg(F.count("*").alias("n_taken"), F.avg("l_quantity").alias("rating"))
         )
 

@@ -2,7 +2,11 @@
 
 import numpy as np
 import pandas as pd
-from cohortlens.operators import vectors
+from pyspark.sql import functions as F
+
+from cohortlens import session
+from cohortlens.operators import recommend, vectors
+from cohortlens.operators.feature_tables import ranking_samples
 
 
 def brute(q, items, k):
@@ -31,3 +35,50 @@ def test_items_of_equal_vector_are_scored_once():
     got = sorted(zip(found["query_id"], -found["score"], found["item_id"]))
     assert [(a, i, -s) for a, s, i in got] == sorted(brute(q, items, 4), key=lambda r: (r[0], -r[2], r[1]))
     assert sum(scored) <= len(q) * 30
+
+
+def old_samples(spark, scores, positives, per_positive=2):
+    """The ranking samples by plain loops."""
+    wide = {}
+    for s, c, m, x in scores:
+        row = wide.setdefault((s, c), {})
+        row[m] = max(row.get(m, x), x)
+    good = set(positives)
+    cells = lambda row: (row.get("a") or 0.0, row.get("b") or 0.0)
+    out = [(s, c, *cells({} if s is None or c is None else wide.get((s, c), {})), 1) for s, c in good]
+    for s in {s for s, _ in good} - {None}:
+        n = sum(t == s for t, _ in good)
+        other = [(c, cells(row)) for (t, c), row in wide.items() if t == s and (c is None or (t, c) not in good)]
+        other.sort(key=lambda e: (-max(*e[1], 0.0), e[0] is not None, e[0] or 0))
+        out += [(s, c, *x, 0) for c, x in other[: per_positive * n]]
+    return sorted(map(str, out))
+
+
+def test_ranking_samples_are_spread_by_student(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 200)
+    keys = [None, *range(60)]
+    scores = [(s, c, m, float((c or 3) * 7 % 5 - (s or 1) % 3)) for s in keys for c in [None, *range(6)] for m in "ab" if ((s or 0) + (c or 0)) % 3]
+    positives = [(s, c) for s in keys for c in [None, *range(9)] if ((s or 0) * 5 + (c or 1)) % 4 == 0]
+    long = spark.createDataFrame(scores + scores[:5], "student_id long, course_id long, model string, score double")
+    taken = spark.createDataFrame(positives + positives[:5], "student_id long, course_id long")
+    samples = ranking_samples(long, taken)
+    got = [(r["student_id"], r["course_id"], r["a"], r["b"], r["label"]) for r in samples.collect()]
+    assert samples.columns == ["student_id", "course_id", "a", "b", "label", "query_id"]
+    assert sorted(map(str, got)) == old_samples(spark, scores, positives)
+    assert len(samples.groupBy(F.spark_partition_id()).count().collect()) > 3
+
+
+def test_spread_keeps_small_tables_and_cuts_large_ones(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    ids = spark.range(1000).coalesce(1)
+    assert session.spread(ids, 100, "id") is ids
+    assert max(r["count"] for r in session.spread(ids, 1000, "id").groupBy(F.spark_partition_id()).count().collect()) < 500
+
+
+def test_scores_beside_the_lists_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 200)
+    long = spark.createDataFrame([(s, c, m, s + c / 8) for s in range(300) for c in range(4) for m in ("a", "b")], "student_id long, course_id long, model string, score double")
+    wide = recommend.scores_by_model(recommend.ensemble(long, {"a": 1, "b": 1}, 3), long, ["a", "b"])
+    rows = wide.collect()
+    assert len(rows) == 900 and all(r["a"] == r["b"] == r["student_id"] + r["course_id"] / 8 for r in rows)
+    assert len(wide.groupBy(F.spark_partition_id()).count().collect()) > 3
