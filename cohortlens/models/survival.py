@@ -15,7 +15,7 @@ from cohortlens.functions.ordering import bucket_totals, value_buckets
 from cohortlens.models.base import assembled, class_probability
 from cohortlens.operators.prep import Scaling, stratified_split
 from cohortlens.operators.scores import concordance
-from cohortlens.session import reliable_checkpoint
+from cohortlens.session import reliable_checkpoint, spread
 
 
 @dataclass
@@ -198,7 +198,8 @@ class HazardModel:
 
     def survival(self, df: DataFrame) -> DataFrame:
         """S(t) for t = 1..weeks: (student_id, time, survival)."""
-        rows = df.withColumn("_week", F.explode(F.sequence(F.lit(1), F.lit(self.weeks))))
+        people = spread(df, df.count() * self.weeks, "student_id")
+        rows = people.withColumn("_week", F.explode(F.sequence(F.lit(1), F.lit(self.weeks))))
         scored = self.model.transform(assembled(rows, [*self.features, "_week"]))
         upto = Window.partitionBy("student_id").orderBy("_week").rowsBetween(Window.unboundedPreceding, 0)
         hazard = F.least(class_probability(), F.lit(0.999999))
@@ -212,7 +213,8 @@ def fit_hazard(
 ) -> HazardModel:
     """Boosted trees on one row per student and week at risk, positive in the week of the event."""
     at_risk = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.col(time).cast("int"), F.lit(weeks))))
-    rows = df.withColumn("_week", F.explode(at_risk))
+    # the learner keeps the person-weeks in memory, so they are what a task's share is measured by
+    rows = spread(df, df.count() * weeks).withColumn("_week", F.explode(at_risk))
     here = ((F.col("_week") == F.col(time)) & (F.col(event) == 1)).cast("double")
     ready = assembled(rows.withColumn("_event", here), [*features, "_week"]).select("features", "_event")
     model = GBTClassifier(labelCol="_event", maxIter=rounds, maxDepth=depth, seed=seed).fit(ready)

@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from cohortlens import session
+from cohortlens.models import survival
 from cohortlens.operators import recommend, vectors
 from cohortlens.operators.feature_tables import ranking_samples
 
@@ -82,3 +83,14 @@ def test_scores_beside_the_lists_are_spread(spark, monkeypatch):
     rows = wide.collect()
     assert len(rows) == 900 and all(r["a"] == r["b"] == r["student_id"] + r["course_id"] / 8 for r in rows)
     assert len(wide.groupBy(F.spark_partition_id()).count().collect()) > 3
+
+
+def test_person_weeks_are_spread(spark, monkeypatch):
+    people = spark.range(80).selectExpr("id AS student_id", "cast(1 + id % 6 AS int) AS time", "cast(id % 2 AS int) AS event", "id % 9 / 9 AS x").coalesce(1)
+    plain = survival.fit_hazard(people, "time", "event", ["x"], weeks=6, rounds=1, depth=2).survival(people)
+    want = sorted((r["student_id"], r["time"], round(r["survival"], 9)) for r in plain.collect())
+    monkeypatch.setattr(session, "TASK_ROWS", 60)
+    cut = survival.fit_hazard(people, "time", "event", ["x"], weeks=6, rounds=1, depth=2).survival(people)
+    assert sorted((r["student_id"], r["time"], round(r["survival"], 9)) for r in cut.collect()) == want
+    sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and sum(sizes) == 480
