@@ -2,10 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens import session
-from cohortlens.models import survival
+from cohortlens.models import survival, tune
 from cohortlens.operators import recommend, vectors
 from cohortlens.operators.feature_tables import ranking_samples
 
@@ -94,3 +95,16 @@ def test_person_weeks_are_spread(spark, monkeypatch):
     assert sorted((r["student_id"], r["time"], round(r["survival"], 9)) for r in cut.collect()) == want
     sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 3 and sum(sizes) == 480
+
+
+@pytest.mark.parametrize("strategy", ["stratified", "group"])
+def test_folds_are_kept_once(spark, monkeypatch, strategy):
+    table = spark.range(120).selectExpr("id AS student_id", "cast(id % 2 AS int) AS y", "id % 11 AS course_id", "'x' AS part")
+    kept = []
+    monkeypatch.setattr(tune, "reliable_checkpoint", lambda df: kept.append(df.count()) or session.reliable_checkpoint(df))
+    trainer = lambda train, params: lambda test: test.withColumns({"score": F.col("y") / 2, "y_pred": F.col("y")})
+    rows = tune.cross_validate(table, "y", trainer, strategy=strategy, scoring="accuracy", k=4, group="course_id").collect()
+    whole = tune.folds_of(table, strategy, "student_id", "y", 4, group="course_id")
+    want = {(r["fold"], r["part"]): r["count"] for r in whole.groupBy("fold", "part").count().collect()}
+    assert kept[0] == 120 and max(kept) == 120
+    assert {(r["fold"], p): r[n] for r in rows for p, n in (("train", "n_train"), ("test", "n_val"))} == want
