@@ -12,16 +12,24 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.functions.ordering import top_n
 from cohortlens.session import shuffle_width
 
-#: Numbers in a block of vectors; blocks of sparse vectors become dense and hold 16,384 queries and 4096 items at most.
+#: Rows and numbers in a block of vectors: up to the larger block while it has few rows, as each side is moved once per
+#: block of the other; blocks of sparse vectors become dense and hold 16,384 queries and 4096 items at most.
 BLOCK_NUMBERS = 2**22
+LARGE_BLOCK_NUMBERS = 2**24
+LARGE_BLOCK_ROWS = 2**18
 QUERY_BLOCK = 16384
 ITEM_BLOCK = 4096
-#: Blocks that queries are split into for the sake of parallel tasks.
-QUERY_BLOCKS = 24
+#: Pairs of blocks that there are at least, for the sake of parallel tasks.
+BLOCK_PAIRS = 48
+#: Partitions that pairs of blocks are dealt over, so that few pairs meet in a task.
+PAIR_PARTITIONS = 512
+#: Bytes of a row that is found in a block.
+FOUND_BYTES = 24
 CHUNK = 1024
 BOX = 128
 #: Rows found in a chunk are cut to the best ones when there are more than these and than twice the wanted ones.
@@ -68,15 +76,19 @@ def most_similar(
     Both inputs are ``(id, vector)`` with unique ids; with ``same=False`` an item is no
     neighbour of the query of equal id. See ``best_products`` for how it runs.
     """
-    left = queries.select("id", unit_or_sparse(F.col("vector"), dims).alias("vector"))
-    right = items.select("id", unit_or_sparse(F.col("vector"), dims).alias("vector"))
-    best = best_products(left, right, k, same, lower, dims)
+    best = best_products(with_length(queries, dims), with_length(items, dims), k, same, lower, dims)
     return top_n(best, "query_id", [F.desc("score"), F.asc("item_id")], k)
 
 
-def unit_or_sparse(vector: Column, dims: int | None) -> Column:
-    """Arrays are brought to length one; sparse vectors are expected to be so already."""
-    return unit(vector) if dims is None else vector
+def with_length(df: DataFrame, dims: int | None) -> DataFrame:
+    """Arrays come with the length that a block divides them by (1 when all zero), so that single
+    precision is moved as it is; sparse vectors are expected to be of length one already."""
+    if dims is not None:
+        return df.select("id", "vector")
+    single = df.schema["vector"].dataType == T.ArrayType(T.FloatType(), df.schema["vector"].dataType.containsNull)
+    v = F.transform("vector", lambda x: x.cast("double"))
+    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return df.select("id", ("vector" if single else v.alias("vector")), F.when(length > 0, length).otherwise(1.0).alias("length"))
 
 
 def product_ceilings(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -99,52 +111,73 @@ def best_products(
 
     Rows are spread over large blocks by a hash of the id, and each pair of blocks is a task's work:
     neither side is copied more often than the other has blocks, and per query and item block at
-    most ``k`` rows are shuffled. Inside a pair the items lie in small boxes of near vectors; a box
+    most ``k`` rows are shuffled. Of the cuts with enough pairs, the one that moves least is taken. Inside a pair the items lie in small boxes of near vectors; a box
     is scored for the queries only that it could still give one of their ``k`` best, by the largest
     score in the box (``ceilings``). A column ``without`` of the queries lists items that a query
-    does not want. With ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
+    does not want; vectors with a column ``length`` are divided by it. With ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
     Scores are ranked and returned with ``decimals`` decimals (None: as they are); the caller picks
     the final first ones. Another ``kernel`` scores the rows of a matrix with the columns of another
     in place of the dot product, and comes with its ``ceilings``.
     """
     if dims is None:
-        width = items.select(F.max(F.size("vector"))).first()[0] or 1
-        query_block = item_block = max(ITEM_BLOCK, BLOCK_NUMBERS // max(width, 1))
+        width = max(items.select(F.max(F.size("vector"))).first()[0] or 1, 1)
+        large = min(LARGE_BLOCK_ROWS, LARGE_BLOCK_NUMBERS // width)
+        query_block = item_block = max(ITEM_BLOCK, BLOCK_NUMBERS // width, large)
     else:
+        width = 1
         query_block, item_block = QUERY_BLOCK, max(256, min(ITEM_BLOCK, 2**24 // dims))
-    n_query, n_item = blocks_of(queries, query_block, QUERY_BLOCKS), blocks_of(items, item_block)
-    unwanted = ["without"] if "without" in queries.columns else []
+    parallel = shuffle_width(queries.sparkSession)
+    rows = queries.count(), items.count()
+    least = blocks_of(queries, query_block, rows[0]), blocks_of(items, item_block, rows[1])
+    n_query, n_item = block_counts(*rows, *least, parallel, width, k)
+    extra = [c for c in ("length", "without") if c in queries.columns]
     left = queries.select(
         F.pmod(F.xxhash64("id"), F.lit(n_query)).alias("qb"),
         F.explode(block_numbers(n_item)).alias("ib"),
         F.col("id").cast("long").alias("id"),
         "vector",
         F.lit(k).alias("k"),
-        *unwanted,
+        *extra,
     )
     right = items.select(
         F.explode(block_numbers(n_query)).alias("qb"),
         F.pmod(F.xxhash64("id"), F.lit(n_item)).alias("ib"),
         F.col("id").cast("long").alias("id"),
         "vector",
+        *[c for c in ["length"] if c in items.columns],
     )
     best = partial(block_best, same=same, lower=lower, dims=dims, decimals=decimals, kernel=kernel, ceilings=ceilings)
-    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(best, PAIR_SCHEMA)
+    parts = max(parallel, min(4 * n_query * n_item, PAIR_PARTITIONS))
+    left, right = (side.repartition(parts, "qb", "ib").groupBy("qb", "ib") for side in (left, right))
+    return left.cogroup(right).applyInPandas(best, PAIR_SCHEMA)
 
 
-def blocks_of(df: DataFrame, size: int, parallel: int = 1) -> int:
-    """Number of blocks: enough that one holds about ``size`` rows, and some parallelism."""
-    rows = df.count()
-    return max(1, -(-rows // size), min(parallel, shuffle_width(df.sparkSession), rows // 512))
+def blocks_of(df: DataFrame, size: int, rows: int | None = None) -> int:
+    """Number of blocks of about ``size`` rows (``rows``: how many there are, where known)."""
+    return max(1, -(-(df.count() if rows is None else rows) // size))
+
+
+def block_counts(queries: int, items: int, least_query: int, least_item: int, parallel: int, width: int, k: int) -> tuple[int, int]:
+    """Numbers of query and item blocks: at least those, enough pairs, and the fewest bytes moved."""
+    # a block has about 512 rows at least
+    pairs = max(1, min(BLOCK_PAIRS, parallel, queries // 512))
+    cuts = []
+    for n_item in range(least_item, max(least_item, min(pairs, items // 512)) + 1):
+        n_query = max(least_query, -(-pairs // n_item))
+        moved = n_item * queries * (8 * width + k * FOUND_BYTES) + n_query * items * 8 * width
+        cuts.append((moved, n_query, n_item))
+    return min(cuts)[1:]
 
 
 def block_numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def dense(vectors: pd.Series, dims: int | None) -> np.ndarray:
+def dense(rows: pd.DataFrame, dims: int | None) -> np.ndarray:
+    vectors = rows["vector"]
     if dims is None:
-        return np.stack(vectors.to_numpy())
+        out = np.stack(vectors.to_numpy()).astype(float, copy=False)
+        return out / rows["length"].to_numpy()[:, None] if "length" in rows else out
     out = np.zeros((len(vectors), dims))
     for row, v in enumerate(vectors):
         out[row, np.asarray(v["i"], dtype=int)] = v["v"]
@@ -169,10 +202,10 @@ def boxes_of(x: np.ndarray, size: int) -> list[np.ndarray]:
 def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None, decimals: int | None, kernel, ceilings=product_ceilings) -> pd.DataFrame:
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-    items, item_ids = dense(i["vector"], dims), i["id"].to_numpy()
+    items, item_ids = dense(i, dims), i["id"].to_numpy()
     boxes = Boxes.of(items, item_ids)
     if dims is None:
-        chunks = (q.iloc[rows] for rows in boxes_of(dense(q["vector"], dims), CHUNK))
+        chunks = (q.iloc[rows] for rows in boxes_of(dense(q, dims), CHUNK))
     else:
         chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
     parts = [chunk_best(part, items, item_ids, same, lower, dims, decimals, kernel, ceilings, boxes) for part in chunks]
@@ -230,7 +263,7 @@ def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.m
     """
     boxes = boxes or Boxes.of(right, item_ids)
     low, high = boxes.low, boxes.high
-    x, ids = dense(part["vector"], dims), part["id"].to_numpy()
+    x, ids = dense(part, dims), part["id"].to_numpy()
     # the query's own item is taken along and dropped at the end
     wanted = part["k"].to_numpy() + (not same)
     unwanted = unwanted_pairs(part["without"], item_ids) if "without" in part else None

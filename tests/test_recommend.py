@@ -72,6 +72,35 @@ def test_copies_of_items_do_not_grow_with_the_blocks_of_queries(spark):
     assert vectors.blocks_of(spark.range(300_000), vectors.BLOCK_NUMBERS // 64) <= 5
 
 
+def test_sides_are_copied_as_often_at_any_size():
+    """The blocks grow with the table, so that the copies of a side don't grow, up to blocks of 2**18 rows."""
+    for rows in (60_000, 600_000, 1_800_000):
+        least = -(-rows // min(vectors.LARGE_BLOCK_ROWS, vectors.LARGE_BLOCK_NUMBERS // 64))
+        n_query, n_item = vectors.block_counts(rows, rows, least, least, 100, 64, 3)
+        assert n_query + n_item <= 14 and n_query * n_item >= vectors.BLOCK_PAIRS
+    assert vectors.block_counts(900_000, 2000, 4, 1, 100, 64, 5) == (vectors.BLOCK_PAIRS, 1)
+    assert vectors.block_counts(0, 0, 1, 1, 100, 64, 5) == (1, 1)
+
+
+def test_vectors_of_single_precision_move_as_they_are(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(3000, 6)).astype(np.float32)
+    x[7], x[9] = 0, 2 * x[8]
+    df = spark.createDataFrame([(i, [float(n) for n in v]) for i, v in enumerate(x)], "id long, vector array<float>")
+    assert vectors.with_length(df, None).schema["vector"].dataType.elementType.simpleString() == "float"
+    monkeypatch.setattr(vectors, "ITEM_BLOCK", 500)
+    monkeypatch.setattr(vectors, "BLOCK_NUMBERS", 3000)
+    monkeypatch.setattr(vectors, "LARGE_BLOCK_ROWS", 1000)
+    got = {}
+    for r in vectors.most_similar(df, df, 3, same=False).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["item_id"], r["score"]))
+    d = x.astype(float)
+    d /= np.where((n := np.sqrt((d * d).sum(1))) > 0, n, 1)[:, None]
+    for i in (*range(0, 3000, 100), 7, 8, 9):
+        want = sorted((-round(float(s), 6), j) for j, s in enumerate(d @ d[i]) if j != i)[:3]
+        assert got[i] == [(j, -s) for s, j in want]
+
+
 def test_nearest_leaves_out_the_query_and_handles_zero(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.0])], "id long, vector array<double>")
     got = {(r["query_id"], r["item_id"]): r["score"] for r in vectors.most_similar(df, df, 2, same=False).collect()}
