@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.models.base import assembled, class_probability
+from cohortlens.session import reliable_checkpoint
 
 
 def combine(at_most: Column) -> Column:
@@ -45,8 +46,8 @@ class OrdinalModel:
 def fit_ordinal(
     train: DataFrame, label: str, features: Sequence[str], n_classes: int, rounds: int = 10, depth: int = 4, seed: int = 42
 ) -> OrdinalModel:
-    """One booster per threshold for P(y > k)."""
-    ready = assembled(train, features)
+    """One booster per threshold for P(y > k), all from one reading of the features."""
+    ready = reliable_checkpoint(assembled(train, features).select(label, "features"))
     out = OrdinalModel(list(features), n_classes)
     for k in range(n_classes - 1):
         above = ready.withColumn("_above", (F.col(label) > k).cast("double"))

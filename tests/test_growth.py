@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens import session
-from cohortlens.models import survival, tune
+from cohortlens.models import ordinal, survival, tune
 from cohortlens.operators import recommend, vectors
 from cohortlens.operators.feature_tables import ranking_samples
 
@@ -108,3 +108,18 @@ def test_folds_are_kept_once(spark, monkeypatch, strategy):
     want = {(r["fold"], r["part"]): r["count"] for r in whole.groupBy("fold", "part").count().collect()}
     assert kept[0] == 120 and max(kept) == 120
     assert {(r["fold"], p): r[n] for r in rows for p, n in (("train", "n_train"), ("test", "n_val"))} == want
+
+
+def test_rows_of_the_ordinal_model_are_made_once(spark):
+    """All boosters learn from one reading of the features, and their threshold comes with it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = spark.range(300).selectExpr("id AS student_id", "cast(id % 4 AS int) AS level", "id % 4 + id % 3 / 9 AS x")
+    fitted = ordinal.fit_ordinal(rows.mapInPandas(count, rows.schema), "level", ["x"], 4, rounds=2, depth=2)
+    assert made.value == 300
+    assert all(r["p"] == r["level"] for r in fitted.transform(rows).collect())
