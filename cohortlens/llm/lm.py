@@ -99,58 +99,94 @@ def new_weights(class_share: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]
     }
 
 
-MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+#: Numbers of at most this size are raised without taking a row's largest off first.
+CALM = 40.0
 
 
-def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Log probabilities of the next class at every place, and what the gradient needs."""
-    t = inputs.shape[1]
-    x = w["embed"][inputs] + w["place"][:t]
-    q, k, v = np.split(x @ w["qkv"], 3, axis=-1)
+def calm(x: np.ndarray) -> bool:
+    return bool(-CALM <= x.min(initial=0) and x.max(initial=0) <= CALM)
+
+
+def attended(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """The network up to its last layer (``h``), and what the gradient needs."""
+    b, t = inputs.shape
+    x = np.take(w["embed"], inputs, axis=0)
+    x += w["place"][:t]
+    qkv = (x.reshape(-1, DIM) @ w["qkv"]).reshape(b, t, 3 * DIM)
+    q, k, v = qkv[..., :DIM], qkv[..., DIM : 2 * DIM], qkv[..., 2 * DIM :]
+    q *= np.float32(DIM**-0.5)
     a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(DIM**-0.5)
-    a += MASK[:t, :t]
-    a -= a.max(-1, keepdims=True)
+    if not calm(a):
+        a[:, SEEN[:t, :t] == 0] = -np.inf
+        a -= a.max(-1, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
+    a *= SEEN[:t, :t]
+    a /= (a.reshape(-1, t) @ np.ones(t, a.dtype)).reshape(b, t, 1)
     c = a @ v
-    h = x + c @ w["out"]
-    z = h @ w["head"] + w["bias"]
+    h = (c.reshape(-1, DIM) @ w["out"]).reshape(b, t, DIM)
+    h += x
+    return {"x": x, "q": q, "k": k, "v": v, "a": a, "c": c, "h": h}
+
+
+def class_odds(w: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of each place's target class; the classes' odds and their sums. Places are rows."""
+    z = h.reshape(-1, DIM) @ w["head"]
+    z += w["bias"]
+    if not calm(z):
+        z -= z.max(-1, keepdims=True)
+    got = z.ravel()[np.arange(0, z.size, CLASSES) + targets.ravel()]
+    np.exp(z, out=z)
+    total = z @ np.ones(CLASSES, z.dtype)
+    return got - np.log(total), z, total
+
+
+def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Log probabilities of the next class at every place, and what the gradient needs."""
+    s = attended(w, inputs)
+    z = s["h"] @ w["head"] + w["bias"]
     z -= z.max(-1, keepdims=True)
     z -= np.log(np.exp(z).sum(-1, keepdims=True))
-    return z, {"x": x, "q": q, "k": k, "v": v, "a": a, "c": c, "h": h}
+    return z, s
 
 
 def gradient(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the scored places and its gradient."""
-    z, s = forward(w, inputs)
+    s = attended(w, inputs)
     n = max(1, int(scored.sum()))
     b, t = inputs.shape
-    rows, cols = np.arange(b)[:, None], np.arange(t)[None, :]
-    loss = -float((z[rows, cols, targets] * scored).sum()) / n
-    dz = np.exp(z)
-    dz[rows, cols, targets] -= 1
-    dz *= (scored / np.float32(n))[..., None]
 
     def flat(y: np.ndarray) -> np.ndarray:
         return y.reshape(-1, y.shape[-1])
 
-    g = {"head": flat(s["h"]).T @ flat(dz), "bias": flat(dz).sum(0)}
+    got, dz, total = class_odds(w, s["h"], targets)
+    each = scored.ravel() / np.float32(n)
+    loss = -float(got @ each)
+    dz *= (each / total)[:, None]
+    dz.ravel()[np.arange(0, dz.size, CLASSES) + targets.ravel()] -= each
+    g = {"head": flat(s["h"]).T @ dz, "bias": np.ones(len(dz), dz.dtype) @ dz}
     dh = dz @ w["head"].T
-    g["out"] = flat(s["c"]).T @ flat(dh)
-    dc = dh @ w["out"].T
+    g["out"] = flat(s["c"]).T @ dh
+    dc = (dh @ w["out"].T).reshape(b, t, DIM)
     da = dc @ s["v"].transpose(0, 2, 1)
-    dv = s["a"].transpose(0, 2, 1) @ dc
-    da -= (da * s["a"]).sum(-1, keepdims=True)
+    # the attention's weighted mean of da is what dc and c give together
+    da -= ((dc * s["c"]).reshape(-1, DIM) @ np.ones(DIM, dc.dtype)).reshape(b, t, 1)
     da *= s["a"]
-    da *= np.float32(DIM**-0.5)
-    dqkv = np.concatenate([da @ s["k"], da.transpose(0, 2, 1) @ s["q"], dv], -1)
+    dqkv = np.empty((b, t, 3 * DIM), da.dtype)
+    np.matmul(da, s["k"], out=dqkv[..., :DIM])
+    dqkv[..., :DIM] *= np.float32(DIM**-0.5)
+    np.matmul(da.transpose(0, 2, 1), s["q"], out=dqkv[..., DIM : 2 * DIM])
+    np.matmul(s["a"].transpose(0, 2, 1), dc, out=dqkv[..., 2 * DIM :])
     g["qkv"] = flat(s["x"]).T @ flat(dqkv)
-    dx = dh + dqkv @ w["qkv"].T
+    dx = dh
+    dx += flat(dqkv) @ w["qkv"].T
     g["place"] = np.zeros_like(w["place"])
-    g["place"][:t] = dx.sum(0)
+    g["place"][:t] = dx.reshape(b, t, DIM).sum(0)
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], inputs.ravel(), flat(dx))
+    order = np.argsort(inputs.ravel(), kind="stable")
+    number = inputs.ravel()[order]
+    first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    g["embed"][number[first]] = np.add.reduceat(dx[order], first, axis=0)
     return loss, g
 
 
@@ -233,7 +269,7 @@ class Subwords:
 
     @staticmethod
     def of(spelled: list[bytes], encoder: Encoder) -> Subwords:
-        raw = list(encoder.encode(spelled))
+        raw = encoder.encode_words(spelled)
         kind = np.dtype(encoder.kind)
         cuts = np.cumsum([0, *(len(x) // kind.itemsize for x in raw)])
         return Subwords(np.frombuffer(b"".join(raw), kind).astype(np.uint16), cuts)
@@ -260,7 +296,11 @@ def turns_of(name: int, n: int) -> np.ndarray:
 
 
 def count_home(docs: pd.DataFrame, tokenizer: str, buckets: int) -> pd.DataFrame:
-    """A home's distinct words by bucket (``kind`` 0), training windows by turn (1), totals (2) and id counts (3)."""
+    """A home's distinct words by bucket (``kind`` 0), its reading (1), totals (2) and id counts (3).
+
+    The reading is what training and scoring need of the texts: the documents, their words as places in
+    the order of the words' hashes, and the subword ids of each word. Texts are read once.
+    """
     docs = in_order(docs)
     home = int(docs["home"].iloc[0])
     numbers, codes, spelled = read_home(docs)
@@ -269,22 +309,23 @@ def count_home(docs: pd.DataFrame, tokenizer: str, buckets: int) -> pd.DataFrame
     learned = [n for n, t in zip(numbers, train) if t]
     counts = np.bincount(np.concatenate(learned), minlength=len(codes)) if learned else np.zeros(len(codes), np.int64)
     where = (((codes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((codes, where))
+    order = np.argsort(codes, kind="stable")  # a bucket is a range of hashes
     cuts = np.searchsorted(where[order], np.arange(buckets + 1))
     out = []
     for b in np.flatnonzero(np.diff(cuts)):
         i = order[cuts[b] : cuts[b + 1]]
         steps = np.diff(codes[i], prepend=np.uint64(0))
         out.append((0, int(b), home, stored(steps=steps, count=counts[i].astype(np.uint32))))
-    windows, turns = [np.zeros((0, WINDOW + 1), np.uint16)], [np.zeros(0, np.uint64)]
-    for n, name in zip(learned, docs["version"][train]):
-        windows.append(windows_of(subwords.spread(n)[0]))
-        turns.append(turns_of(int(name), len(windows[-1])))
-    whole, turn = np.concatenate(windows), np.concatenate(turns)
-    for t in range(ROUNDS):
-        mine = whole[turn == t]
-        if len(mine):
-            out.append((1, t, home, zstandard.compress(mine.tobytes(), 1)))
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    ids, sizes = subwords.spread(order)
+    ends = np.cumsum([len(n) for n in numbers])
+    known = docs["doc_id"].notna().to_numpy()
+    reading = stored(
+        doc_id=docs["doc_id"].fillna(0).to_numpy(np.int64), known=known, held=~train, version=docs["version"].to_numpy(np.int64),
+        ends=ends, words=place[np.concatenate(numbers)], ids=ids, sizes=sizes.astype(np.uint32),
+    )
+    out.append((1, None, home, reading))
     out.append((2, None, home, stored(totals=np.array([int(counts.sum()) + int(train.sum()), int(train.sum())], np.int64))))
     each = np.bincount(subwords.ids, np.repeat(counts, np.diff(subwords.cuts)), 1 << 16).astype(np.int64)
     used = np.flatnonzero(each)
@@ -292,6 +333,20 @@ def count_home(docs: pd.DataFrame, tokenizer: str, buckets: int) -> pd.DataFrame
     return pd.DataFrame(out, columns=["kind", "bucket", "home", "body"]).astype({"bucket": "Int32"})
 
 
+def subwords_of(reading: dict[str, np.ndarray]) -> Subwords:
+    return Subwords(reading["ids"], np.concatenate([np.zeros(1, np.int64), np.cumsum(reading["sizes"], dtype=np.int64)]))
+
+
+def turn_windows(reading: dict[str, np.ndarray], turn: int) -> np.ndarray:
+    """The windows of a home's training documents that train in a turn."""
+    subwords, out = subwords_of(reading), [np.zeros((0, WINDOW + 1), np.uint16)]
+    for begin, end, held, name in zip(np.r_[0, reading["ends"]], reading["ends"], reading["held"], reading["version"]):
+        if not held:
+            windows = windows_of(subwords.spread(reading["words"][begin:end])[0])
+            out.append(windows[turns_of(int(name), len(windows)) == turn])
+    return np.concatenate(out)
+
+
 def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
     """Counts of a bucket's words over all homes: back to each home, and the bucket's sums (home -1)."""
     parts = [loaded(b) for b in pdf["body"]]
@@ -325,8 +380,8 @@ def summed(rows: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Turns of local training and averaging; each turn takes its windows and moves only weights."""
+def fitted(readings: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+    """Turns of local training and averaging; each turn cuts its windows from the readings and moves only weights."""
     w = new_weights(vocabulary.shares())
     shapes = {k: v.shape for k, v in w.items()}
 
@@ -340,7 +395,9 @@ def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
         def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for home, body in zip(batch.column("home").to_pylist(), batch.column("body").to_pylist()):
-                    tokens = np.frombuffer(zstandard.decompress(body), np.uint16).reshape(-1, WINDOW + 1)
+                    tokens = turn_windows(loaded(body), turn)
+                    if not len(tokens):
+                        continue
                     inputs, nexts = vocabulary.input_of[tokens[:, :-1]], tokens[:, 1:]
                     scored = (nexts != PAD).astype(np.float32)
                     targets = np.where(nexts == END, 0, vocabulary.class_of[nexts])
@@ -356,7 +413,7 @@ def fitted(windows: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
             total = sum(np.frombuffer(b, np.float64) for b in pdf["body"]) / pdf["n"].sum()
             return pd.DataFrame({"part": pdf["part"].iloc[:1], "body": [total.tobytes()]})
 
-        sent = windows.where(F.col("bucket") == turn).select("home", "body").mapInArrow(local, "part int, home int, n double, body binary")
+        sent = readings.select("home", "body").mapInArrow(local, "part int, home int, n double, body binary")
         rows = sent.groupBy("part").applyInPandas(mean, "part int, body binary").collect()  # SLICES rows of fixed size
         if not rows:
             continue
@@ -374,70 +431,87 @@ def class_scores(w: dict[str, np.ndarray], inputs: list[np.ndarray], targets: li
 
     ``inputs[i]`` are the input numbers before each of ``targets[i]``.
     """
-    out = [np.empty(len(t)) for t in targets]
-    jobs: dict[int, list[tuple[int, int, int]]] = {}
-    for i, t in enumerate(targets):
-        begin, n = 0, len(t)
-        while begin < n:
-            start = max(0, begin - OVERLAP)
-            end = min(n, start + WINDOW)
-            wide = 16 if end - start <= 16 else WINDOW  # short texts in short windows
-            jobs.setdefault(wide, []).append((i, start, begin))
-            begin = end
-    for wide, spots in jobs.items():
-        for at in range(0, len(spots), batch):
-            part = spots[at : at + batch]
-            x, y = np.zeros((len(part), wide), np.int16), np.zeros((len(part), wide), np.int16)
-            ends = []
-            for r, (i, start, _) in enumerate(part):
-                end = min(len(targets[i]), start + WINDOW)
-                x[r, : end - start], y[r, : end - start] = inputs[i][start:end], targets[i][start:end]
-                ends.append(end)
-            z, _ = forward(w, x)
-            got = np.take_along_axis(z, y[..., None].astype(np.int64), 2)[..., 0]
-            for r, ((i, start, begin), end) in enumerate(zip(part, ends)):
-                out[i][begin:end] = got[r, begin - start : end - start]
+    ends = np.cumsum([len(t) for t in targets])
+    if not len(ends) or not ends[-1]:
+        return [np.empty(0) for _ in targets]
+    return np.split(joined_scores(w, np.concatenate(inputs), np.concatenate(targets), ends, batch), ends[:-1])
+
+
+def joined_scores(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, ends: np.ndarray, batch: int = 256) -> np.ndarray:
+    """``class_scores`` of texts that lie one behind the other and end at ``ends``."""
+    out = np.empty(len(targets))
+    sizes, step = np.diff(ends, prepend=0), WINDOW - OVERLAP
+    # a text's windows begin ``step`` apart; all but the first leave out the overlap
+    count = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // step)), 0)
+    number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    start = np.repeat(ends - sizes, count) + number * step
+    length = np.minimum(np.repeat(ends, count) - start, WINDOW)
+    skipped = np.where(number > 0, OVERLAP, 0)
+    for wide, chosen in ((16, length <= 16), (WINDOW, length > 16)):  # short texts in short windows
+        spots = np.flatnonzero(chosen)
+        for part in (spots[at : at + batch] for at in range(0, len(spots), batch)):
+            place = np.arange(wide)
+            at = start[part][:, None] + place
+            inside = place < length[part][:, None]
+            at[~inside] = 0
+            x, y = np.where(inside, inputs[at], 0), np.where(inside, targets[at], 0)
+            got = class_odds(w, attended(w, x)["h"], y)[0].reshape(x.shape)
+            new = inside & (place >= skipped[part][:, None])
+            out[at[new]] = got[new]
     return out
 
 
 def score_home(
-    docs: pd.DataFrame, others: pd.DataFrame, tokenizer: str, w: dict[str, np.ndarray], vocabulary: Vocabulary, facts: tuple[int, int, int]
+    readings: pd.DataFrame, others: pd.DataFrame, w: dict[str, np.ndarray], vocabulary: Vocabulary, facts: tuple[int, int, int]
 ) -> pd.DataFrame:
     """Base and model scores of a home's documents."""
     columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    if not len(docs):
+    if not len(readings):
         return pd.DataFrame([], columns=columns)
-    docs = in_order(docs)
+    r = loaded(readings["body"].iloc[0])
     n, v, documents = facts
-    numbers, codes, spelled = read_home(docs)
-    subwords = Subwords.of(spelled, shared_encoder(tokenizer))
-    count = np.zeros(len(codes), np.int64)
-    order = np.argsort(codes)
-    for body in others["body"] if len(others) else ():
-        p = loaded(body)
-        count[order[np.searchsorted(codes, np.cumsum(p["steps"], dtype=np.uint64), sorter=order)]] = p["count"]
+    subwords = subwords_of(r)
+    # buckets are ranges of hashes, so one behind the other they list the home's words in order
+    buckets = sorted((loaded(body) for body in others["body"]), key=lambda p: p["steps"][0]) if len(others) else []
+    count = np.concatenate([np.zeros(0, np.int64), *[p["count"].astype(np.int64) for p in buckets]])
     below = n + 0.5 * (v + 1)
     plain = np.log(count + 0.5) - np.log(below)
     plain_end = np.log((documents + 0.5) / below)
-    start = vocabulary.input_of[[START]]
-    out = []
-    for at in range(0, len(numbers), AT_ONCE):
-        group = numbers[at : at + AT_ONCE]
-        read = [subwords.spread(x) for x in group]
-        inputs = [np.concatenate([start, vocabulary.input_of[ids]]) for ids, _ in read]
-        targets = [np.concatenate([vocabulary.class_of[ids], np.zeros(1, np.int16)]) for ids, _ in read]
-        by_class = class_scores(w, inputs, targets)
-        for d, fold, x, (ids, sizes), q in zip(docs["doc_id"][at:], docs["fold"][at:], group, read, by_class):
-            upto = np.r_[0.0, np.cumsum(q[:-1] + vocabulary.within[ids])]
-            ends = np.cumsum(sizes)
-            model = np.append(np.where(sizes > 0, upto[ends] - upto[ends - sizes], -np.inf), q[-1])
-            mixture = np.logaddexp(np.log(1 - MIX) + model, np.log(MIX) + np.append(plain[x], plain_end))
-            known = int((count[x] > 0).sum()) + (documents > 0)
-            base = plain[x].sum() + plain_end
-            out.append((d, bool(fold == 1), len(x) + 1, known, n, float(base / np.log(10)), float(mixture.sum() / np.log(10))))
-    frame = pd.DataFrame(out, columns=columns)
-    frame["doc_id"] = docs["doc_id"].astype("Int64").to_numpy() if docs["doc_id"].isna().any() else docs["doc_id"].to_numpy()
-    return frame
+    lengths = np.diff(r["ends"], prepend=0)
+    base, score, known = (np.empty(len(lengths)) for _ in range(3))
+    for at in range(0, len(lengths), AT_ONCE):
+        mine = slice(at, at + AT_ONCE)
+        size = lengths[mine]
+        texts_end = np.cumsum(size + 1)  # every text has its end behind its words
+        word = np.ones(texts_end[-1], bool)
+        word[texts_end - 1] = False
+        x = r["words"][r["ends"][at] - size[0] : r["ends"][mine][-1]]
+        ids, of_word = subwords.spread(x)
+        of_token = np.ones(len(word), np.int64)
+        of_token[word] = of_word
+        token_end = np.cumsum(of_token)
+        stop = np.zeros(token_end[-1], bool)
+        stop[token_end[texts_end - 1] - 1] = True
+        targets, within, inputs = np.zeros(len(stop), np.int16), np.zeros(len(stop)), np.empty(len(stop), np.int16)
+        targets[~stop], within[~stop] = vocabulary.class_of[ids], vocabulary.within[ids]
+        before = np.r_[True, stop[:-1]]
+        inputs[before] = vocabulary.input_of[START]
+        inputs[~before] = vocabulary.input_of[ids]
+        got = joined_scores(w, inputs, targets, token_end[texts_end - 1]) + within
+        upto = np.r_[0.0, np.cumsum(got)]
+        model = np.where(of_token > 0, upto[token_end] - upto[token_end - of_token], -np.inf)
+        share = np.full(len(word), plain_end)
+        share[word] = plain[x]
+        mixture = np.logaddexp(np.log(1 - MIX) + model, np.log(MIX) + share)
+        seen = np.ones(len(word))
+        seen[word] = count[x] > 0
+        first = texts_end - size - 1
+        base[mine], score[mine] = np.add.reduceat(share, first), np.add.reduceat(mixture, first)
+        known[mine] = np.add.reduceat(seen, first) - (documents == 0)
+    ids = pd.array(r["doc_id"], "Int64")
+    ids[~r["known"]] = pd.NA
+    values = (ids, r["held"], lengths + 1, known.astype(np.int64), n, base / np.log(10), score / np.log(10))
+    return pd.DataFrame(dict(zip(columns, values)))
 
 
 def shared_encoder(path: str) -> Encoder:
@@ -464,8 +538,8 @@ def scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     n, v = summed(reduced.where(F.col("home") < 0), 2).tolist()
     facts = (n + documents, v + (documents > 0), documents)
     known = reduced.where(F.col("home") >= 0).select(F.col("home").alias("_home"), F.col("body").alias("_body")).toDF("home", "body")
-    return rows.groupBy("home").cogroup(known.groupBy("home")).applyInPandas(
-        lambda d, o: score_home(d, o, tokenizer, weights, vocabulary, facts),
+    return of_kind(1).select("home", "body").groupBy("home").cogroup(known.groupBy("home")).applyInPandas(
+        lambda d, o: score_home(d, o, weights, vocabulary, facts),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

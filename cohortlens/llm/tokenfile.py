@@ -153,6 +153,21 @@ class Encoder:
                 yield b"".join(map(look, chunks))
             at = end
 
+    def encode_words(self, found: list[bytes]) -> list[bytes]:
+        """``encode`` of distinct words without ASCII white space."""
+        out: list[bytes] = []
+        for at in range(0, len(found), CACHED // 2):
+            chunks = b" ".join(found[at : at + CACHED // 2]).decode("utf-8", "replace").split(" ")
+            used = set(chunks)
+            new = used.difference(self.cache)
+            if new:
+                if len(self.cache) + len(new) > CACHED:
+                    self.cache = {c: ids for c, ids in self.cache.items() if c in used}
+                    self.cache[""] = b""
+                self.learn(new)
+            out += map(self.cache.__getitem__, chunks)
+        return out
+
     def end(self, end_id: int) -> str:
         raw = int(end_id).to_bytes(self.width, "little")
         if max(raw) > 127:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from cohortlens.llm import lm
 from cohortlens.llm.queries import TOKENIZER
@@ -134,3 +135,59 @@ def test_scores_do_not_depend_on_partitions(spark, docs_of, odd_rows, prose, mon
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_home_is_scored_from_its_reading():
+    """A home's scores come from what its one reading kept, token by token as the network gives them."""
+    texts = [b"the quick brown fox " * 30, b"", b"a \x1f word. it's", "漢字. é!! the fox".encode(), b"x " * 31, b"no more words. " * 9]
+    docs = pd.DataFrame({"home": 0, "doc_id": [5, 3, 3, 9, None, 1], "version": range(6), "fold": [0, 0, 1, 2, 1, 0], "text": texts}).astype({"doc_id": "Int64"})
+    out = lm.count_home(docs, TOKENIZER, 4)
+    count = np.zeros(49_500, np.int64)
+    for body in out["body"][out["kind"] == 3]:
+        p = lm.loaded(body)
+        count[p["id"]] = p["count"]
+    vocabulary, w = lm.Vocabulary(count, 4), lm.new_weights(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    w["head"] *= 20
+    got = lm.score_home(out[out["kind"] == 1], out[out["kind"] == 0].sample(frac=1, random_state=1), w, vocabulary, (300, 20, 4))
+    assert len(lm.turn_windows(lm.loaded(out["body"][out["kind"] == 1].iloc[0]), 0)) > 0
+    learned = Counter(x for t, f in zip(texts, docs["fold"]) if f != 1 for x in t.lower().split())
+    encoder, want = lm.shared_encoder(TOKENIZER), []
+    for d, t, f in zip(docs["doc_id"], texts, docs["fold"]):
+        found = t.lower().split()
+        each = [encoder.tokenizer.encode(x.decode(), add_special_tokens=False).ids for x in found]
+        ids = np.array([i for e in each for i in e], np.int64)
+        inputs, targets = vocabulary.input_of[np.r_[lm.START, ids]], np.r_[vocabulary.class_of[ids], 0]
+        raw, begin = [], 0
+        while begin < len(targets):
+            start = max(0, begin - lm.OVERLAP)
+            end = min(len(targets), start + lm.WINDOW)
+            z, _ = lm.forward(w, inputs[None, start:end])
+            raw += [z[0, i - start, targets[i]] for i in range(begin, end)]
+            begin = end
+        raw = np.array(raw) + np.r_[vocabulary.within[ids], 0]
+        at = np.cumsum([0, *map(len, each)])
+        model = [raw[a:b].sum() if b > a else -np.inf for a, b in zip(at, at[1:])] + [raw[-1]]
+        plain = [math.log((learned[x] + 0.5) / (300 + 0.5 * 21)) for x in found] + [math.log(4.5 / (300 + 0.5 * 21))]
+        score = np.logaddexp(np.log(1 - lm.MIX) + model, np.log(lm.MIX) + plain).sum()
+        want.append((d, bool(f == 1), len(found) + 1, sum(learned[x] > 0 for x in found) + 1, round(sum(plain) / math.log(10), 6), round(float(score) / math.log(10), 3)))
+    rows = zip(got["doc_id"], got["held_out"], got["n_tokens"], got["n_known"], got["base_score"].round(6), got["score"].round(3))
+    assert sorted(map(str, rows)) == sorted(map(str, want))
+
+
+def test_large_numbers_do_not_overflow():
+    rng = np.random.default_rng(8)
+    w = lm.new_weights(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    w["qkv"] *= 30
+    w["head"] *= 2000
+    x, y = rng.integers(0, lm.INPUTS, (5, lm.WINDOW)), rng.integers(0, lm.CLASSES, (5, lm.WINDOW))
+    z, s = lm.forward(w, x)
+    got, _, _ = lm.class_odds(w, s["h"], y)
+    assert np.isfinite(got).all() and np.allclose(s["a"].sum(-1), 1, atol=1e-5) and not np.triu(s["a"][0], 1).any()
+    assert np.allclose(got.reshape(y.shape), np.take_along_axis(z, y[..., None], 2)[..., 0], rtol=1e-4)
+
+
+def test_words_are_encoded_as_texts_of_one_word():
+    from cohortlens.llm.tokenfile import Encoder
+
+    found = [b"word.", b"it's", "é!!".encode(), b"x" * 300, "漢字.".encode(), b"\x1f", b"<|endoftext|>", b"\xff\xfe.", b"\xe6\xbc", "a\u00a0b".encode()]
+    assert Encoder(TOKENIZER).encode_words(found) == list(Encoder(TOKENIZER).encode(found)) and Encoder(TOKENIZER).encode_words([]) == []
