@@ -8,6 +8,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -18,10 +19,12 @@ from cohortlens.functions.ordering import top_n
 from cohortlens.session import shuffle_width
 
 #: Rows and numbers in a block of vectors: up to the larger block while it has few rows, as each side is moved once per
-#: block of the other; blocks of sparse vectors become dense and hold 16,384 queries and 4096 items at most.
+#: block of the other; blocks of short vectors are bounded by their rows, each of which takes memory of its own; blocks of
+#: sparse vectors become dense and hold 16,384 queries and 4096 items at most.
 BLOCK_NUMBERS = 2**22
 LARGE_BLOCK_NUMBERS = 2**24
 LARGE_BLOCK_ROWS = 2**18
+SHORT_BLOCK_ROWS = 2**19
 QUERY_BLOCK = 16384
 ITEM_BLOCK = 4096
 #: Pairs of blocks that there are at least, for the sake of parallel tasks.
@@ -114,7 +117,7 @@ def best_products(
     most ``k`` rows are shuffled. Of the cuts with enough pairs, the one that moves least is taken. Inside a pair the items lie in small boxes of near vectors; a box
     is scored for the queries only that it could still give one of their ``k`` best, by the largest
     score in the box (``ceilings``). A column ``without`` of the queries lists items that a query
-    does not want; vectors with a column ``length`` are divided by it. With ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
+    does not want; each of them goes to the item's block only. Vectors with a column ``length`` are divided by it. With ``dims`` the vectors are sparse ``struct<i, v>`` and made dense inside a block.
     Scores are ranked and returned with ``decimals`` decimals (None: as they are); the caller picks
     the final first ones. Another ``kernel`` scores the rows of a matrix with the columns of another
     in place of the dot product, and comes with its ``ceilings``.
@@ -122,7 +125,7 @@ def best_products(
     if dims is None:
         width = max(items.select(F.max(F.size("vector"))).first()[0] or 1, 1)
         large = min(LARGE_BLOCK_ROWS, LARGE_BLOCK_NUMBERS // width)
-        query_block = item_block = max(ITEM_BLOCK, BLOCK_NUMBERS // width, large)
+        query_block = item_block = max(ITEM_BLOCK, min(SHORT_BLOCK_ROWS, BLOCK_NUMBERS // width), large)
     else:
         width = 1
         query_block, item_block = QUERY_BLOCK, max(256, min(ITEM_BLOCK, 2**24 // dims))
@@ -130,26 +133,35 @@ def best_products(
     rows = queries.count(), items.count()
     least = blocks_of(queries, query_block, rows[0]), blocks_of(items, item_block, rows[1])
     n_query, n_item = block_counts(*rows, *least, parallel, width, k)
+    block_of = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(n_item))
     extra = [c for c in ("length", "without") if c in queries.columns]
-    left = queries.select(
+    asked, rest = queries.select("id", "vector", *extra), extra
+    if "without" in extra:
+        asked = asked.withColumn("_places", F.transform("without", block_of))
+        here = F.filter("without", lambda c, i: F.get(F.col("_places"), i) == F.col("ib"))
+        extra, rest = [*extra, "_places"], [*[c for c in extra if c != "without"], here.alias("without")]
+    left = asked.select(
         F.pmod(F.xxhash64("id"), F.lit(n_query)).alias("qb"),
         F.explode(block_numbers(n_item)).alias("ib"),
         F.col("id").cast("long").alias("id"),
         "vector",
-        F.lit(k).alias("k"),
         *extra,
-    )
+    ).select("qb", "ib", "id", "vector", *rest)
     right = items.select(
         F.explode(block_numbers(n_query)).alias("qb"),
-        F.pmod(F.xxhash64("id"), F.lit(n_item)).alias("ib"),
+        block_of(F.col("id")).alias("ib"),
         F.col("id").cast("long").alias("id"),
         "vector",
         *[c for c in ["length"] if c in items.columns],
     )
-    best = partial(block_best, same=same, lower=lower, dims=dims, decimals=decimals, kernel=kernel, ceilings=ceilings)
+    options = {"same": same, "lower": lower, "decimals": decimals, "kernel": kernel, "ceilings": ceilings}
     parts = max(parallel, min(4 * n_query * n_item, PAIR_PARTITIONS))
-    left, right = (side.repartition(parts, "qb", "ib").groupBy("qb", "ib") for side in (left, right))
-    return left.cogroup(right).applyInPandas(best, PAIR_SCHEMA)
+    if dims is not None:
+        left = left.withColumn("k", F.lit(k))
+    pairs = left.repartition(parts, "qb", "ib").groupBy("qb", "ib").cogroup(right.repartition(parts, "qb", "ib").groupBy("qb", "ib"))
+    if dims is not None:
+        return pairs.applyInPandas(partial(block_best, dims=dims, **options), PAIR_SCHEMA)
+    return pairs.applyInArrow(partial(table_best, k=k, **options), PAIR_SCHEMA)
 
 
 def blocks_of(df: DataFrame, size: int, rows: int | None = None) -> int:
@@ -199,15 +211,76 @@ def boxes_of(x: np.ndarray, size: int) -> list[np.ndarray]:
     return out
 
 
+@dataclass
+class Queries:
+    """Ids, vectors and wanted numbers of some queries; unwanted items as one array with the number of each query's."""
+
+    ids: np.ndarray
+    x: np.ndarray
+    k: np.ndarray
+    unwanted: tuple[np.ndarray, np.ndarray] | None = None
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame, dims: int | None) -> Queries:
+        unwanted = None
+        if "without" in rows:
+            lists = [np.zeros(0, np.int64) if w is None else np.asarray(w, np.int64) for w in rows["without"]]
+            unwanted = np.concatenate([np.zeros(0, np.int64), *lists]), np.array([len(w) for w in lists], int)
+        return cls(rows["id"].to_numpy(), dense(rows, dims), rows["k"].to_numpy(), unwanted)
+
+    def take(self, rows: np.ndarray) -> Queries:
+        unwanted = None
+        if self.unwanted is not None:
+            ids, sizes = self.unwanted
+            n = sizes[rows]
+            starts = (np.cumsum(sizes) - sizes)[rows]
+            unwanted = ids[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+        return Queries(self.ids[rows], self.x[rows], self.k[rows], unwanted)
+
+
+def dense_table(rows: pa.Table) -> np.ndarray:
+    """``dense`` of arrays that come as an Arrow table, without an object per row."""
+    vectors = rows["vector"].combine_chunks()
+    width = len(vectors[0]) if not vectors.null_count else -1
+    if (vectors.value_lengths().fill_null(0).to_numpy() != width).any():
+        raise ValueError("all vectors must have the same length")
+    values = vectors.flatten().to_numpy(zero_copy_only=False)
+    out = values.astype(float, copy=False).reshape(len(vectors), width)
+    return out / rows["length"].to_numpy()[:, None] if "length" in rows.column_names else out
+
+
+def table_best(q: pa.Table, i: pa.Table, k: int, same: bool, lower: float | None, decimals: int | None, kernel, ceilings) -> pa.Table:
+    """``block_best`` of Arrow tables."""
+    found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    if q.num_rows and i.num_rows:
+        unwanted = None
+        if "without" in q.column_names:
+            lists = q["without"].combine_chunks()
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            unwanted = lists.flatten().fill_null(np.iinfo(np.int64).min).to_numpy(), sizes.astype(int)
+        queries = Queries(q["id"].to_numpy(), dense_table(q), np.full(q.num_rows, k), unwanted)
+        found = best_of(queries, dense_table(i), i["id"].to_numpy(), same, lower, decimals, kernel, ceilings)
+    # an id that is null is NaN in between
+    ids = (pa.array(x, pa.int64(), from_pandas=True) for x in found[:2])
+    return pa.table([*ids, pa.array(found[2])], ["query_id", "item_id", "score"])
+
+
+def best_of(queries: Queries, items: np.ndarray, item_ids: np.ndarray, same, lower, decimals, kernel, ceilings) -> list[np.ndarray]:
+    boxes = Boxes.of(items, item_ids)
+    chunks = (queries.take(rows) for rows in boxes_of(queries.x, CHUNK))
+    parts = [queries_best(part, item_ids, same, lower, decimals, kernel, ceilings, boxes) for part in chunks]
+    return [np.concatenate([p[j] for p in parts]) for j in range(3)]
+
+
 def block_best(q: pd.DataFrame, i: pd.DataFrame, same: bool, lower: float | None, dims: int | None, decimals: int | None, kernel, ceilings=product_ceilings) -> pd.DataFrame:
     if q.empty or i.empty:
         return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
     items, item_ids = dense(i, dims), i["id"].to_numpy()
-    boxes = Boxes.of(items, item_ids)
     if dims is None:
-        chunks = (q.iloc[rows] for rows in boxes_of(dense(q, dims), CHUNK))
-    else:
-        chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
+        found = best_of(Queries.of(q, dims), items, item_ids, same, lower, decimals, kernel, ceilings)
+        return pd.DataFrame(dict(zip(("query_id", "item_id", "score"), found)))
+    boxes = Boxes.of(items, item_ids)
+    chunks = (q.iloc[start : start + CHUNK] for start in range(0, len(q), CHUNK))
     parts = [chunk_best(part, items, item_ids, same, lower, dims, decimals, kernel, ceilings, boxes) for part in chunks]
     return pd.concat(parts, ignore_index=True)
 
@@ -226,6 +299,8 @@ class Boxes:
     inside: list[tuple[np.ndarray, np.ndarray]]  # vectors and their numbers, by box
     low: np.ndarray  # smallest and largest value of each box per column
     high: np.ndarray
+    known: np.ndarray  # the distinct ids in order, and how often each occurs
+    times: np.ndarray
 
     @classmethod
     def of(cls, items: np.ndarray, item_ids: np.ndarray) -> Boxes:
@@ -237,7 +312,7 @@ class Boxes:
         distinct = plain[one]
         inside = [(distinct[rows], rows) for rows in boxes_of(distinct, BOX)]
         low, high = np.stack([x.min(0) for x, _ in inside]), np.stack([x.max(0) for x, _ in inside])
-        return cls(item_ids[order], np.cumsum(sizes) - sizes, sizes, inside, low, high)
+        return cls(item_ids[order], np.cumsum(sizes) - sizes, sizes, inside, low, high, *np.unique(item_ids, return_counts=True))
 
     def items(self, r: np.ndarray, s: np.ndarray, vectors: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows (query, score, item id) of the found vectors: enough to hold the best ``most`` of each query."""
@@ -256,18 +331,23 @@ class Boxes:
 
 
 def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.matmul, ceilings=product_ceilings, boxes=None) -> pd.DataFrame:
-    """The best items of each query of a chunk, ties by item id.
+    """``queries_best`` of rows of a table."""
+    found = queries_best(Queries.of(part, dims), item_ids, same, lower, decimals, kernel, ceilings, boxes or Boxes.of(right, item_ids))
+    return pd.DataFrame(dict(zip(("query_id", "item_id", "score"), found)))
+
+
+def queries_best(part: Queries, item_ids, same, lower, decimals, kernel, ceilings, boxes: Boxes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best items of each query of a chunk, ties by item id: query ids, item ids, scores.
 
     ``floor`` and ``last`` are the score and id of a query's last item so far; what comes behind
     them is left out, and so are boxes whose ceiling lies below ``floor``.
     """
-    boxes = boxes or Boxes.of(right, item_ids)
     low, high = boxes.low, boxes.high
-    x, ids = dense(part, dims), part["id"].to_numpy()
+    x, ids = part.x, part.ids
     # the query's own item is taken along and dropped at the end
-    wanted = part["k"].to_numpy() + (not same)
-    unwanted = unwanted_pairs(part["without"], item_ids) if "without" in part else None
-    enough = wanted if unwanted is None else wanted + unwanted_items(len(x), item_ids, *unwanted)
+    wanted = part.k + (not same)
+    unwanted = None if part.unwanted is None else unwanted_pairs(*part.unwanted, boxes.known)
+    enough = wanted if unwanted is None else wanted + unwanted_items(len(x), boxes.times, *unwanted)
     top = ceilings(x, low, high)
     size = np.maximum(np.abs(x) @ np.maximum(np.abs(low), np.abs(high)).T, np.abs(top))
     top = top + 1e-9 * size  # never below a score, whatever the rounding
@@ -306,23 +386,19 @@ def chunk_best(part, right, item_ids, same, lower, dims, decimals=6, kernel=np.m
     if not same:
         other = new != ids[r]
         r, s, new = first_rows([(r[other], s[other], new[other])], wanted - 1)
-    return pd.DataFrame({"query_id": ids[r], "item_id": new, "score": s})
+    return ids[r], new, s
 
 
-def unwanted_pairs(without: pd.Series, item_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unwanted_pairs(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The block's items in order, and query row * items + item place of every unwanted pair, in order."""
-    order = np.unique(item_ids)
-    lists = [() if w is None else w for w in without]
-    rows = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
-    ids = np.concatenate([np.zeros(0, np.int64), *[np.asarray(w, np.int64) for w in lists]])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
     place = np.minimum(np.searchsorted(order, ids), len(order) - 1)
     inside = order[place] == ids
     return order, np.unique(rows[inside] * len(order) + place[inside])
 
 
-def unwanted_items(queries: int, item_ids: np.ndarray, order: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+def unwanted_items(queries: int, times: np.ndarray, order: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """How many of the block's items each query does not want; an id counts as often as it occurs."""
-    times = np.unique(item_ids, return_counts=True)[1]
     return np.bincount(pairs // len(order), times[pairs % len(order)], queries).astype(int)
 
 

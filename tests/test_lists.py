@@ -117,3 +117,33 @@ def test_taken_courses_do_not_leave_a_block(spark):
     score = lambda q, i: sum(a * b for a, b in zip(rows[q][1], rows[i][1]))
     want = {1: [5, 77, 400], 2: range(600), 3: range(600)}
     assert {q: [i for _, i in sorted(f)] for q, f in got.items()} == {q: sorted(w, key=lambda i: -score(q, i))[:4] for q, w in want.items()}
+
+
+def test_an_unwanted_item_goes_to_its_own_block_and_short_vectors_lie_in_bounded_blocks(spark, monkeypatch):
+    def counted(q, i, **options):
+        here, n = set(i["id"].to_pylist()), [x for w in q["without"].to_pylist() for x in w or []]
+        assert here.issuperset(n)
+        return vectors.pa.table([[0], [len(n)], [float(max(q.num_rows, i.num_rows))]], ["query_id", "item_id", "score"])
+
+    for name, rows in (("ITEM_BLOCK", 50), ("LARGE_BLOCK_ROWS", 50), ("SHORT_BLOCK_ROWS", 100)):
+        monkeypatch.setattr(vectors, name, rows)
+    monkeypatch.setattr(vectors, "table_best", counted)
+    items = spark.range(600).select("id", F.array(F.col("id") * 0.5, F.lit(1.0)).alias("vector"))
+    asked = items.withColumn("without", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: (F.col("id") * 7 + j) % 600))
+    found = vectors.best_products(asked, items, 4, decimals=None).collect()
+    assert len(found) >= 36 and sum(r["item_id"] for r in found) == 4 * 600 and max(r["score"] for r in found) <= 150
+
+
+def test_tables_of_a_block_are_searched_like_its_rows():
+    rng = np.random.default_rng(5)
+    ids, x = np.arange(3000) * 3 + 2**60, rng.integers(0, 4, (3000, 3)) / 4
+    lists = [None if j % 5 == 0 else rng.choice(ids, j % 7).tolist() for j in range(2000)]
+    frames = vectors.pd.DataFrame({"id": ids[:2000], "vector": list(x[:2000]), "without": lists}), vectors.pd.DataFrame({"id": ids, "vector": list(x)})
+    tables = [vectors.pa.table({"id": f["id"].tolist(), "vector": [v.tolist() for v in f["vector"]], **({"without": lists} if "without" in f else {})}) for f in frames]
+    for same in (True, False):
+        options = {"same": same, "lower": None, "decimals": None, "kernel": np.matmul, "ceilings": vectors.product_ceilings}
+        want = vectors.block_best(frames[0].assign(k=4), frames[1], dims=None, **options)
+        got = vectors.table_best(*tables, k=4, **options).to_pandas()
+        assert len(got) > 7000 and got.equals(want.astype(got.dtypes))
+    empty = vectors.table_best(tables[0], tables[1].slice(0, 0), k=4, **options)
+    assert empty.num_rows == 0 and [str(t) for t in empty.schema.types] == ["int64", "int64", "double"]
