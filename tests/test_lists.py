@@ -147,3 +147,21 @@ def test_tables_of_a_block_are_searched_like_its_rows():
         assert len(got) > 7000 and got.equals(want.astype(got.dtypes))
     empty = vectors.table_best(tables[0], tables[1].slice(0, 0), k=4, **options)
     assert empty.num_rows == 0 and [str(t) for t in empty.schema.types] == ["int64", "int64", "double"]
+
+
+def test_single_precision_leaves_no_pair_out():
+    rng = np.random.default_rng(11)
+    for spread in (0.01, 1.0, 12.0, 80.0, 500.0):
+        a, b = rng.normal(size=(60, 5)) * spread, rng.normal(size=(5, 90)) * spread
+        outer = rng.normal(size=5) * 3
+        kernel = collaborative.PerceptronKernel(outer, -0.5)
+        with np.errstate(over="ignore"):
+            plain = 1 / (1 + np.exp(0.5 - sum(w / (1 + np.exp(-(a[:, h, None] + b[None, h]))) for h, w in enumerate(outer))))
+            scores = kernel(a, b)
+            assert np.allclose(scores, plain, rtol=0, atol=1e-13)
+            for least in (scores[:, 3], np.sort(scores, 1)[:, -4], np.zeros(60), np.full(60, -np.inf), np.ones(60)):
+                at, c, s = kernel.above(a, b, least)
+                want = np.nonzero(scores >= least[:, None])
+                assert (at == want[0]).all() and (c == want[1]).all() and (s == scores[want]).all()
+    few = kernel.above(np.zeros((1, 5)), rng.normal(size=(5, 50)), np.array([1.0]))
+    assert len(few[0]) == 0
