@@ -165,3 +165,17 @@ def test_single_precision_leaves_no_pair_out():
                 assert (at == want[0]).all() and (c == want[1]).all() and (s == scores[want]).all()
     few = kernel.above(np.zeros((1, 5)), rng.normal(size=(5, 50)), np.array([1.0]))
     assert len(few[0]) == 0
+
+
+def test_many_ratings_are_cut_into_more_blocks_and_turns_are_kept(world, monkeypatch):
+    students, courses, taken = world
+    ratings = taken.withColumn("rating", (F.col("course_id") % 5).cast("double"))
+    asked, plain = [], collaborative.ALS
+    monkeypatch.setattr(collaborative, "ALS", lambda **options: asked.append(options) or plain(**options))
+    n = ratings.count()
+    for most, blocks in ((collaborative.BLOCK_RATINGS, 10), (n // 12, -(-n // (n // 12)))):
+        monkeypatch.setattr(collaborative, "BLOCK_RATINGS", most)
+        found = collaborative.fit_factors(ratings, rank=2, max_iter=2)
+        assert (asked[-1]["numUserBlocks"], asked[-1]["numItemBlocks"], asked[-1]["checkpointInterval"]) == (blocks, blocks, 1)
+        assert found.students.count() == ratings.select("student_id").distinct().count()
+    assert blocks > 10
